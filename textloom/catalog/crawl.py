@@ -227,7 +227,7 @@ def oracles() -> dict[str, str]:
                 GROUP BY regexp_extract({host}, '([^.]+)$', 1)) s
               UNION
               SELECT dst, depth + 1 FROM walk JOIN edges ON page_id = src WHERE depth < 40)
-            SELECT page_id, min(depth) AS depth FROM walk GROUP BY page_id""",
+            SELECT page_id, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY page_id""",
         "classify_status": f"{log} SELECT fetch_id, outcome FROM classed WHERE exception IS NULL",
         "classify_exception": (
             f"{log} SELECT fetch_id, outcome FROM classed WHERE exception IS NOT NULL"

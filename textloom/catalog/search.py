@@ -12,7 +12,7 @@ from textloom.operators import postings as P
 from textloom.operators import search as S
 from textloom.plans.index import count_documents, create_index, refresh_index
 from textloom.plans.search import scored_documents, search as run_search
-from textloom.session import work_path
+from textloom.session import stash, work_path
 from textloom.sources.tables import read_documents, read_pages
 
 #: A query in the invented prose of the test tables, with a repeated word.
@@ -43,9 +43,10 @@ def term_stats(spark, folder):
 
 
 def search_bm25(spark, folder):
-    """One text field, straight from the documents, without an index."""
-    analyzed = _analyzed(spark, folder)
+    """One text field, straight from the documents, without an index. One pass over
+    the texts leaves lengths and the counts of the query terms."""
     terms = S.query_terms(spark, QUERY)
+    analyzed = stash(P.analyze_documents(read_documents(spark, folder), terms), "scanned")
     scores = S.field_scores(P.build_postings(analyzed), P.field_stats(analyzed), terms, QUERY)
     return scores.select("doc_id", F.round("content", 6).alias("score"))
 

@@ -20,7 +20,9 @@ def _run(spark, rows, label, columns):
 
 
 def _pages(spark, folder):
-    return P.stream_pages(spark, folder, "pages.parquet")
+    """The table is one small file, so its pages are shared out to all slots."""
+    slots = spark.sparkContext.defaultParallelism
+    return P.stream_pages(spark, folder, "pages.parquet", spread_to=slots)
 
 
 def stream_items(spark, folder):

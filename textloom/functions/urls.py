@@ -50,7 +50,7 @@ def _canonical_path(url: Column) -> Column:
     own = path(url)
     # '+' is no space in a path, and an escaped '/' or '?' must stay escaped.
     guarded = F.replace(own, F.lit("+"), F.lit("%2B"))
-    guarded = F.regexp_replace(guarded, r"%(2[Ff]|3[Ff])", "%25$1")
+    guarded = F.regexp_replace(guarded, r"%([23])[Ff]", "%25$1F")
     encoded = F.url_encode(F.coalesce(F.try_url_decode(guarded), own))
     for escape, char in _PATH_KEPT.items():
         encoded = F.replace(encoded, F.lit(escape), F.lit(char))

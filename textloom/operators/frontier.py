@@ -4,29 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textloom.session import stash
+from textloom.session import work_path
 
 
 def crawl_frontier(
     starts: DataFrame, edges: DataFrame, max_depth: int | None = None
 ) -> DataFrame:
-    """``url, depth``: fewest links from a start. ``edges`` is ``src, dst``.
+    """``url, depth``: fewest links from a start. ``edges`` is ``src, dst``; it is
+    read once per level, so it should be a table, not a view over pages.
 
     One join per level. Each level is a written table, so lineage stays short and
     a lost executor costs a task, not the walk. Only the newest level is joined to
     the edges, and duplicates are dropped per task before the shuffle.
     """
+    spark = starts.sparkSession
+    root = work_path(spark, "frontier")
+
+    def write(level: DataFrame, depth: int) -> DataFrame:
+        level.select("url").write.parquet(f"{root}/depth={depth}")
+        return spark.read.schema(level.select("url").schema).parquet(f"{root}/depth={depth}")
+
+    def reached(url_type: T.DataType) -> DataFrame:
+        schema = T.StructType(
+            [T.StructField("url", url_type), T.StructField("depth", T.IntegerType())]
+        )
+        return spark.read.schema(schema).parquet(root)
+
     edges = edges.select("src", "dst")
-    level = stash(
-        starts.select(F.col("url")).distinct().withColumn("depth", F.lit(0)), "frontier"
-    )
-    reached = level
+    level = write(starts.select("url").distinct(), 0)
+    url_type = level.schema["url"].dataType
     depth = 0
     while (max_depth is None or depth < max_depth) and not level.isEmpty():
         depth += 1
         targets = level.join(edges, level["url"] == edges["src"]).select(F.col("dst").alias("url"))
-        fresh = targets.distinct().join(reached.select("url"), "url", "left_anti")
-        level = stash(fresh.withColumn("depth", F.lit(depth)), "frontier")
-        reached = reached.union(level)
-    return reached
+        fresh = targets.distinct().join(reached(url_type).select("url"), "url", "left_anti")
+        level = write(fresh, depth)
+    return reached(url_type)

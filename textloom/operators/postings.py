@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +13,15 @@ TEXT_FIELDS = ("title", "content")
 FIELDS = ("title", "keywords", "content")
 
 
-def analyze_documents(docs: DataFrame) -> DataFrame:
+def analyze_documents(docs: DataFrame, only_terms: Iterable[str] | None = None) -> DataFrame:
     """``doc_id`` and, per field, its term counts (``*_tf``) and length (``*_dl``).
 
     ``docs`` needs ``doc_id`` and any of title, keywords, content. A keyword is
     one exact term, counted once, and its field has no length normalisation.
+    ``only_terms`` counts nothing else in the text fields: for one search over
+    documents that are not indexed. Lengths are always those of the whole text.
     """
+    only = None if only_terms is None else list(only_terms)
     out = docs
     kept = ["doc_id"]
     for field in TEXT_FIELDS:
@@ -24,6 +29,8 @@ def analyze_documents(docs: DataFrame) -> DataFrame:
             words = f"__{field}_words"
             out = out.withColumn(words, analyze(F.col(field)))
             out = out.withColumn(f"{field}_dl", F.size(words).cast("long"))
+            if only is not None:
+                out = out.withColumn(words, F.filter(words, lambda word: word.isin(*only)))
             out = with_term_counts(out, words, f"{field}_tf").drop(words)
             kept += [f"{field}_tf", f"{field}_dl"]
     if "keywords" in docs.columns:

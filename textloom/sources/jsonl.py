@@ -49,25 +49,29 @@ def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(F.try_parse_json("value").isNull())
 
 
-def _permissive(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    marked = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(marked).option("mode", "PERMISSIVE").json(path)
-    return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+def _well_formed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Fields of the lines that are JSON objects."""
+    bad = "_corrupt_record"
+    marked = T.StructType(schema.fields + [T.StructField(bad, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    parsed = spark.read.text(path).select(F.from_json("value", marked, options).alias("row"))
+    fine = parsed.where(F.col("row").isNotNull() & F.col(f"row.{bad}").isNull())
+    return fine.select(*[f"row.{name}" for name in schema.names])
 
 
 def scan_processed_urls(spark: SparkSession, path: str) -> DataFrame:
     """Distinct ``url`` of well-formed lines that have one."""
     schema = T.StructType([T.StructField("url", T.StringType())])
-    return _permissive(spark, path, schema).where(F.col("url").isNotNull()).distinct()
+    return _well_formed(spark, path, schema).where(F.col("url").isNotNull()).distinct()
 
 
 def scan_failed_urls(spark: SparkSession, path: str) -> DataFrame:
     """Distinct ``failed_url, error_code`` of well-formed lines; no code is ''."""
-    rows = _permissive(spark, path, FAILURE).where(F.col("failed_url").isNotNull())
+    rows = _well_formed(spark, path, FAILURE).where(F.col("failed_url").isNotNull())
     code = F.coalesce("error_code", F.lit(""))
     return rows.withColumn("error_code", code).dropDuplicates(["failed_url", "error_code"])
 
 
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
     """Enriched documents to index; lines that are no JSON are skipped."""
-    return _permissive(spark, path, ENRICHED)
+    return _well_formed(spark, path, ENRICHED)

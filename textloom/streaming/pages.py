@@ -14,11 +14,20 @@ from textloom.schemas import ITEM, PAGE
 
 
 def stream_pages(
-    spark: SparkSession, folder: str, glob: str = "*.parquet", max_files: int = 100
+    spark: SparkSession,
+    folder: str,
+    glob: str = "*.parquet",
+    max_files: int = 100,
+    spread_to: int | None = None,
 ) -> DataFrame:
-    """Page stream over a folder new parquet files arrive in."""
+    """Page stream over a folder new parquet files arrive in.
+
+    ``spread_to`` shares each micro-batch out to that many tasks; it is for
+    batches of fewer files than the cluster has slots.
+    """
     reader = spark.readStream.schema(PAGE).option("pathGlobFilter", glob)
-    return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
+    pages = reader.option("maxFilesPerTrigger", max_files).parquet(folder)
+    return pages.repartition(spread_to) if spread_to else pages
 
 
 def items_stream(pages: DataFrame, processed: DataFrame | None = None) -> DataFrame:
