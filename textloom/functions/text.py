@@ -38,6 +38,11 @@ def clean_characters(text: Column) -> Column:
     return collapse_spaces(F.regexp_replace(text, _NOT_KEPT, ""))
 
 
+def keeps_something(text: Column) -> Column:
+    """True when ``clean_characters`` leaves something; ends at the first such sign."""
+    return F.coalesce(text.rlike(r"[a-zA-Z0-9À-ÿ'’\-.,;!?()]"), F.lit(False))
+
+
 def clean_text(text: Column) -> Column:
     """Item cleaning: entities and tags first, then characters and spaces."""
     return clean_characters(without_markup(text))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import fixed
-from textloom.functions.html import page_text
+from textloom.functions.html import page_text, without_markup
 from textloom.functions.text import clean_text
 
 REQUIRED = ("title", "url", "content")
@@ -29,6 +29,13 @@ def emitted(extracted: DataFrame) -> DataFrame:
     return extracted.where(~F.col("url").contains("robots.txt") & (F.col("content") != ""))
 
 
+def decode_items(items: DataFrame) -> DataFrame:
+    """Entities and leftover tags resolved, characters not yet cleaned."""
+    return items.withColumns(
+        {"title": without_markup(F.col("title")), "content": without_markup(F.col("content"))}
+    )
+
+
 def clean_items(items: DataFrame) -> DataFrame:
     return items.withColumns(
         {"title": clean_text(F.col("title")), "content": clean_text(F.col("content"))}

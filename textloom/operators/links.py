@@ -100,8 +100,7 @@ def robots_admission(candidates: DataFrame, rules: DataFrame, id_column: str) ->
         .withColumn("literal", F.expr("substring(path, 1, length)"))
     )
     matches = probes.join(ruled, ["host", "literal"]).where(F.expr("path rlike regex"))
-    verdicts = matches.groupBy(id_column).agg(
-        F.max(F.struct("size", "allow"))["allow"].alias("allowed")
-    )
-    refused = verdicts.where(~F.col("allowed")).select(id_column)
+    # Longest first, allowing before refusing, as one number: an odd best allows.
+    best = F.max(F.col("size") * 2 + F.col("allow").cast("int")).alias("best")
+    refused = matches.groupBy(id_column).agg(best).where("best % 2 = 0").select(id_column)
     return candidates.join(refused, id_column, "left_anti")

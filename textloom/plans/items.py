@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import fixed
-from textloom.operators.extract import clean_items, emitted, extract_pages, valid_items
+from textloom.functions.text import clean_characters, keeps_something
+from textloom.operators.extract import clean_items, decode_items, emitted, extract_pages
+from textloom.operators.links import unseen
 
 
 def cleaned_items(
@@ -30,5 +32,13 @@ def pages_to_items(
     URLs already seen are removed before a page is parsed, not after.
     """
     if seen_urls is not None:
-        pages = pages.join(seen_urls.select(F.col("url")), "url", "left_anti")
-    return valid_items(cleaned_items(pages, exclude_keywords, exclude_tags))
+        pages = unseen(pages, seen_urls)
+    items = emitted(extract_pages(pages, exclude_keywords, exclude_tags))
+    decoded = decode_items(items)
+    # A filter on cleaned fields would have them cleaned twice, in the filter and
+    # in the projection; whether anything is left of a field is cheaper to see.
+    title, content = F.col("title"), F.col("content")
+    kept = decoded.where(keeps_something(title) & keeps_something(content) & (F.col("url") != ""))
+    return kept.withColumns(
+        {"title": clean_characters(title), "content": clean_characters(content)}
+    )

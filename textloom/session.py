@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -16,10 +17,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
 }
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _local_dirs: dict[str, str] = {}
 
@@ -33,6 +33,18 @@ def build_session(app: str = "textloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def state_on_disk(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, not on the heap: sets of
+    all URLs ever seen outgrow memory. A query copies the setting when it starts."""
+    before = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, _ON_DISK)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STATE_STORE, before)
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
@@ -48,8 +60,10 @@ def work_root(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the work folder."""
-    return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the work folder, which can be
+    removed as a whole when the application is done."""
+    app = spark.sparkContext.applicationId
+    return f"{work_root(spark)}/textloom-{app}/{label}-{uuid.uuid4().hex}"
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:

@@ -12,7 +12,9 @@ def spread(df: DataFrame) -> DataFrame:
     returned as it is, so this never shuffles big data.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if len(df.inputFiles()) < slots else df
+    # Only the number of files crosses to Python, not their names.
+    files = len(df._jdf.inputFiles())
+    return df.repartition(slots) if files < slots else df
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

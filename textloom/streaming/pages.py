@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from textloom.operators.links import unseen
 from textloom.plans.items import pages_to_items
 from textloom.schemas import ITEM, PAGE
+from textloom.session import state_on_disk
 
 
 def stream_pages(
@@ -90,4 +91,5 @@ def write_stream(
         )
 
     writer = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    with state_on_disk(rows.sparkSession):
+        return writer.trigger(availableNow=True).start()
