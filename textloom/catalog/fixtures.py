@@ -22,6 +22,11 @@ def _once(spark: SparkSession, folder: str, name: str, build):
     return _built[key]
 
 
+def forget() -> None:
+    """Build items and index again at the next use."""
+    _built.clear()
+
+
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Valid items of all pages, ``doc_id, title, url, content``, written once."""
 

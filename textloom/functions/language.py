@@ -64,7 +64,9 @@ def detect_language(text: Column) -> Column:
     Ties go to the earlier name in ``LANGUAGES``.
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
-    return let(let(words, _hits), _label)
+    every = sorted({word for lang in LANGUAGES for word in hit_words(lang)})
+    stop_words_only = F.filter(words, lambda word: word.isin(*every))
+    return let(let(stop_words_only, _hits), _label)
 
 
 def drop_stop_words(tokens: Column, language: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textloom.functions import fixed
+from textloom.functions.analysis import let
 from textloom.functions.html import without_markup
 
 _LINK = rf"http[^{fixed.SPACE_CLASS}]+"
@@ -18,6 +19,7 @@ _ODD_SPACE = rf"[^ -~\s](?<=[{fixed.SPACE_CLASS}])"
 _PAGE_SUFFIX = rf"(?i)[{fixed.SPACE_CLASS}]*-[{fixed.SPACE_CLASS}]*Page[{fixed.SPACE_CLASS}]*\d+"
 # Words the tokenizer splits in two. The test for a word start comes after the
 # first half so that it runs on candidates only.
+_HALVED = ("cannot", "gimme", "gonna", "gotta", "lemme", "wanna")
 _SPLIT_WORDS = (
     r"(can(?=not)|gim(?=me)|gon(?=na)|got(?=ta)|lem(?=me)|wan(?=na))"
     rf"(?<![^{fixed.SPACE_CLASS}].{{3}})(not|me|na|ta)(?![^{fixed.SPACE_CLASS}])"
@@ -50,13 +52,25 @@ def clean_text(text: Column) -> Column:
 
 def keyword_clean(text: Column) -> Column:
     """Lower-case letters and spaces only; anything else is deleted, not spaced."""
-    without_links = F.regexp_replace(F.lower(text), _LINK, "")
-    return F.regexp_replace(without_links, _NOT_LETTER, "")
+
+    def without_links(lowered: Column) -> Column:
+        found = lowered.contains("http")
+        return F.when(found, F.regexp_replace(lowered, _LINK, "")).otherwise(lowered)
+
+    return F.regexp_replace(let(F.lower(text), without_links), _NOT_LETTER, "")
 
 
 def tokenize(cleaned: Column) -> Column:
     """Words of keyword-cleaned text."""
-    words = F.split(_plain_spaces(F.regexp_replace(cleaned, _SPLIT_WORDS, "$1 $2")), r"\s+")
+
+    def halved(text: Column) -> Column:
+        # A plain substring test is far cheaper than the pattern, and mostly fails.
+        found = F.lit(False)
+        for word in _HALVED:
+            found = found | text.contains(word)
+        return F.when(found, F.regexp_replace(text, _SPLIT_WORDS, "$1 $2")).otherwise(text)
+
+    words = F.split(_plain_spaces(let(cleaned, halved)), r"\s+")
     return F.filter(words, lambda word: word != "")
 
 
