@@ -8,20 +8,11 @@ from textloom.functions.text import clean_text
 from textloom.operators.extract import extract_pages
 from textloom.plans.items import pages_to_items
 
-PAGE = """
-<html>
-    <head>
-        <title>Test Page</title>
-    </head>
-    <body>
-        <div id="content">
-            <p>This is a test paragraph.</p>
-            <script type="text/javascript">var a = 1;</script>
-            <style>body {font-size: 14px;}</style>
-        </div>
-    </body>
-</html>
-"""
+PAGE = (
+    "<!doctype html><html><head><title>Test Page</title><style>p {margin: 0}</style></head>"
+    "<body><main class='text'><script>let seen = 0;</script>"
+    "<p>This is a test paragraph.</p><style>main {color: red}</style></main></body></html>"
+)
 READER = PageReader()
 
 

@@ -55,3 +55,7 @@ SPACE_CLASS = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+
+# Messages of refused requests and configurations.
+EMPTY_QUERY = "No terms entered."
+UNKNOWN_SINK = "Non-supported type : Choose either 's3' or 'local'"

@@ -17,7 +17,7 @@ def check_request(query: str, page: int, size: int) -> str:
     """The trimmed query; ``ValueError`` for a request that cannot be answered."""
     query = query.strip()
     if not query:
-        raise ValueError("No terms entered.")
+        raise ValueError(fixed.EMPTY_QUERY)
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
     if page * size > fixed.RESULT_WINDOW:

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from textloom.functions import fixed
 from textloom.schemas import ENRICHED, FAILURE, ITEM
 
 ITEMS_FILE = "final_data.jsonl"
@@ -24,7 +25,7 @@ def sink_path(config: Mapping[str, object], default_name: str = ITEMS_FILE) -> s
         return f"s3a://{config.get('s3_bucket')}/{name}"
     if kind == "local":
         return f"{str(config.get('directory_path', './')).rstrip('/')}/{name}"
-    raise ValueError("Non-supported type : Choose either 's3' or 'local'")
+    raise ValueError(fixed.UNKNOWN_SINK)
 
 
 def _append(df: DataFrame, columns: list[str], path: str) -> str:

@@ -9,6 +9,16 @@ from pyspark.sql import types as T
 from textloom.schemas import ENRICHED, FAILURE
 
 
+def _parsed_lines(spark: SparkSession, path: str, parse: Column) -> DataFrame:
+    """Lines ``value`` with their parsed form ``v``, where there is one.
+
+    The one-element outer explode keeps the filter above the parser. Directly on a
+    projection it would be pushed below, and every line would be parsed twice.
+    """
+    lines = spark.read.text(path).select("value", F.explode_outer(F.array(parse)).alias("v"))
+    return lines.where(F.col("v").isNotNull())
+
+
 def _text(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "string")
 
@@ -20,13 +30,10 @@ def scan_items(spark: SparkSession, path: str) -> DataFrame:
     or with a content that is not text) stays as a blank row, because it still
     counts in the size of the corpus. A missing content is just empty.
     """
-    lines = spark.read.text(path)
-    value = F.col("value")
-    parsed = lines.select(F.try_parse_json(value).alias("v")).where(F.col("v").isNotNull())
+    parsed = _parsed_lines(spark, path, F.try_parse_json(F.col("value")))
     v = F.col("v")
-    kind = F.schema_of_variant(v)
     content = F.try_variant_get(v, "$.content", "variant")
-    usable = kind.startswith("OBJECT") & (
+    usable = F.col("value").rlike(r"^\s*\{") & (
         content.isNull() | (F.schema_of_variant(content) == "STRING")
     )
 
@@ -54,9 +61,9 @@ def _well_formed(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     bad = "_corrupt_record"
     marked = T.StructType(schema.fields + [T.StructField(bad, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
-    parsed = spark.read.text(path).select(F.from_json("value", marked, options).alias("row"))
-    fine = parsed.where(F.col("row").isNotNull() & F.col(f"row.{bad}").isNull())
-    return fine.select(*[f"row.{name}" for name in schema.names])
+    parsed = _parsed_lines(spark, path, F.from_json("value", marked, options))
+    fine = parsed.where(F.col(f"v.{bad}").isNull())
+    return fine.select(*[f"v.{name}" for name in schema.names])
 
 
 def scan_processed_urls(spark: SparkSession, path: str) -> DataFrame:
