@@ -188,6 +188,15 @@ def test_dedup_stream_resumes(spark, tmp_path):
     assert sorted(urls) == ["a", "b", "c", "d"]
 
 
+def test_a_new_checkpoint_appends(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("a",)], "url string").write.parquet(source)
+    for name in ("one", "two"):
+        stream = spark.readStream.schema("url string").parquet(source)
+        SP.write_stream(stream, out, str(tmp_path / name), ["url"]).awaitTermination()
+    assert [r.url for r in spark.read.schema("url string").json(out).collect()] == ["a", "a"]
+
+
 def test_first_seen_limits_before_the_shuffle(spark):
     rows = spark.range(1000).select((F.col("id") % 7).alias("url"), F.col("id").alias("at"))
     first = L.first_seen(rows, "url", F.col("at"))

@@ -78,16 +78,19 @@ def write_stream(
     columns: list[str] | None = None,
     format: str = "json",
 ) -> StreamingQuery:
-    """Append a stream to ``path``, one sub-folder per micro-batch.
+    """Append a stream to ``path``, one sub-folder per query and micro-batch.
 
     A batch replayed after a failure replaces its own folder, so nothing is lost
-    or written twice; the checkpoint is where a restart goes on.
+    or written twice; the checkpoint is where a restart goes on. A new checkpoint
+    makes a new query, whose batches count from zero in a folder of their own.
     """
     columns = columns or ITEM.names
 
     def append(batch: DataFrame, batch_id: int) -> None:
+        context = batch.sparkSession.sparkContext
+        query = context.getLocalProperty("sql.streaming.queryId")
         batch.select(*columns).write.mode("overwrite").format(format).save(
-            f"{path}/batch={batch_id}"
+            f"{path}/query={query}/batch={batch_id}"
         )
 
     writer = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
