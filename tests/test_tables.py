@@ -242,10 +242,38 @@ def test_totals_are_capped(spark):
     assert S.totals(scored, 1, 1000, exact=True).first()[::3] == (12_000, 12)
 
 
+def zipf_corpus(spark):
+    words = ["ab", "cd", "ef", "gh", "ij", "kl", "mn"]
+    rows = [
+        (i, " ".join(word * (i % 3 + 1) for k, word in enumerate(words, 1) if i % k == 0))
+        for i in range(60)
+    ]
+    return spark.createDataFrame(rows, "doc_id long, content string")
+
+
 def test_large_vocabularies_are_shuffled(spark, monkeypatch):
     from textloom.operators import keywords as K
 
-    want = sorted(map(tuple, enrich_documents(corpus(spark)).collect()))
+    docs = zipf_corpus(spark)
+    want = sorted(map(tuple, enrich_documents(docs).collect()))
+    assert len({len(row[2]) for row in want}) > 2
+    # Room for the most common terms only: they are broadcast, the others shuffled.
+    for rows in (1, 5):
+        monkeypatch.setattr(K, "BROADCAST_ROWS", rows)
+        assert sorted(map(tuple, enrich_documents(docs).collect())) == want
+    # Room for none.
     monkeypatch.setattr(K, "BROADCAST_ROWS", 0)
     monkeypatch.setattr("textloom.session.F.broadcast", lambda df: pytest.fail("broadcast"))
-    assert sorted(map(tuple, enrich_documents(corpus(spark)).collect())) == want
+    assert sorted(map(tuple, enrich_documents(docs).collect())) == want
+
+
+def test_common_terms_fit_the_limit(spark):
+    from textloom.operators.keywords import _common_from
+
+    sizes = [5, 6, 9, 17, 30, 31, 200]
+    vocabulary = spark.createDataFrame([(str(n), n) for n in sizes], "term string, df long")
+    for limit in range(8):
+        cutoff = _common_from(vocabulary, limit)
+        broadcast = [] if cutoff is None else [n for n in sizes if n >= cutoff]
+        assert len(broadcast) <= limit
+    assert _common_from(vocabulary, 4) == 16 and _common_from(vocabulary, 0) is None

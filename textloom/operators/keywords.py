@@ -2,8 +2,9 @@
 
 Counting terms inside a document is row-local. Only two things are shuffled: one
 partial count per term and task for the document frequencies, and at most ten
-candidate terms per document and task for the ranking. The term table itself is
-shuffled only when the vocabulary is too large to broadcast.
+candidate terms per document and task for the ranking. Of the term table itself only
+the rows of uncommon terms are shuffled, and only when the vocabulary is too large to
+broadcast.
 """
 
 from __future__ import annotations
@@ -15,10 +16,9 @@ from textloom.functions import fixed
 from textloom.functions.analysis import explode_structs, with_term_counts
 from textloom.functions.language import detect_language, drop_stop_words
 from textloom.functions.text import keyword_clean, tokenize
-from textloom.session import small_or_shuffled
+from textloom.session import stash
 
-#: A vocabulary of at most this many rows is broadcast (some 100 MB as a hash
-#: table); a larger one is joined by shuffling both sides on the term.
+#: At most this many vocabulary rows are broadcast (some 100 MB as a hash table).
 BROADCAST_ROWS = 1_000_000
 
 
@@ -59,14 +59,38 @@ def doc_freq(
     return df.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_share * n_docs)))
 
 
+def _common_from(vocabulary: DataFrame, max_rows: int) -> int | None:
+    """Lowest power of two such that at most ``max_rows`` terms occur in that many
+    documents or more; None when even the most common terms are too many."""
+    power = F.floor(F.log2("df")).cast("int").alias("power")
+    sizes = vocabulary.groupBy(power).agg(F.count(F.lit(1)).alias("n")).collect()
+    cutoff, rows = None, 0
+    for size in sorted(sizes, reverse=True):
+        rows += size["n"]
+        if rows > max_rows:
+            break
+        cutoff = 2 ** size["power"]
+    return cutoff
+
+
 def join_vocabulary(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Term rows with their document frequency; pruned terms drop out.
 
     The vocabulary is written out first, so its size is known when the join is
-    planned. Beyond the limit both sides are shuffled on the term, where adaptive
-    execution splits the partitions of very common terms.
+    planned. Small, it is broadcast. Too large, its most common terms are, as many
+    as fit: they make up most term rows, and all the hot ones. Only rows of other
+    terms are then shuffled, and no term among those has many rows.
     """
-    return tf.join(small_or_shuffled(vocabulary, "vocabulary", BROADCAST_ROWS), "term")
+    vocabulary = stash(vocabulary, "vocabulary")
+    if vocabulary.count() <= BROADCAST_ROWS:
+        return tf.join(F.broadcast(vocabulary), "term")
+    cutoff = _common_from(vocabulary, BROADCAST_ROWS)
+    if cutoff is None:
+        return tf.join(vocabulary, "term")
+    common = F.broadcast(vocabulary.where(F.col("df") >= cutoff))
+    rare = vocabulary.where(F.col("df") < cutoff)
+    rest = tf.join(common.select("term"), "term", "left_anti")
+    return tf.join(common, "term").unionByName(rest.join(rare, "term"))
 
 
 def _weight(n_docs: int):
