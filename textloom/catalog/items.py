@@ -17,10 +17,6 @@ from textloom.sources.tables import read_documents, read_pages, read_table, spre
 AD_KEYWORDS = ("ad", "header")
 
 
-def _content(column):
-    return F.col("doc_id"), column(F.col("content"))
-
-
 def extract_title(spark, folder):
     return extract.extract_pages(read_pages(spark, folder)).select("page_id", "title")
 

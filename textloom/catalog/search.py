@@ -17,7 +17,6 @@ from textloom.sources.tables import read_documents, read_pages
 
 #: A query in the invented prose of the test tables, with a repeated word.
 QUERY = "the thion une elle the Nicht"
-KEYWORD = "ement"
 
 
 def analyze_text(spark, folder):

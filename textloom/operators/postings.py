@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.analysis import analyze, explode_structs, with_term_counts
+from textloom.functions.analysis import analyze, with_term_counts
 
 TEXT_FIELDS = ("title", "content")
 FIELDS = ("title", "keywords", "content")
