@@ -95,10 +95,10 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     Whole texts, as the tokenizer gives them without adding special tokens; special
     tokens written in a text become their ids. A null text is an empty one, which has no
-    ids. Other columns pass through; repeated rows are encoded alike; an empty table gives
+    ids. Other columns pass through (``ids`` is replaced); repeated rows are encoded alike; an empty table gives
     no rows. Rows stay in their tasks: no text is shuffled.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop("ids")
     known = stash(word_table(docs, path), "bpe-words")
     # At most TABLE_WORDS words of TABLE_WORD_CHARS characters.
     table = spark.sparkContext.broadcast({r.word: r.ids for r in known.collect()})
@@ -141,9 +141,10 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 def decode_documents(coded: DataFrame, path: str) -> DataFrame:
     """``coded`` with ``decoded``: the bytes of ``ids``, joined to the vocabulary's pieces.
 
-    Special tokens are written out. Bytes that are no UTF-8 become U+FFFD. No ids give an
+    Special tokens are written out; a column ``decoded`` is replaced. Bytes that are no UTF-8 become U+FFFD. No ids give an
     empty text.
     """
+    coded = coded.drop("decoded")
     at = coded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -111,13 +111,15 @@ def multinomial_slots(quotas: list[int], n_shards: int, seed: int) -> np.ndarray
 def mix(docs: DataFrame, total_share: float, most_times: float, seed: int = 0):
     """The mix of ``docs`` as two tables: ``rows, slots``.
 
-    ``rows``: the documents (all columns, for which the names ``size``, ``source_size``,
-    ``target``, ``start`` and ``_text_hash`` must be free; ``doc_id, source, text`` are
-    read) with the number of words, their source's size and target, and the word of
-    their source at which they begin. ``slots``: ``shard, slot, source, block``, one row
+    ``rows``: the documents (of whose columns ``doc_id, source, text`` are read) with
+    ``size``, the number of words, ``source_size`` and ``target`` of their source, and
+    ``start``, the word of their source at which they begin. Columns of these names, and
+    those that begin with ``_``, are left out. ``slots``: ``shard, slot, source, block``, one row
     for each block the mix takes. A null text has no words and is never taken; nulls are
     a source of their own. An empty table gives two empty tables.
     """
+    own = {"size", "source_size", "target", "start"}
+    docs = docs.select(*[c for c in docs.columns if c not in own and c[0] != "_"])
     sized = docs.withColumns(
         {"size": F.size(words_of("text")).cast("long"), "_text_hash": F.xxhash64("text")}
     )
@@ -225,13 +227,14 @@ def taken_words(rows: DataFrame, slots: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, total_share: float, most_times: float, seed: int = 0):
-    """Documents of the mix, with the columns of ``docs``; ``n_chars`` is counted anew.
+    """Documents of the mix: ``doc_id, text, lang, source, n_chars``, which is counted anew.
 
     A document is there once for each time any of its blocks is taken. Its text holds the
     blocks that are taken at least that often, in order, with their own white space; it
     is unchanged where all are.
     """
-    rows, slots = mix(docs, total_share, most_times, seed)
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows, slots = mix(docs.select(*columns), total_share, most_times, seed)
     rows = stash(rows, "mix-rows")
     found = taken_pieces(rows.select("source", "start", "size"), slots)
     by_doc = found.groupBy(F.struct("source").alias("_s"), F.col("start").alias("_start")).agg(
@@ -253,5 +256,5 @@ def mixed_documents(docs: DataFrame, total_share: float, most_times: float, seed
     rows = rows.withColumn("_parts", parts)
     rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(
-        *docs.columns
+        *columns
     )
