@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import urls as U
@@ -25,6 +26,10 @@ CANONICAL = {
     "http://e.com/a+b;c=(d)": "http://e.com/a+b;c=(d)",
     "http://e.com/a?": "http://e.com/a",
     "http://e.com?a=1": "http://e.com/?a=1",
+    "http://e.com/caf%e9": "http://e.com/caf%E9",
+    "http://e.com/caf%E8?q=%e9": "http://e.com/caf%E8?q=%E9",
+    "http://e.com:/a": "http://e.com/a",
+    "mailto:a@b#c": "mailto:a@b",
 }
 
 
@@ -117,22 +122,14 @@ def test_status_classes(spark):
     rows = spark.createDataFrame([(c,) for c in codes], "c int").coalesce(1)
     got = {r.c: r.o for r in rows.select("c", O.classify_status(F.col("c")).alias("o")).collect()}
     assert got == codes
-    left = F.col("c")
-    spent = rows.where("c = 503").select(
-        O.after_retries(F.lit("retry"), F.lit(4)), O.after_retries(F.lit("retry"), F.lit(5)),
-        O.after_retries(F.lit("ok"), F.lit(9)), O.classify_status(left),
-    )
-    assert tuple(spent.first()) == ("retry", "fail", "ok", "retry")
 
 
 def attempts():
     rng = random.Random(2)
     rows, i = [], 0
     for url in ["hot"] * 400 + [f"u{n}" for n in range(30) for _ in range(n % 14)]:
-        status, exception = rng.choice(
-            [(503, None), (429, None), (None, "TimeoutError"), (None, "ValueError"), (404, None),
-             (200, None), (500, None)]
-        )
+        often = [(503, None), (429, None), (None, "TimeoutError"), (500, None)] * 5
+        status, exception = rng.choice([*often, (None, "ValueError"), (404, None), (200, None)])
         rows.append((i, url, status, exception))
         i += 1
     rng.shuffle(rows)
@@ -140,13 +137,14 @@ def attempts():
 
 
 def brute_force(rows):
-    turns, out = {}, set()
+    """First spent budget of each URL; any other outcome ends a row of retries."""
+    turns, out = {}, {}
     for _, url, status, exception in sorted(rows):
-        if status in (503, 429, 500) or exception == "TimeoutError":
-            turns[url] = turns.get(url, 0) + 1
-            if turns[url] == 6:
-                out.add((url, exception or str(status)))
-    return out
+        retry = status in (503, 429, 500) or exception == "TimeoutError"
+        turns[url] = turns.get(url, 0) + 1 if retry else 0
+        if turns[url] == 6:
+            out.setdefault(url, exception or str(status))
+    return set(out.items())
 
 
 LOG = "fetch_id long, url string, status int, exception string"
@@ -155,8 +153,11 @@ LOG = "fetch_id long, url string, status int, exception string"
 def test_retry_budget_batch_and_stream(spark, tmp_path):
     rows = attempts()
     want = brute_force(rows)
-    batch = O.retry_exhausted(spark.createDataFrame(rows, LOG), F.col("fetch_id"))
+    log = spark.createDataFrame(rows, LOG)
+    batch = O.retry_exhausted(log)
     assert {tuple(r) for r in batch.collect()} == want and len(want) > 3
+    at_once = {(url, str(status)) for _, url, status, _ in rows if status == 404}
+    assert {tuple(r) for r in O.failed_urls(log).collect()} == want | at_once
 
     # The same attempts over several micro-batches, with a restart in between.
     rows.sort()
@@ -166,11 +167,31 @@ def test_retry_budget_batch_and_stream(spark, tmp_path):
         frame.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(source)
         SP.write_stream(
-            SF.retry_budget_stream(stream), out, str(tmp_path / "ckpt"),
+            SF.all_failures_stream(stream), out, str(tmp_path / "ckpt"),
             ["failed_url", "error_code"], "parquet",
         ).awaitTermination()
     got = spark.read.parquet(out).select("failed_url", "error_code").collect()
-    assert sorted(map(tuple, got)) == sorted(want)
+    assert sorted(map(tuple, got)) == sorted(want | at_once)
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 50, 10_000])
+def test_turns_do_not_depend_on_slices(spark, size):
+    """A URL's attempts are counted in slices of the log, of whatever size."""
+    log = spark.createDataFrame(attempts(), LOG)
+    turned = O.with_turns(log, F.floor(F.col("fetch_id") / size))
+    got = {r.fetch_id: r.turn for r in turned.collect() if r.outcome == "retry"}
+    turns, want = {}, {}
+    for i, url, status, exception in sorted(attempts()):
+        retry = status in (503, 429, 500) or exception == "TimeoutError"
+        turns[url] = turns.get(url, 0) + 1 if retry else 0
+        if retry:
+            want[i] = turns[url]
+    assert got == want
+
+
+def test_a_success_ends_a_row_of_retries(spark):
+    rows = [(i, "u", 200 if i == 3 else 503, None) for i in range(7)]
+    assert O.retry_exhausted(spark.createDataFrame(rows, LOG)).count() == 0
 
 
 def test_dedup_stream_resumes(spark, tmp_path):
@@ -188,6 +209,52 @@ def test_dedup_stream_resumes(spark, tmp_path):
     assert sorted(urls) == ["a", "b", "c", "d"]
 
 
+def test_bounded_dedup_keeps_late_rows(spark, tmp_path):
+    """A URL never seen before passes, however old its own time is."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (["a"], ["c"], ["b", "a"]):
+        spark.createDataFrame([(u,) for u in part], "url string").coalesce(1).write.mode(
+            "append"
+        ).parquet(source)
+        stream = spark.readStream.schema("url string").parquet(source)
+        once = SP.dedup_stream(stream, keep_for="1 day")
+        SP.write_stream(once, out, str(tmp_path / "ckpt"), ["url"]).awaitTermination()
+    urls = [r.url for r in spark.read.schema("url string").json(out).collect()]
+    assert sorted(urls) == ["a", "b", "c"]
+
+
+def test_long_robots_rules_hold(spark):
+    long = "/" + "a" * 2500
+    urls = spark.createDataFrame([(1, "http://e" + long), (2, "http://e/b")], "id int, url string")
+    rules = spark.createDataFrame([("e", False, long)], "host string, allow boolean, pattern string")
+    assert [r.id for r in L.robots_admission(urls, rules, "id").collect()] == [2]
+
+
+def test_work_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from textloom import session
+
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *a: None),
+        sparkContext=SimpleNamespace(
+            master="local-cluster[2,1,1024]", applicationId="x",
+            _jsc=SimpleNamespace(
+                sc=lambda: SimpleNamespace(
+                    getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False)
+                )
+            ),
+        ),
+    )
+    with pytest.raises(ValueError):
+        session.work_root(cluster)
+    written = session.stash(spark.range(3), "to-clear")
+    assert session.bytes_of(written) > 0 and written.count() == 3
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr("textloom.session.F.broadcast", lambda df: pytest.fail("broadcast"))
+    session.small_or_shuffled(spark.range(3), "large-by-bytes", 100)
+
+
 def test_a_new_checkpoint_appends(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([("a",)], "url string").write.parquet(source)

@@ -9,6 +9,7 @@ from textloom.functions import urls as U
 from textloom.operators import failures as O
 from textloom.operators import links as L
 from textloom.operators.frontier import crawl_frontier as walk
+from textloom.plans.crawl import crawl_step as step
 from textloom.sources.tables import read_pages, read_table
 
 DOMAINS = ("example.com", "spam-farm.example.org")
@@ -35,10 +36,15 @@ def canonical_url(spark, folder):
     more = F.concat(
         bare, F.when(bare.contains("?"), "&").otherwise("?"), F.lit("z=1&a=2&page=1&b#frag")
     )
+    # Escapes of Latin-1 bytes, which are no UTF-8, and an empty port.
+    latin = F.concat(
+        F.lit("HTTP://e.com:/caf%e9/"), F.col("page_id").cast("string"), F.lit("/%E8?q=%e8&a=1#x")
+    )
     return pages.select(
         "page_id",
         U.canonical_url(F.col("url")).alias("canonical"),
         U.canonical_url(more).alias("canonical_more"),
+        U.canonical_url(latin).alias("canonical_latin"),
     )
 
 
@@ -93,6 +99,15 @@ def crawl_frontier(spark, folder):
     return reached.select(F.col("url").alias("page_id"), F.col("depth").cast("long").alias("depth"))
 
 
+def crawl_step(spark, folder):
+    """Links of all pages that are still to be fetched."""
+    found = step(
+        read_pages(spark, folder), fixtures.robots_rules(spark, folder),
+        fixtures.processed_pages(spark, folder), fixtures.failed_pages(spark, folder),
+    )
+    return found.select("url", "canonical", F.col("depth").cast("long").alias("depth"))
+
+
 def classify_status(spark, folder):
     log = fixtures.fetch_log(spark, folder).where(F.col("status").isNotNull())
     return log.select("fetch_id", O.classify_status(F.col("status")).alias("outcome"))
@@ -104,11 +119,11 @@ def classify_exception(spark, folder):
 
 
 def retry_exhausted(spark, folder):
-    return O.retry_exhausted(fixtures.fetch_log(spark, folder), F.col("fetch_id"))
+    return O.retry_exhausted(fixtures.fetch_log(spark, folder))
 
 
 def failed_urls(spark, folder):
-    return O.failed_urls(fixtures.fetch_log(spark, folder), F.col("fetch_id"))
+    return O.failed_urls(fixtures.fetch_log(spark, folder))
 
 
 def fetch_stats(spark, folder):
@@ -127,6 +142,7 @@ QUERIES = {
     "seen_urls": seen_urls,
     "first_seen_url": first_seen_url,
     "crawl_frontier": crawl_frontier,
+    "crawl_step": crawl_step,
     "classify_status": classify_status,
     "classify_exception": classify_exception,
     "retry_exhausted": retry_exhausted,
@@ -176,7 +192,8 @@ def oracles() -> dict[str, str]:
             SELECT dst_canonical, count(*) AS n_links FROM named GROUP BY dst_canonical""",
         "canonical_url": (
             f"SELECT page_id, {_canonical('url')} AS canonical, "
-            f"{_canonical('more')} AS canonical_more "
+            f"{_canonical('more')} AS canonical_more, "
+            "'http://e.com/caf%E9/' || page_id || '/%E8?a=1&q=%E8' AS canonical_latin "
             f"FROM (SELECT page_id, url, {more} AS more FROM pages) p"
         ),
         "url_admission": r"""
@@ -228,6 +245,26 @@ def oracles() -> dict[str, str]:
               UNION
               SELECT dst, depth + 1 FROM walk JOIN edges ON page_id = src WHERE depth < 40)
             SELECT page_id, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY page_id""",
+        "crawl_step": rf"""
+            WITH {_LINKS},
+            {sql.VISITED},
+            named AS (SELECT *, regexp_extract(dst_url, '^[a-z]+://[^/]+', 0)
+              || replace(replace(url_encode(regexp_extract(dst_url, '^[a-z]+://[^/]+(.*)$', 1)),
+                   '%2F', '/'), '%2C', ',') AS canonical FROM links
+              WHERE NOT contains(dst_url, 'robots.txt') AND NOT regexp_matches(dst_url,
+                '/sitemap\.xml$|/sfuser/.*|/connexion$|/inscription$|/mentions-legales$|/aide$|/faq$|/infolettres$')
+              AND NOT regexp_matches(lower(dst_url), '\.(txt|xml|pdf|zip)$')),
+            once AS (SELECT *, row_number() OVER (PARTITION BY canonical ORDER BY page_id, pos) AS nth
+              FROM named),
+            new AS (SELECT dst_url AS url, canonical,
+                regexp_extract(dst_url, '^[a-z]+://[^/?#]+([^#]*)', 1) AS path
+              FROM once WHERE nth = 1 AND dst_url NOT IN (SELECT url FROM processed)
+                AND dst_url NOT IN (SELECT failed_url FROM failed)),
+            hits AS (SELECT canonical, allow, row_number() OVER (
+                PARTITION BY canonical ORDER BY length(pattern) DESC, allow DESC) AS n
+              FROM new JOIN {rules} ON regexp_matches(path, regex))
+            SELECT url, canonical, 1::BIGINT AS depth FROM new
+            WHERE canonical NOT IN (SELECT canonical FROM hits WHERE n = 1 AND NOT allow)""",
         "classify_status": f"{log} SELECT fetch_id, outcome FROM classed WHERE exception IS NULL",
         "classify_exception": (
             f"{log} SELECT fetch_id, outcome FROM classed WHERE exception IS NOT NULL"

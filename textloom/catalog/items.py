@@ -9,8 +9,13 @@ from textloom.functions import text
 from textloom.operators import extract
 from textloom.plans.items import cleaned_items, pages_to_items
 from textloom.session import work_path
-from textloom.sinks.jsonl import write_items
-from textloom.sources.jsonl import scan_items, scan_processed_urls
+from textloom.sinks.jsonl import write_enriched, write_failures, write_items
+from textloom.sources.jsonl import (
+    scan_documents,
+    scan_failed_urls,
+    scan_items,
+    scan_processed_urls,
+)
 from textloom.sources.tables import read_documents, read_pages, read_table, spread
 
 #: The test pages mark advertising with class="ad", which no default keyword hits.
@@ -46,7 +51,8 @@ def items(spark, folder):
 
 
 def valid_items(spark, folder):
-    return pages_to_items(read_pages(spark, folder))
+    """Cleaned items held against the required fields, one rule at a time."""
+    return extract.valid_items(cleaned_items(read_pages(spark, folder)))
 
 
 def rejected_items(spark, folder):
@@ -113,6 +119,66 @@ def scan_items_jsonl(spark, folder):
     return scan_items(spark, path).select("title", "url", "content")
 
 
+def items_once(spark, folder):
+    """Every page twice, the second time under a larger id: one item each."""
+    pages = read_pages(spark, folder)
+    again = pages.withColumn("page_id", F.col("page_id") + 1_000_000)
+    return pages_to_items(pages.unionByName(again))
+
+
+def _hard_lines(spark, folder):
+    """Ten lines a page, as a folder of text files."""
+    url = F.concat(F.lit("http://e/"), F.col("page_id").cast("string"))
+    long = F.concat(F.repeat(F.lit("x"), 30), F.lit(" end"))
+    line = lambda form, *parts: F.format_string(form, *parts)
+    lines = F.array(
+        line('{"title": "t", "url": "%s/a", "content": "c", "keywords": ["k", "l"]}', url),
+        line('{"title": "t", "url": "%s/b", "content": "c", "keywords": "k"}', url),
+        line('{"title": "old", "url": "%s/c", "content": "c", "title": "new"}', url),
+        line('{"title": "t", "url": "%s/d", "content": null}', url),
+        line('{"title": "t", "url": "%s/e"}', url),
+        line('{"url": "%s/f", "content": "%s"}', url, long),
+        line("{bad %s", url), line("[%s]", F.col("page_id")), F.lit(""), F.lit("null"),
+    )
+    path = work_path(spark, "hard-lines")
+    rows = read_table(spark, folder, "pages").select("page_id", F.explode(lines).alias("value"))
+    rows.select("value").write.text(path)
+    return path
+
+
+def scan_hard_lines(spark, folder):
+    found = scan_items(spark, _hard_lines(spark, folder))
+    return found.withColumn("keywords", F.array_join("keywords", ","))
+
+
+def documents_scan(spark, folder):
+    found = scan_documents(spark, _hard_lines(spark, folder))
+    return found.withColumn("keywords", F.array_join("keywords", ","))
+
+
+def failed_scan(spark, folder):
+    """Failures written to the sink, repeated, and read back once each."""
+    config = {"type": "local", "directory_path": work_path(spark, "failed")}
+    failed = fixtures.failed_pages(spark, folder)
+    return scan_failed_urls(spark, write_failures(failed.unionByName(failed), config))
+
+
+def enriched_round_trip(spark, folder):
+    """Items with a keyword, written as enriched documents and read back."""
+    items = fixtures.items(spark, folder).withColumn("keywords", F.array(F.substring("title", 1, 3)))
+    path = write_enriched(items, work_path(spark, "enriched"))
+    return scan_documents(spark, path).withColumn("keywords", F.array_join("keywords", ","))
+
+
+def record_kinds(spark, folder):
+    """Pages as items, fetch failures as the other kind, split and counted by URL."""
+    pages = read_table(spark, folder, "pages").select("url", F.lit("item").alias("kind"))
+    failed = fixtures.failed_pages(spark, folder).select(F.col("failed_url").alias("url"), F.lit(None).alias("kind"))
+    items, others = extract.split_kinds(pages.unionByName(failed))
+    both = items.withColumn("is_item", F.lit(True)).unionByName(others.withColumn("is_item", F.lit(False)))
+    return both.groupBy("url", "is_item").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
     "extract_title": extract_title,
     "extract_content": extract_content,
@@ -128,6 +194,12 @@ QUERIES = {
     "result_defaults": result_defaults,
     "processed_urls": processed_urls,
     "scan_items_jsonl": scan_items_jsonl,
+    "items_once": items_once,
+    "scan_hard_lines": scan_hard_lines,
+    "documents_scan": documents_scan,
+    "failed_scan": failed_scan,
+    "enriched_round_trip": enriched_round_trip,
+    "record_kinds": record_kinds,
 }
 
 _TAGLESS = (
@@ -182,5 +254,23 @@ def oracles() -> dict[str, str]:
               CASE WHEN lang <> 'es' THEN text ELSE 'No Content' END AS content
             FROM documents""",
         "processed_urls": f"WITH {sql.ITEMS} SELECT DISTINCT url FROM items",
+        "items_once": f"WITH {sql.ITEMS} SELECT doc_id AS page_id, title, url, content FROM items",
+        "scan_hard_lines": """
+            SELECT title, CASE WHEN name = '' THEN '' ELSE 'http://e/' || page_id || name END AS url,
+              content, keywords
+            FROM pages, (VALUES ('t', '/a', 'c', 'k,l'), ('t', '/b', 'c', 'k'), ('new', '/c', 'c', ''),
+              ('', '', '', ''), ('t', '/e', '', ''), ('', '/f', repeat('x', 30) || ' end', ''),
+              ('', '', '', ''), ('', '', '', '')) AS h(title, name, content, keywords)""",
+        "documents_scan": """
+            SELECT title, 'http://e/' || page_id || name AS url, content, keywords
+            FROM pages, (VALUES ('t', '/a', 'c', 'k,l'), ('t', '/b', 'c', 'k'), ('new', '/c', 'c', NULL),
+              ('t', '/d', NULL, NULL), ('t', '/e', NULL, NULL),
+              (NULL, '/f', repeat('x', 30) || ' end', NULL)) AS h(title, name, content, keywords)""",
+        "failed_scan": f"WITH {sql.VISITED} SELECT DISTINCT failed_url, error_code FROM failed",
+        "enriched_round_trip": f"""WITH {sql.ITEMS}
+            SELECT title, url, substring(title, 1, 3) AS keywords, content FROM items""",
+        "record_kinds": f"""WITH {sql.VISITED}
+            SELECT url, true AS is_item, count(*) AS n FROM pages GROUP BY url
+            UNION ALL SELECT failed_url, false, count(*) FROM failed GROUP BY failed_url""",
         "scan_items_jsonl": f"WITH {sql.ITEMS} SELECT title, url, content FROM items",
     }

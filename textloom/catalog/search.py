@@ -10,7 +10,7 @@ from textloom.functions.analysis import analyze
 from textloom.functions.urls import host
 from textloom.operators import postings as P
 from textloom.operators import search as S
-from textloom.plans.index import count_documents, create_index, refresh_index
+from textloom.plans.index import create_index, open_index, postings_of, refresh_index
 from textloom.plans.search import scored_documents, search as run_search
 from textloom.session import stash, work_path
 from textloom.sources.tables import read_documents, read_pages
@@ -51,11 +51,10 @@ def search_bm25(spark, folder):
 
 
 def _field_scores(spark, folder, query):
-    from textloom.plans.index import postings_of
-
     index = fixtures.index(spark, folder)
     terms = S.query_terms(spark, query)
-    return S.field_scores(postings_of(index, sorted({*terms, query})), index.stats, terms, query)
+    postings, frequencies = postings_of(index, sorted({*terms, query}))
+    return S.field_scores(postings, index.stats, terms, query, frequencies)
 
 
 def search_keywords(spark, folder):
@@ -121,7 +120,19 @@ def index_count(spark, folder):
     root = work_path(spark, "counted-index")
     create_index(spark, root)
     refresh_index(fixtures.items(spark, folder).withColumn("keywords", F.array()), root)
-    return spark.createDataFrame([(count_documents(spark, root),)], "n long")
+    return open_index(spark, root).docs.agg(F.count(F.lit(1)).alias("n"))
+
+
+def empty_index_search(spark, folder):
+    """Totals of a search in a new index, and in one refreshed to no documents."""
+    root = work_path(spark, "empty-index")
+    create_index(spark, root)
+    _, new = run_search(open_index(spark, root), QUERY)
+    none = fixtures.items(spark, folder).where(F.col("title").isNull())
+    refresh_index(none.withColumn("keywords", F.array()), root)
+    found, emptied = run_search(open_index(spark, root), QUERY)
+    counts = found.agg(F.count(F.lit(1)).alias("n_results"))
+    return new.union(emptied).join(counts).select("total", "total_pages", "n_results")
 
 
 QUERIES = {
@@ -138,6 +149,7 @@ QUERIES = {
     "search": search,
     "lookup_url": lookup_url,
     "index_count": index_count,
+    "empty_index_search": empty_index_search,
 }
 
 
@@ -226,8 +238,8 @@ def oracles() -> dict[str, str]:
               FROM (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS h
                     FROM pages) p) q WHERE n = 1""",
         "search_total": (
-            f"{indexed}, {scored} SELECT least(count(*), 10000) AS total, "
-            "least((least(count(*), 10000) + 9) // 10, 27) AS total_pages FROM best"
+            f"{indexed}, {scored} SELECT count(*) AS total, "
+            "least((count(*) + 9) // 10, 27) AS total_pages FROM best"
         ),
         "search": rf"""{indexed}, {scored}, {JOINED},
             firsts AS (
@@ -242,5 +254,10 @@ def oracles() -> dict[str, str]:
             f"WITH {sql.ITEMS} SELECT doc_id, title, url FROM items "
             "WHERE url = (SELECT min(url) FROM items)"
         ),
+        "empty_index_search": (
+            "SELECT total, total_pages, n_results FROM (SELECT count(*) AS total, "
+            "0::BIGINT AS total_pages, 0::BIGINT AS n_results FROM pages WHERE page_id IS NULL), "
+            "range(2)"
+        ),
         "index_count": f"WITH {sql.ITEMS} SELECT count(*) AS n FROM items",
     }

@@ -156,10 +156,15 @@ classed AS (
       WHEN status IN (403, 404, 406) THEN 'fail'
       WHEN status IN (500, 502, 503, 504, 408, 429) THEN 'retry' ELSE 'ok' END AS outcome
   FROM log),
+runs AS (
+  SELECT *, count(*) FILTER (outcome <> 'retry') OVER (PARTITION BY url ORDER BY fetch_id) AS run
+  FROM classed),
 turns AS (
-  SELECT url, error_code, row_number() OVER (PARTITION BY url ORDER BY fetch_id) AS turn
-  FROM classed WHERE outcome = 'retry'),
-exhausted AS (SELECT url AS failed_url, error_code FROM turns WHERE turn = 6),
+  SELECT *, row_number() OVER (PARTITION BY url, run ORDER BY fetch_id) AS turn
+  FROM runs WHERE outcome = 'retry'),
+spent AS (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY fetch_id) AS nth FROM turns WHERE turn = 6),
+exhausted AS (SELECT url AS failed_url, error_code FROM spent WHERE nth = 1),
 at_once AS (
   SELECT DISTINCT url AS failed_url, error_code FROM classed WHERE outcome = 'fail')"""
 

@@ -6,7 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.catalog import fixtures, sql
+from textloom.schemas import FAILURE
 from textloom.session import work_path
+from textloom.sinks.jsonl import FAILURES_FILE, sink_path
+from textloom.sources.jsonl import scan_failed_urls
 from textloom.streaming import failures as S
 from textloom.streaming import pages as P
 
@@ -37,9 +40,9 @@ def stream_dedup_urls(spark, folder):
 
 
 def stream_dedup_bounded(spark, folder):
-    """The same with a key kept for ten years of event time: none is forgotten."""
-    urls = fixtures.fetch_log_stream(spark, folder).select("url", "ts")
-    once = P.dedup_stream(urls, event_time="ts", keep_for="3650 days")
+    """The same with a key kept for ten years: none is forgotten, no row is too late."""
+    urls = fixtures.fetch_log_stream(spark, folder).select("url")
+    once = P.dedup_stream(urls, keep_for="3650 days")
     return _run(spark, once, "stream-dedup-bounded", ["url"])
 
 
@@ -59,6 +62,22 @@ def stream_failed(spark, folder):
     return _run(spark, failed, "stream-failed", ["failed_url", "error_code"])
 
 
+def stream_failed_all(spark, folder):
+    """All failures of the log, appended to the failure sink and scanned back."""
+    path = sink_path({"type": "local", "directory_path": work_path(spark, "failures")}, FAILURES_FILE)
+    failed = S.all_failures_stream(fixtures.fetch_log_stream(spark, folder))
+    ckpt = work_path(spark, "failures-ckpt")
+    P.write_stream(failed, path, ckpt, FAILURE.names).awaitTermination()
+    return scan_failed_urls(spark, path)
+
+
+def stream_items_once(spark, folder):
+    """Every page twice, the second time under another id: one item each."""
+    pages = _pages(spark, folder)
+    twice = pages.withColumn("page_id", F.explode(F.array("page_id", F.col("page_id") + 1_000_000)))
+    return _run(spark, P.items_stream(twice), "stream-once", ["title", "url", "content"])
+
+
 def stream_items_sink(spark, folder):
     """Items appended as JSON lines, read back from the sink."""
     path = work_path(spark, "sink")
@@ -76,6 +95,8 @@ QUERIES = {
     "stream_new_urls": stream_new_urls,
     "stream_retry_budget": stream_retry_budget,
     "stream_failed": stream_failed,
+    "stream_failed_all": stream_failed_all,
+    "stream_items_once": stream_items_once,
     "stream_items_sink": stream_items_sink,
 }
 
@@ -94,5 +115,7 @@ def oracles() -> dict[str, str]:
         ),
         "stream_retry_budget": f"{log} SELECT failed_url, error_code FROM exhausted",
         "stream_failed": f"{log} SELECT failed_url, error_code FROM at_once",
+        "stream_failed_all": f"{log} SELECT * FROM at_once UNION SELECT * FROM exhausted",
+        "stream_items_once": f"WITH {sql.ITEMS} SELECT title, url, content FROM items",
         "stream_items_sink": f"WITH {sql.ITEMS} SELECT title, url, content FROM items",
     }

@@ -42,8 +42,6 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 PAGE_SIZE = 10
 PAGE_CAP = 27
-TOTAL_HITS_CAP = 10_000
-RESULT_WINDOW = 10_000
 SNIPPET_CHARS = 200
 DEFAULT_TITLE = "No Title"
 DEFAULT_URL = "#"

@@ -46,49 +46,81 @@ def path_and_query(url: Column) -> Column:
     return F.concat(F.when(own_path == "", "/").otherwise(own_path), query)
 
 
+def _escapes_upper(text: Column) -> Column:
+    """Escapes with upper-case digits, everything else as it is."""
+    parts = F.transform(
+        F.split(text, "%"),
+        lambda part, i: F.when((i == 0) | ~part.rlike("^[0-9A-Fa-f]{2}"), part).otherwise(
+            F.concat(F.upper(F.substring(part, 1, 2)), F.substr(part, F.lit(3)))
+        ),
+    )
+    return F.array_join(parts, "%")
+
+
+def _no_text(decoded: Column, source: Column) -> Column:
+    """True where escapes were no UTF-8: decoding put replacement characters in, which
+    would make one URL of many."""
+    given = F.upper(source).contains("%EF%BF%BD") | source.contains("\ufffd")
+    return F.coalesce(decoded.contains("\ufffd") & ~given, F.lit(False))
+
+
 def _canonical_path(url: Column) -> Column:
     own = path(url)
     # '+' is no space in a path, and an escaped '/' or '?' must stay escaped.
     guarded = F.replace(own, F.lit("+"), F.lit("%2B"))
     guarded = F.regexp_replace(guarded, r"%([23])[Ff]", "%25$1F")
-    encoded = F.url_encode(F.coalesce(F.try_url_decode(guarded), own))
+    decoded = F.try_url_decode(guarded)
+    encoded = F.url_encode(F.coalesce(decoded, own))
     for escape, char in _PATH_KEPT.items():
         encoded = F.replace(encoded, F.lit(escape), F.lit(char))
-    return F.when(own == "", "/").when(own.rlike(_PLAIN_PATH), own).otherwise(encoded)
+    return (
+        F.when(own == "", "/").when(own.rlike(_PLAIN_PATH), own)
+        .when(_no_text(decoded, own), _escapes_upper(own)).otherwise(encoded)
+    )
 
 
 def _canonical_query(url: Column) -> Column:
-    def decoded(text: Column) -> Column:
-        return F.coalesce(F.try_url_decode(text), text)
-
-    def encoded(text: Column) -> Column:
-        return F.replace(
-            F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~")
+    def canonical(text: Column) -> Column:
+        decoded = F.try_url_decode(text)
+        encoded = F.url_encode(F.coalesce(decoded, text))
+        encoded = F.replace(
+            F.replace(encoded, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~")
         )
+        return F.when(_no_text(decoded, text), _escapes_upper(text)).otherwise(encoded)
+
+    def order(text: Column) -> Column:
+        return F.coalesce(F.try_url_decode(text), text)
 
     def pair(arg: Column) -> Column:
         key = F.regexp_extract(arg, r"^([^=]*)", 1)
         value = F.regexp_extract(arg, r"^[^=]*=(.*)$", 1)
-        return F.struct(decoded(key).alias("key"), decoded(value).alias("value"))
+        return F.struct(
+            order(key).alias("k"), order(value).alias("v"),
+            canonical(key).alias("key"), canonical(value).alias("value"),
+        )
 
     args = F.filter(F.split(_part(url, _QUERY), "&"), lambda arg: arg != "")
     pairs = F.sort_array(F.transform(args, pair))
     return F.array_join(
-        F.transform(pairs, lambda p: F.concat_ws("=", encoded(p["key"]), encoded(p["value"]))),
-        "&",
+        F.transform(pairs, lambda p: F.concat_ws("=", p["key"], p["value"])), "&"
     )
 
 
 def canonical_url(url: Column) -> Column:
-    """One form for URLs that fetch the same thing: query sorted, fragment gone."""
+    """One form for URLs that fetch the same thing: query sorted, fragment and empty port
+    gone. Escapes that are no UTF-8 stay escapes. URLs without an authority (``mailto:``)
+    only lose their fragment."""
     query = _canonical_query(url)
-    return F.concat(
+    authority = F.regexp_replace(F.lower(_part(url, _AUTHORITY)), ":$", "")
+    full = F.concat(
         F.lower(_part(url, _SCHEME)),
         F.lit("://"),
-        F.lower(_part(url, _AUTHORITY)),
+        authority,
         _canonical_path(url),
         F.when(_part(url, _QUERY).rlike("[^&]"), F.concat(F.lit("?"), query)).otherwise(""),
     )
+    opaque = url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:(?!//)")
+    return F.when(opaque, F.regexp_replace(url, "#.*$", "")).otherwise(full)
 
 
 def admitted(

@@ -42,40 +42,75 @@ def with_outcome(log: DataFrame) -> DataFrame:
     )
 
 
-def after_retries(outcome_col: Column, retries: Column, limit: int = fixed.MAX_RETRIES) -> Column:
-    """What becomes of an attempt that had ``retries`` retries before it."""
-    return F.when((outcome_col == "retry") & (retries >= limit), "fail").otherwise(outcome_col)
+#: Log rows (by ``fetch_id``) of one slice, inside which attempts are counted first.
+SLICE_ROWS = 1_000_000
 
 
-def retry_exhausted(
-    log: DataFrame, *order: Column, limit: int = fixed.MAX_RETRIES
-) -> DataFrame:
-    """``failed_url, error_code`` of URLs whose retryable outcomes used up the budget:
-    the outcome after ``limit`` retries fails.
+def with_turns(log: DataFrame, slice_of: Column | None = None) -> DataFrame:
+    """``log`` with ``turn``: the how-manieth retryable outcome in a row of its URL.
 
-    Only the first ``limit + 1`` rows of a URL matter, and that limit is applied
-    before the shuffle too, so a URL with very many attempts is no hot key.
+    Any other outcome ends a row of retries: the counter belongs to one request, and the
+    next attempt of the URL is a new one. Attempts are in the order of ``fetch_id``.
+
+    A URL may have very many attempts, so they are counted in slices of the log, and
+    slices are put together: a slice without any other outcome hands on what came
+    before plus its own attempts, any other one what follows its last such outcome.
     """
-    retryable = with_outcome(log).where(F.col("outcome") == "retry")
-    turn = F.row_number().over(Window.partitionBy("url").orderBy(*order))
-    counted = retryable.withColumn("turn", turn).where(F.col("turn") <= limit + 1)
-    return counted.where(F.col("turn") == limit + 1).select(
-        F.col("url").alias("failed_url"), "error_code"
+    if slice_of is None:
+        slice_of = F.floor(F.col("fetch_id") / SLICE_ROWS)
+    rows = with_outcome(log).withColumn("__slice", slice_of)
+    rows = rows.withColumn("__ends", (F.col("outcome") != "retry").cast("int"))
+    inside = Window.partitionBy("url", "__slice").orderBy("fetch_id")
+    rows = rows.withColumn("__run", F.sum("__ends").over(inside))
+    run = Window.partitionBy("url", "__slice", "__run").orderBy("fetch_id")
+    rows = rows.withColumn("__nth", F.sum(1 - F.col("__ends")).over(run))
+    slices = rows.groupBy("url", "__slice").agg(
+        F.max("__run").alias("runs"), F.max_by("__nth", "fetch_id").alias("tail")
+    )
+    by_url = Window.partitionBy("url").orderBy("__slice")
+    before = by_url.rowsBetween(Window.unboundedPreceding, -1)
+    # Slices since the last one with another outcome, that one included, come before.
+    block = F.sum((F.col("runs") > 0).cast("int")).over(by_url)
+    slices = slices.withColumn("__block", block)
+    upto = Window.partitionBy("url", "__block").orderBy("__slice")
+    slices = slices.withColumn("__upto", F.sum("tail").over(upto))
+    carried = slices.select(
+        "url", "__slice", F.coalesce(F.last("__upto").over(before), F.lit(0)).alias("__carried")
+    )
+    turned = rows.join(carried, ["url", "__slice"])
+    turn = F.col("__nth") + F.when(F.col("__run") == 0, F.col("__carried")).otherwise(0)
+    return turned.withColumn("turn", turn).drop(
+        "__slice", "__ends", "__run", "__nth", "__carried"
+    )
+
+
+def _spent(limit: int) -> Column:
+    return (F.col("outcome") == "retry") & (F.col("turn") == limit + 1)
+
+
+def retry_exhausted(log: DataFrame, limit: int = fixed.MAX_RETRIES) -> DataFrame:
+    """``failed_url, error_code`` of URLs that used up a retry budget: the retryable
+    outcome after ``limit`` retries in a row fails. The first one of a URL counts."""
+    found = with_turns(log).where(_spent(limit)).groupBy("url").agg(
+        F.min_by("error_code", "fetch_id").alias("error_code")
     )
+    return found.select(F.col("url").alias("failed_url"), "error_code")
 
 
 def distinct_failures(failures: DataFrame) -> DataFrame:
     return failures.select("failed_url", "error_code").dropDuplicates()
 
 
-def failed_urls(log: DataFrame, *order: Column, limit: int = fixed.MAX_RETRIES) -> DataFrame:
-    """Distinct failures of a log: failed at once, or out of retries."""
-    at_once = (
-        with_outcome(log)
-        .where(F.col("outcome") == "fail")
-        .select(F.col("url").alias("failed_url"), "error_code")
+def failed_urls(log: DataFrame, limit: int = fixed.MAX_RETRIES) -> DataFrame:
+    """Distinct failures of a log: failed at once, or out of retries. One pass."""
+    turned = with_turns(log)
+    found = turned.where((F.col("outcome") == "fail") | _spent(limit))
+    # Of several spent budgets of a URL the first counts.
+    first = F.min(F.when(_spent(limit), F.col("fetch_id"))).over(Window.partitionBy("url"))
+    kept = found.withColumn("__first", first).where(
+        (F.col("outcome") == "fail") | (F.col("fetch_id") == F.col("__first"))
     )
-    return distinct_failures(at_once.union(retry_exhausted(log, *order, limit=limit)))
+    return distinct_failures(kept.select(F.col("url").alias("failed_url"), "error_code"))
 
 
 def fetch_stats(log: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions import fixed
 from textloom.functions.analysis import explode_structs
 from textloom.functions.html import links_of
 from textloom.functions.urls import canonical_url, host, path_and_query
@@ -13,6 +12,8 @@ from textloom.session import small_or_shuffled
 
 #: Hosts whose rule lengths may be broadcast; more are joined by a shuffle.
 BROADCAST_HOSTS = 200_000
+#: Ids of repeated pages that may be broadcast.
+BROADCAST_IDS = 2_000_000
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -32,9 +33,13 @@ def unseen(candidates: DataFrame, seen: DataFrame, key: str = "url", seen_key: s
     """Candidates whose URL is not among the seen ones; other columns are kept.
 
     An anti join: it is broadcast when the seen set is small at run time, and
-    shuffled on the URL otherwise.
+    shuffled on the URL otherwise. Repeats of a seen URL meet once: the build side of
+    an anti join is never split.
     """
-    return candidates.join(seen.select(F.col(seen_key).alias(key)), key, "left_anti")
+    once = seen.select(F.col(seen_key).alias(key))
+    if not once.isStreaming:
+        once = once.distinct()
+    return candidates.join(once, key, "left_anti")
 
 
 def seen_urls(processed: DataFrame, failed: DataFrame) -> DataFrame:
@@ -51,6 +56,21 @@ def first_seen(rows: DataFrame, key: str, *order: Column) -> DataFrame:
     return rows.withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__rank")
 
 
+def without_repeats(pages: DataFrame) -> DataFrame:
+    """The row with the smallest ``page_id`` of each URL.
+
+    Only ids and URLs are read to find the repeats, which are few, and taken out by id;
+    pages themselves are left where they are. Rows alike in id and URL are one page
+    stored twice and both stay.
+    """
+    named = pages.select("page_id", "url")
+    first = named.groupBy("url").agg(
+        F.min("page_id").alias("__first"), F.max("page_id").alias("__last")
+    ).where("__first < __last")
+    again = named.join(first, "url").where("page_id > __first").select("page_id").distinct()
+    return pages.join(small_or_shuffled(again, "repeats", BROADCAST_IDS), "page_id", "left_anti")
+
+
 # Robots rules -----------------------------------------------------------------
 
 _REGEX_SIGNS = r"([\\.+?^${}()|\[\]])"
@@ -60,7 +80,9 @@ def _rule_regex(pattern: Column) -> Column:
     """``*`` stands for anything and a final ``$`` for the end of the path."""
     anchored = pattern.endswith("$")
     body = F.when(anchored, F.regexp_replace(pattern, r"\$$", "")).otherwise(pattern)
-    escaped = F.regexp_replace(body, _REGEX_SIGNS, r"\\$1")
+    # A run of stars means what one means, and one in its place is matched faster.
+    once = F.regexp_replace(body, r"\*+", "*")
+    escaped = F.regexp_replace(once, _REGEX_SIGNS, r"\\$1")
     return F.concat(
         F.lit("^"), F.replace(escaped, F.lit("*"), F.lit(".*")), F.when(anchored, "$").otherwise("")
     )
@@ -83,12 +105,8 @@ def robots_admission(candidates: DataFrame, rules: DataFrame, id_column: str) ->
         F.length("pattern").alias("size"),
         _rule_regex(F.col("pattern")).alias("regex"),
     ).distinct()
-    # Literal lengths are bounded by the URL length limit, not by the rule count.
-    lengths = (
-        ruled.where(F.length("literal") <= fixed.MAX_URL_LENGTH)
-        .groupBy("host")
-        .agg(F.collect_set(F.length("literal")).alias("lengths"))
-    )
+    # Distinct literal lengths of a host: far fewer than its rules.
+    lengths = ruled.groupBy("host").agg(F.collect_set(F.length("literal")).alias("lengths"))
     lengths = small_or_shuffled(lengths, "robots-lengths", BROADCAST_HOSTS)
     paths = candidates.select(
         id_column, host(F.col("url")).alias("host"), path_and_query(F.col("url")).alias("path")
@@ -99,7 +117,9 @@ def robots_admission(candidates: DataFrame, rules: DataFrame, id_column: str) ->
         .where(F.col("length") <= F.length("path"))
         .withColumn("literal", F.expr("substring(path, 1, length)"))
     )
-    matches = probes.join(ruled, ["host", "literal"]).where(F.expr("path rlike regex"))
+    # A rule that is all literal is decided by the join: only wildcards need a pattern.
+    met = probes.join(ruled, ["host", "literal"])
+    matches = met.where((F.col("pattern") == F.col("literal")) | F.expr("path rlike regex"))
     # Longest first, allowing before refusing, as one number: an odd best allows.
     best = F.max(F.col("size") * 2 + F.col("allow").cast("int")).alias("best")
     refused = matches.groupBy(id_column).agg(best).where("best % 2 = 0").select(id_column)

@@ -20,8 +20,6 @@ def check_request(query: str, page: int, size: int) -> str:
         raise ValueError(fixed.EMPTY_QUERY)
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
-    if page * size > fixed.RESULT_WINDOW:
-        raise ValueError(f"page * size must not exceed {fixed.RESULT_WINDOW}")
     return query
 
 
@@ -46,10 +44,16 @@ def bm25(tf: Column, dl: Column, df: Column, n_docs: Column, avgdl: Column) -> C
 
 
 def field_scores(
-    postings: DataFrame, stats: DataFrame, terms: dict[str, int], query: str
+    postings: DataFrame,
+    stats: DataFrame,
+    terms: dict[str, int],
+    query: str,
+    frequencies: DataFrame | None = None,
 ) -> DataFrame:
     """``doc_id, title, keywords, content``: a score per field, NULL without a hit.
 
+    ``frequencies`` is ``field, term, df`` where it is stored, else it is counted.
+
     Both joined sides are tiny whatever the data: one row per field, and one per
     field and query term. The term frequencies are summed per task before the one
     shuffle, by document.
@@ -60,8 +64,12 @@ def field_scores(
         F.lit(1),
     )
     repeats = F.when(F.col("field") == "keywords", F.lit(1)).otherwise(repeats)
+    if frequencies is None:
+        known = term_stats(found)
+    else:
+        known = frequencies.where(F.col("term").isin(*terms, query)).select("field", "term", "df")
     scored = (
-        found.join(F.broadcast(term_stats(found)), ["field", "term"])
+        found.join(F.broadcast(known), ["field", "term"])
         .join(F.broadcast(stats), "field")
         .withColumn(
             "score",
@@ -122,10 +130,9 @@ def dedup_titles(results: DataFrame) -> DataFrame:
     return results.withColumn("__n", F.row_number().over(same)).where("__n = 1").drop("__n")
 
 
-def totals(scored: DataFrame, page: int, size: int, exact: bool = False) -> DataFrame:
+def totals(scored: DataFrame, page: int, size: int) -> DataFrame:
     """One row ``total, page, size, total_pages``."""
-    count = F.count(F.lit(1))
-    total = count if exact else F.least(count, F.lit(fixed.TOTAL_HITS_CAP).cast("long"))
+    total = F.count(F.lit(1))
     pages = F.expr(f"(total + {size} - 1) div {size}")
     return scored.agg(total.alias("total")).select(
         "total",

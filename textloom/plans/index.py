@@ -1,7 +1,8 @@
-"""The search index as three tables under one folder.
+"""The search index as four tables under one folder.
 
-``docs`` holds the stored fields, ``postings`` the terms, ``stats`` one row per
-field. Postings lie in term-hash folders and are range-sorted by term and
+``docs`` holds the stored fields, ``postings`` the terms, ``terms`` their document
+frequencies, ``stats`` one row per field, and one that names the term folders. Postings
+and terms lie in term-hash folders and are range-sorted by term and
 document inside them: a search reads the folders of its terms only, and a very
 common term is spread over several files.
 """
@@ -14,11 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import postings as P
-from textloom.schemas import index_schema
-from textloom.session import path_exists, stash
+from textloom.schemas import FIELD_STATS, POSTING, TERM, index_schema
+from textloom.session import bytes_of, path_exists, stash
+from textloom.sources.jsonl import scan_documents
 
-#: Term folders. About one per 20 GB of postings is a good size on a cluster.
+#: Term folders of a small index. A larger one gets one for so many bytes of analysed text.
 TERM_BUCKETS = 16
+BUCKET_BYTES = 8 << 30
+#: Bytes of analysed text that one writing task takes.
+TASK_BYTES = 256 << 20
+#: The row of ``stats`` that is there in an empty index too.
+_LAYOUT = "*"
 
 
 @dataclass(frozen=True)
@@ -31,6 +38,7 @@ class Refresh:
 class Index:
     docs: DataFrame
     postings: DataFrame
+    terms: DataFrame
     stats: DataFrame
     buckets: int
 
@@ -47,58 +55,89 @@ def create_index(spark: SparkSession, root: str) -> bool:
     """Create an empty index with the field mapping; False if there is one already."""
     if index_exists(spark, root):
         return False
+    for name, schema in (("postings", POSTING), ("terms", TERM)):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{name}")
+    _write_stats(spark.createDataFrame([], FIELD_STATS), TERM_BUCKETS, root)
+    # Last, because it says that there is an index.
     spark.createDataFrame([], index_schema()).write.parquet(f"{root}/docs")
     return True
 
 
+def _write_stats(stats: DataFrame, buckets: int, root: str) -> None:
+    layout = stats.sparkSession.createDataFrame([(_LAYOUT, 0, None, buckets)], FIELD_STATS)
+    rows = stats.select("field", "n_docs", "avgdl", F.lit(buckets).alias("buckets"))
+    rows.union(layout).coalesce(1).write.mode("overwrite").parquet(f"{root}/stats")
+
+
 def refresh_index(
-    enriched: DataFrame, root: str, buckets: int = TERM_BUCKETS
+    enriched: DataFrame, root: str, buckets: int | None = None
 ) -> Refresh | None:
     """Replace all documents of an index and its postings; None without an index.
 
     ``enriched`` has the stored fields and may bring a ``doc_id``; rows without
-    one are numbered, so equal rows stay separate documents.
+    one are numbered, so equal rows stay separate documents. The number of term folders
+    and of writing tasks follows from the bytes of analysed text.
     """
     spark = enriched.sparkSession
     if not index_exists(spark, root):
         print(f"No index at '{root}': create it first.")
         return None
-    deleted = spark.read.schema(index_schema()).parquet(f"{root}/docs").count()
+    deleted = count_documents(spark, root)
     if "doc_id" not in enriched.columns:
         enriched = enriched.withColumn("doc_id", F.monotonically_increasing_id())
     fields = [F.col(field.name).cast(field.dataType) for field in index_schema().fields]
+    # Written first: sorting by range would compute the rows twice, to sample and to sort.
+    stored = stash(enriched.select(*fields), "documents-to-index")
     # Sorted by id, so that fetching a page of results skips all other row groups.
     (
-        enriched.select(*fields)
-        .repartitionByRange("doc_id")
+        stored.repartitionByRange(_tasks(stored), "doc_id")
         .sortWithinPartitions("doc_id")
         .write.mode("overwrite")
         .option("parquet.bloom.filter.enabled#url", "true")
         .parquet(f"{root}/docs")
     )
-    docs = spark.read.schema(index_schema()).parquet(f"{root}/docs")
-    analyzed = stash(P.analyze_documents(docs), "analyzed")
-    bucketed = P.build_postings(analyzed).withColumn("bucket", _bucket(F.col("term"), buckets))
+    analyzed = stash(P.analyze_documents(stored), "analyzed")
+    buckets = buckets or max(TERM_BUCKETS, -(-bytes_of(analyzed) // BUCKET_BYTES))
+    place = _bucket(F.col("term"), buckets)
+    postings = P.build_postings(analyzed).withColumn("bucket", place)
     (
-        bucketed.repartitionByRange("bucket", "term", "doc_id")
+        postings.repartitionByRange(_tasks(analyzed), "bucket", "term", "doc_id")
         .sortWithinPartitions("bucket", "term", "doc_id")
         .write.mode("overwrite")
         .partitionBy("bucket")
         .parquet(f"{root}/postings")
     )
-    stats = P.field_stats(analyzed).withColumn("buckets", F.lit(buckets))
-    stats.coalesce(1).write.mode("overwrite").parquet(f"{root}/stats")
-    return Refresh(deleted=deleted, indexed=docs.count())
+    terms = P.term_stats(P.build_postings(analyzed)).withColumn("bucket", place)
+    terms = terms.select(*TERM.names).repartition("bucket").sortWithinPartitions("term")
+    terms.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/terms")
+    _write_stats(P.field_stats(analyzed), buckets, root)
+    return Refresh(deleted=deleted, indexed=stored.count())
+
+
+def _tasks(table: DataFrame) -> int:
+    slots = table.sparkSession.sparkContext.defaultParallelism
+    return max(slots, -(-bytes_of(table) // TASK_BYTES))
+
+
+def index_file(spark: SparkSession, path: str, root: str) -> Refresh | None:
+    """Refresh an index from a JSON-lines file of enriched documents; None, with a
+    message, where there is no index or no such file."""
+    if not path_exists(spark, path):
+        print(f"No file at '{path}': the index stays as it is.")
+        return None
+    numbered = scan_documents(spark, path).withColumn("doc_id", F.monotonically_increasing_id())
+    return refresh_index(stash(numbered, "numbered-documents"), root)
 
 
 def open_index(spark: SparkSession, root: str) -> Index:
-    stats = spark.read.parquet(f"{root}/stats")
-    first = stats.select("buckets").first()
+    stats = spark.read.schema(FIELD_STATS).parquet(f"{root}/stats")
+    layout = stats.where(F.col("field") == _LAYOUT).first()
     return Index(
         docs=spark.read.schema(index_schema()).parquet(f"{root}/docs"),
-        postings=spark.read.parquet(f"{root}/postings"),
-        stats=stats.drop("buckets"),
-        buckets=first["buckets"] if first else TERM_BUCKETS,
+        postings=spark.read.schema(POSTING).parquet(f"{root}/postings"),
+        terms=spark.read.schema(TERM).parquet(f"{root}/terms"),
+        stats=stats.where(F.col("field") != _LAYOUT).drop("buckets"),
+        buckets=layout["buckets"],
     )
 
 
@@ -106,9 +145,13 @@ def count_documents(spark: SparkSession, root: str) -> int:
     return spark.read.schema(index_schema()).parquet(f"{root}/docs").count()
 
 
-def postings_of(index: Index, terms: list[str]) -> DataFrame:
-    """Postings limited to the folders that can hold ``terms``."""
-    spark = index.docs.sparkSession
-    names = spark.createDataFrame([(term,) for term in terms], "term string")
+def _folders(index: Index, terms: list[str]) -> list[int]:
+    names = index.docs.sparkSession.createDataFrame([(term,) for term in terms], "term string")
     rows = names.select(_bucket(F.col("term"), index.buckets).alias("bucket")).collect()
-    return index.postings.where(F.col("bucket").isin(*{row["bucket"] for row in rows}))
+    return sorted({row["bucket"] for row in rows})
+
+
+def postings_of(index: Index, terms: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Postings and document frequencies, limited to the folders that can hold ``terms``."""
+    inside = F.col("bucket").isin(*_folders(index, terms))
+    return index.postings.where(inside), index.terms.where(inside)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textloom.functions import fixed
 from textloom.functions.text import clean_characters, keeps_something
 from textloom.operators.extract import clean_items, decode_items, emitted, extract_pages
-from textloom.operators.links import unseen
+from textloom.operators.links import unseen, without_repeats
 
 
 def cleaned_items(
@@ -26,13 +26,17 @@ def pages_to_items(
     seen_urls: DataFrame | None = None,
     exclude_keywords: Iterable[str] = fixed.EXCLUDE_KEYWORDS,
     exclude_tags: Iterable[str] = (),
+    once: bool = True,
 ) -> DataFrame:
-    """``page_id, title, url, content`` of valid items; narrow, no shuffle.
+    """``page_id, title, url, content`` of valid items, each URL once (the row with the
+    smallest ``page_id``). No page is shuffled unless very many URLs repeat.
 
-    URLs already seen are removed before a page is parsed, not after.
+    URLs already seen, and repeats, are removed before a page is parsed, not after.
     """
     if seen_urls is not None:
         pages = unseen(pages, seen_urls)
+    if once:
+        pages = without_repeats(pages)
     items = emitted(extract_pages(pages, exclude_keywords, exclude_tags))
     decoded = decode_items(items)
     # A filter on cleaned fields would have them cleaned twice, in the filter and

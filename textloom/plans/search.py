@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from textloom.functions import fixed
 from textloom.operators import search as S
 from textloom.plans.index import Index, postings_of
+from textloom.session import stash
 
 
 class SearchAnswer(NamedTuple):
@@ -19,8 +20,8 @@ class SearchAnswer(NamedTuple):
 def scored_documents(index: Index, query: str) -> DataFrame:
     """``doc_id, score`` of every document the query matches."""
     terms = S.query_terms(index.docs.sparkSession, query)
-    postings = postings_of(index, sorted({*terms, query}))
-    return S.best_field(S.field_scores(postings, index.stats, terms, query))
+    postings, frequencies = postings_of(index, sorted({*terms, query}))
+    return S.best_field(S.field_scores(postings, index.stats, terms, query, frequencies))
 
 
 def search(
@@ -28,12 +29,12 @@ def search(
     query: str,
     page: int = 1,
     size: int = fixed.PAGE_SIZE,
-    exact_total: bool = False,
 ) -> SearchAnswer:
     """``rank, doc_id, title, url, keywords, content, score`` and the totals row."""
     query = S.check_request(query, page, size)
-    scored = scored_documents(index, query)
+    # The page and the totals come from one scored result.
+    scored = stash(scored_documents(index, query), "scored")
     hits = S.result_page(scored, page, size)
     found = S.dedup_titles(S.fill_defaults(S.fetch_documents(hits, index.docs)))
     results = found.select("rank", "doc_id", "title", "url", "keywords", "content", "score")
-    return SearchAnswer(results, S.totals(scored, page, size, exact_total))
+    return SearchAnswer(results, S.totals(scored, page, size))

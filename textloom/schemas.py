@@ -65,3 +65,34 @@ def index_schema() -> T.StructType:
             )
         )
     return T.StructType(fields)
+
+
+POSTING = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("field", T.StringType()),
+        T.StructField("term", T.StringType()),
+        T.StructField("tf", T.LongType()),
+        T.StructField("dl", T.LongType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+
+#: Document frequencies of the terms, beside the postings.
+TERM = T.StructType(
+    [
+        T.StructField("field", T.StringType()),
+        T.StructField("term", T.StringType()),
+        T.StructField("df", T.LongType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+
+FIELD_STATS = T.StructType(
+    [
+        T.StructField("field", T.StringType()),
+        T.StructField("n_docs", T.LongType()),
+        T.StructField("avgdl", T.DoubleType()),
+        T.StructField("buckets", T.IntegerType()),
+    ]
+)

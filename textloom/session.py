@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import contextlib
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,6 +22,9 @@ SESSION_CONF = {
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Compressed bytes of a table that may be broadcast.
+BROADCAST_BYTES = 64 << 20
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -33,32 +37,43 @@ def build_session(app: str = "textloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-@contextlib.contextmanager
-def state_on_disk(spark: SparkSession):
-    """Streams started inside keep their state in RocksDB, not on the heap: sets of
-    all URLs ever seen outgrow memory. A query copies the setting when it starts."""
-    before = spark.conf.get(_STATE_STORE)
+def state_on_disk(spark: SparkSession) -> None:
+    """Streams of this session keep their state in RocksDB, not on the heap: sets of all
+    URLs ever seen outgrow memory. It stays so, hence streams may start side by side."""
     spark.conf.set(_STATE_STORE, _ON_DISK)
-    try:
-        yield
-    finally:
-        spark.conf.set(_STATE_STORE, before)
 
 
 def work_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
+    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``, or what
+    ``setCheckpointDir`` was given.
 
-    Only a session that names none (a test on one machine) gets a temporary one.
+    Only a session on one machine that names none gets a temporary one. On a cluster
+    that is an error: every executor would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
+    context = spark.sparkContext
+    given = context._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get().rstrip("/")
+    if not context.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = context.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="textloom-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Remove what this application wrote to the work folder. For the end of a session:
+    results that were not written elsewhere cannot be read any more."""
+    folder = f"{work_root(spark)}/textloom-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the application's part of the work folder, which can be
     removed as a whole when the application is done."""
@@ -78,15 +93,22 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bytes_of(df: DataFrame) -> int:
+    """What the optimizer knows of the size of ``df``; of a table, its bytes on disk."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def small_or_shuffled(df: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """A join side that is broadcast only when it was counted to be small.
+    """A join side that is broadcast only when it is known to be small: at most
+    ``max_rows`` rows and ``BROADCAST_BYTES`` on disk.
 
     It is written out first, which settles its size. A larger one is left to a
     shuffle join whose two inputs are plain exchanges, the form in which adaptive
     execution can split the partitions of a hot key.
     """
     written = stash(df, label)
-    return F.broadcast(written) if written.count() <= max_rows else written
+    small = bytes_of(written) <= BROADCAST_BYTES and written.count() <= max_rows
+    return F.broadcast(written) if small else written
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

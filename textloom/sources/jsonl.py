@@ -7,40 +7,88 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.schemas import ENRICHED, FAILURE
+from textloom.session import path_exists
 
 
-def _parsed_lines(spark: SparkSession, path: str, parse: Column) -> DataFrame:
+#: No line is refused for the length of a string in it.
+_ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines ``value``, with the ``file`` of each. A path that is not there yet, as on a
+    first run, has none."""
+    if not path_exists(spark, path):
+        print(f"No file at '{path}': nothing is read.")
+        return spark.createDataFrame([], "value string, file string")
+    return spark.read.text(path).select("value", F.input_file_name().alias("file"))
+
+
+def _parsed_lines(lines: DataFrame, parse: Column) -> DataFrame:
     """Lines ``value`` with their parsed form ``v``, where there is one.
 
     The one-element outer explode keeps the filter above the parser. Directly on a
     projection it would be pushed below, and every line would be parsed twice.
     """
-    lines = spark.read.text(path).select("value", F.explode_outer(F.array(parse)).alias("v"))
-    return lines.where(F.col("v").isNotNull())
+    parsed = lines.select("value", F.explode_outer(F.array(parse)).alias("v"))
+    return parsed.where(F.col("v").isNotNull())
+
+
+def _fields(schema: T.StructType) -> Column:
+    """The fields of a line as text, and ``bad`` where it is no JSON object."""
+    marked = T.StructType(
+        [T.StructField(name, T.StringType()) for name in schema.names]
+        + [T.StructField("bad", T.StringType())]
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", **_ANY_LENGTH}
+    return F.from_json("value", marked, options)
+
+
+def _both_ways(schema: T.StructType) -> Column:
+    """A line as a typed value ``typed``, or, where the typed parser refuses it (a repeated
+    key, a very long text), as fields of text ``plain``. Null if neither reads it."""
+    typed = F.try_parse_json(F.col("value"))
+    plain = F.when(typed.isNull(), _fields(schema))
+    readable = typed.isNotNull() | plain["bad"].isNull()
+    return F.when(readable & (F.trim("value") != ""), F.struct(typed.alias("typed"), plain.alias("plain")))
 
 
 def _text(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "string")
 
 
+def _texts(value: Column, path: str) -> Column:
+    """A list of texts; a single one is a list of one."""
+    many = F.try_variant_get(value, path, "array<string>")
+    one = _text(value, path)
+    return F.coalesce(many, F.when(one.isNotNull(), F.array(one)))
+
+
+def _plain_texts(raw: Column) -> Column:
+    """The same from a field that was read as text."""
+    many = F.when(raw.startswith("["), F.from_json(raw, "array<string>", _ANY_LENGTH))
+    return F.coalesce(many, F.when(raw.isNotNull(), F.array(raw)))
+
+
 def scan_items(spark: SparkSession, path: str) -> DataFrame:
     """Items ``title, url, content, keywords`` of a JSON-lines folder or file.
 
     A line that is no JSON is dropped. JSON that is no usable item (not an object,
     or with a content that is not text) stays as a blank row, because it still
-    counts in the size of the corpus. A missing content is just empty.
+    counts in the size of the corpus. A missing content is just empty. Lines of any
+    length are read; of a repeated key the last counts.
     """
-    parsed = _parsed_lines(spark, path, F.try_parse_json(F.col("value")))
-    v = F.col("v")
-    content = F.try_variant_get(v, "$.content", "variant")
+    parsed = _parsed_lines(_lines(spark, path), _both_ways(ENRICHED))
+    typed, plain = F.col("v.typed"), F.col("v.plain")
+    content = F.try_variant_get(typed, "$.content", "variant")
     usable = F.col("value").rlike(r"^\s*\{") & (
         content.isNull() | (F.schema_of_variant(content) == "STRING")
     )
 
     def field(name: str) -> Column:
-        return F.when(usable, F.coalesce(_text(v, f"$.{name}"), F.lit(""))).otherwise("")
+        said = F.coalesce(_text(typed, f"$.{name}"), plain[name], F.lit(""))
+        return F.when(usable, said).otherwise("")
 
-    keywords = F.try_variant_get(v, "$.keywords", "array<string>")
+    keywords = F.coalesce(_texts(typed, "$.keywords"), _plain_texts(plain["keywords"]))
     empty = F.array().cast("array<string>")
     return parsed.select(
         field("title").alias("title"),
@@ -52,17 +100,13 @@ def scan_items(spark: SparkSession, path: str) -> DataFrame:
 
 def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines ``scan_items`` drops, with the file each came from."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value")
-    return lines.where(F.try_parse_json("value").isNull())
+    return _lines(spark, path).where(_both_ways(ENRICHED).isNull()).select("file", "value")
 
 
 def _well_formed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Fields of the lines that are JSON objects."""
-    bad = "_corrupt_record"
-    marked = T.StructType(schema.fields + [T.StructField(bad, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
-    parsed = _parsed_lines(spark, path, F.from_json("value", marked, options))
-    fine = parsed.where(F.col(f"v.{bad}").isNull())
+    """Fields of the lines that are JSON objects, all as text."""
+    parsed = _parsed_lines(_lines(spark, path), _fields(schema))
+    fine = parsed.where(F.col("v.bad").isNull())
     return fine.select(*[f"v.{name}" for name in schema.names])
 
 
@@ -80,5 +124,7 @@ def scan_failed_urls(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Enriched documents to index; lines that are no JSON are skipped."""
-    return _well_formed(spark, path, ENRICHED)
+    """Enriched documents to index; lines that are no JSON objects are skipped. A single
+    keyword counts as a list of one."""
+    rows = _well_formed(spark, path, ENRICHED)
+    return rows.withColumn("keywords", _plain_texts(F.col("keywords")))

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textloom.session import bytes_of
+
+
+#: Tables up to this many bytes a slot may be shared out.
+SPREAD_BYTES = 32 << 20
+
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share out a scan of fewer files than the cluster has slots.
+    """Share out a small scan of fewer files than the cluster has slots.
 
-    One small file is one task. A large table has more files than slots and is
-    returned as it is, so this never shuffles big data.
+    One small file is one task. A table of more bytes is returned as it is, however few
+    its files are: Spark splits them, and they are never shuffled.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     # Only the number of files crosses to Python, not their names.
     files = len(df._jdf.inputFiles())
-    return df.repartition(slots) if files < slots else df
+    small = bytes_of(df) <= slots * SPREAD_BYTES
+    return df.repartition(slots) if files < slots and small else df
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

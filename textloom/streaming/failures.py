@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,58 +11,68 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from textloom.functions import fixed
 from textloom.operators.failures import with_outcome
-from textloom.schemas import FAILURE
 
+_FAILED = "failed_url string, error_code string, cause string"
+#: The retries in a row so far, whether a budget was spent, and the codes that failed.
+_STATE = "run int, spent boolean, codes string"
+_BETWEEN = "\n"
 
-def failed_stream(log: DataFrame) -> DataFrame:
-    """Distinct immediate failures ``failed_url, error_code``."""
-    at_once = with_outcome(log).where(F.col("outcome") == "fail")
-    failures = at_once.select(F.col("url").alias("failed_url"), "error_code")
-    return failures.dropDuplicates(["failed_url", "error_code"])
 
+def _first_in_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.drop_duplicates()
 
-def _earliest_per_url(limit: int):
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.sort_values("fetch_id").groupby("url", sort=False).head(limit)
 
-    return keep
+def failed_stream(log: DataFrame) -> DataFrame:
+    """Distinct immediate failures ``failed_url, error_code``. Repeats inside a task are
+    dropped before the shuffle."""
+    at_once = with_outcome(log).where(F.col("outcome") == "fail")
+    failures = at_once.select(F.col("url").alias("failed_url"), "error_code")
+    few = failures.mapInPandas(_first_in_batch, failures.schema)
+    return few.dropDuplicates(["failed_url", "error_code"])
 
 
-def _spend_budget(budget: int):
+def _follow(budget: int):
     def step(
         key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        spent = state.get[0] if state.exists else 0
-        if spent >= budget:
-            return
-        # Only the next few outcomes can matter, however many rows the URL has.
-        first: list[tuple[int, str]] = []
-        for batch in batches:
-            rows = list(zip(batch["fetch_id"], batch["error_code"]))
-            first = heapq.nsmallest(budget - spent, first + rows)
-        spent += len(first)
-        state.update((spent,))
-        if spent == budget:
-            yield pd.DataFrame({"failed_url": [key[0]], "error_code": [first[-1][1]]})
+        run, spent, codes = state.get if state.exists else (0, False, "")
+        known = set(codes.split(_BETWEEN)) if codes else set()
+        found = []
+        rows = pd.concat(list(batches)).sort_values("fetch_id")
+        for outcome, code in zip(rows["outcome"], rows["error_code"]):
+            run = run + 1 if outcome == "retry" else 0
+            if outcome == "fail" and code not in known:
+                known.add(code)
+                found.append((key[0], code, "status"))
+            if run == budget and not spent:
+                spent = True
+                found.append((key[0], code, "retries"))
+        state.update((run, spent, _BETWEEN.join(sorted(known))))
+        yield pd.DataFrame(found, columns=["failed_url", "error_code", "cause"])
 
     return step
 
 
-def retry_budget_stream(log: DataFrame, max_retries: int = fixed.MAX_RETRIES) -> DataFrame:
-    """``failed_url, error_code`` when a URL's retryable outcomes exceed the budget.
-
-    The state is one counter per URL. Each task first keeps only the earliest
-    outcomes of a URL, as many as can count, so a URL with very many attempts
-    sends a handful of rows to its state.
-    """
-    budget = max_retries + 1
-    retryable = (
-        with_outcome(log)
-        .where(F.col("outcome") == "retry")
-        .select("url", F.col("fetch_id").cast("long").alias("fetch_id"), "error_code")
+def _followed(log: DataFrame, max_retries: int) -> DataFrame:
+    """Failures with their cause. A URL's outcomes of a micro-batch are put in the order of
+    ``fetch_id``; its state is a counter, a flag and the few codes it failed with."""
+    rows = with_outcome(log).select(
+        "url", F.col("fetch_id").cast("long").alias("fetch_id"), "outcome", "error_code"
     )
-    earliest = retryable.mapInPandas(_earliest_per_url(budget), retryable.schema)
-    return earliest.groupBy("url").applyInPandasWithState(
-        _spend_budget(budget), FAILURE, "spent int", "append", GroupStateTimeout.NoTimeout
+    return rows.groupBy("url").applyInPandasWithState(
+        _follow(max_retries + 1), _FAILED, _STATE, "append", GroupStateTimeout.NoTimeout
     )
+
+
+def retry_budget_stream(log: DataFrame, max_retries: int = fixed.MAX_RETRIES) -> DataFrame:
+    """``failed_url, error_code`` when a URL's retryable outcomes in a row exceed the
+    budget; once a URL."""
+    spent = _followed(log, max_retries).where("cause = 'retries'")
+    return spent.select("failed_url", "error_code")
+
+
+def all_failures_stream(log: DataFrame, max_retries: int = fixed.MAX_RETRIES) -> DataFrame:
+    """``failed_url, error_code``: failures at once, each code of a URL once, and the
+    first spent budget of a URL, as one stream."""
+    return _followed(log, max_retries).select("failed_url", "error_code")

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textloom.operators.links import unseen
@@ -32,8 +33,13 @@ def stream_pages(
 
 
 def items_stream(pages: DataFrame, processed: DataFrame | None = None) -> DataFrame:
-    """The batch page job on a stream; URLs of an earlier run are left out."""
-    return pages_to_items(pages, seen_urls=processed)
+    """The batch page job on a stream, each URL once; URLs of an earlier run are left out.
+
+    Items are far smaller than pages, so repeats are dropped after parsing, where only
+    items go to the URL state.
+    """
+    items = pages_to_items(pages, seen_urls=processed, once=False)
+    return dedup_stream(items, combine=False)
 
 
 def _first_in_batch(key: str):
@@ -47,22 +53,23 @@ def _first_in_batch(key: str):
 def dedup_stream(
     rows: DataFrame,
     key: str = "url",
-    event_time: str | None = None,
     keep_for: str | None = None,
     combine: bool = True,
 ) -> DataFrame:
     """The first row of each key over the whole life of the stream.
 
-    Keys are remembered for good, like the set they stand for. Naming an event
-    time and how long to keep a key bounds that memory, and lets a key pass again
-    after it was forgotten. ``combine`` drops repeats inside a task before the
-    shuffle, so that one very common key does not go to one task row by row; leave
-    it out for rows with a large payload and few repeats.
+    Keys are remembered for good, like the set they stand for. ``keep_for`` bounds that
+    memory: a key is forgotten that long after it arrived, and may then pass again. It
+    counts from arrival, so no row is ever too late. ``combine`` drops repeats inside a
+    task before the shuffle, so that one very common key does not go to one task row by
+    row; leave it out for rows with a large payload and few repeats.
     """
     if combine:
         rows = rows.mapInPandas(_first_in_batch(key), rows.schema)
-    if event_time and keep_for:
-        return rows.withWatermark(event_time, keep_for).dropDuplicatesWithinWatermark([key])
+    if keep_for:
+        arrived = rows.withColumn("__arrived", F.current_timestamp())
+        kept = arrived.withWatermark("__arrived", keep_for).dropDuplicatesWithinWatermark([key])
+        return kept.drop("__arrived")
     return rows.dropDuplicates([key])
 
 
@@ -77,12 +84,15 @@ def write_stream(
     checkpoint: str,
     columns: list[str] | None = None,
     format: str = "json",
+    trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
     """Append a stream to ``path``, one sub-folder per query and micro-batch.
 
     A batch replayed after a failure replaces its own folder, so nothing is lost
     or written twice; the checkpoint is where a restart goes on. A new checkpoint
     makes a new query, whose batches count from zero in a folder of their own.
+    ``trigger`` is that of the writer; unless one is named, all there is now is processed
+    and the query ends. ``{"processingTime": "10 seconds"}`` keeps it running.
     """
     columns = columns or ITEM.names
 
@@ -94,5 +104,5 @@ def write_stream(
         )
 
     writer = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
-    with state_on_disk(rows.sparkSession):
-        return writer.trigger(availableNow=True).start()
+    state_on_disk(rows.sparkSession)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
