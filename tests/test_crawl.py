@@ -113,6 +113,19 @@ def test_frontier(spark):
     assert depths(max_depth=0) == {"a": 0}
 
 
+def test_levels_do_not_shuffle_edges(spark):
+    from textloom.operators import frontier
+
+    edges = spark.range(5000).select(F.col("id").alias("src"), (F.col("id") * 7 % 5000).alias("dst"))
+    bucketed, table = frontier._bucketed(edges)
+    level = spark.range(40).select(F.col("id").alias("url"))
+    met = level.hint("merge").join(bucketed, F.col("url") == F.col("src"))
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    spark.sql(f"DROP TABLE {table}")
+    edge_side = plan[plan.index("Sort [src"):]
+    assert "Exchange" not in edge_side and "Bucketed: true" in edge_side
+
+
 def test_status_classes(spark):
     codes = {
         200: "ok", 400: "ok", 401: "ok", 410: "ok", 301: "ok", 501: "ok", 403: "fail",

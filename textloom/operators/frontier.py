@@ -2,18 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.session import work_path
+from textloom.session import bytes_of, stash, work_path
+
+
+#: Bytes of edges in a bucket.
+BUCKET_BYTES = 128 << 20
+
+
+def _bucketed(edges: DataFrame) -> tuple[DataFrame, str]:
+    """Edges as a table bucketed by source, in the work folder, and its name."""
+    spark = edges.sparkSession
+    name = f"textloom_edges_{uuid.uuid4().hex}"
+    slots = spark.sparkContext.defaultParallelism
+    written = stash(edges, "edges")
+    buckets = min(100_000, max(slots, -(-bytes_of(written) // BUCKET_BYTES)))
+    rows = written.repartition(buckets, "src").write.bucketBy(buckets, "src").sortBy("src")
+    rows.option("path", work_path(spark, "bucketed-edges")).saveAsTable(name)
+    return spark.table(name), name
 
 
 def crawl_frontier(
     starts: DataFrame, edges: DataFrame, max_depth: int | None = None
 ) -> DataFrame:
-    """``url, depth``: fewest links from a start. ``edges`` is ``src, dst``; it is
-    read once per level, so it should be a table, not a view over pages.
+    """``url, depth``: fewest links from a start. ``edges`` is ``src, dst``.
+
+    Edges are written once, bucketed by source, so that no level shuffles them.
 
     One join per level. Each level is a written table, so lineage stays short and
     a lost executor costs a task, not the walk. Only the newest level is joined to
@@ -32,7 +51,7 @@ def crawl_frontier(
         )
         return spark.read.schema(schema).parquet(root)
 
-    edges = edges.select("src", "dst")
+    edges, table = _bucketed(edges.select("src", "dst"))
     level = write(starts.select("url").distinct(), 0)
     url_type = level.schema["url"].dataType
     depth = 0
@@ -41,4 +60,5 @@ def crawl_frontier(
         targets = level.join(edges, level["url"] == edges["src"]).select(F.col("dst").alias("url"))
         fresh = targets.distinct().join(reached(url_type).select("url"), "url", "left_anti")
         level = write(fresh, depth)
+    spark.sql(f"DROP TABLE {table}")
     return reached(url_type)
