@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.common import cells_for, with_offsets, words_of
@@ -167,7 +167,7 @@ def _slots(wanted: DataFrame, seed: int) -> DataFrame:
     )
     runs = table.withColumn(
         "run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / RUN)))
-    ).repartition("shard", "source", "run")
+    ).repartition(_tasks(spark, int(drawn.sum())), "shard", "source", "run")
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -185,6 +185,12 @@ def _slots(wanted: DataFrame, seed: int) -> DataFrame:
     return runs.mapInPandas(make, "shard int, slot long, source string, block long")
 
 
+def _tasks(spark: SparkSession, slots: int) -> int:
+    """Given as a number, which adaptive execution does not lower: rows are few before
+    slots are made of them."""
+    return max(2 * spark.sparkContext.defaultParallelism, slots // (16 * RUN))
+
+
 def pieces(rows: DataFrame) -> DataFrame:
     """Documents cut at the borders of blocks: a row for each block a document touches,
     with the word ``at`` of the document where the piece begins and its ``words``."""
@@ -202,7 +208,8 @@ def taken_pieces(rows: DataFrame, slots: DataFrame) -> DataFrame:
     times = times.withColumn("source", F.struct("source"))
     cut = pieces(rows).withColumn("_source", F.struct("source"))
     same = (cut["_source"] == times["source"]) & (cut["block"] == times["block"])
-    return cut.join(times, same).select(
+    # A merge join: the optimizer takes pieces for as few as the documents they come from.
+    return cut.join(times.hint("merge"), same).select(
         *[cut[c] for c in cut.columns if c not in ("_source", "block")],
         cut["block"], times["times"],
     )
