@@ -280,7 +280,8 @@ def near_links(distinct: DataFrame, radius: int, parts: int) -> DataFrame:
     )
     keyed = distinct.select("fp", F.explode(choices).alias("c")).select("fp", "c.*")
     crowded = keyed.groupBy("choice", "bits").agg(F.count("*").alias("n")).where("n > 1")
-    met = keyed.join(crowded, ["choice", "bits"])
+    # A merge join: the optimizer takes the keys for as few as the fingerprints.
+    met = keyed.join(crowded.hint("merge"), ["choice", "bits"])
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     met = met.select("choice", "bits", "fp", own.alias("own"), blocks.alias("blocks"))
@@ -326,8 +327,7 @@ def fingerprint_text(fp) -> Column:
 def without_near_duplicates(docs: DataFrame, words: int, radius: int, parts: int) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is the smallest of its group.
 
-    Rows without a ``doc_id`` go only if their group holds one that has. Of repeated rows
-    with that id one stays.
+    Of a group without any ``doc_id``, and of repeated rows with that id, one row stays.
     """
     found = near_duplicates(docs, words, radius, parts)
     keep = found.where("doc_id <=> component_id").select(F.struct("doc_id").alias("_keep")).distinct()
