@@ -299,6 +299,21 @@ def test_file_to_index(spark, tmp_path):
     assert [r.url for r in results.collect()] == ["u/1"] and totals.first().total == 1
 
 
+def test_pages_are_parsed_once(spark, tmp_path):
+    from textloom.plans.items import pages_to_items
+
+    rows = [(i, f"http://e/{i}", f"<title>T{i} words</title><p>some words here {i}") for i in range(40)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "p"))
+    pages = spark.read.parquet(str(tmp_path / "p"))
+    items = pages_to_items(pages).withColumnRenamed("page_id", "doc_id")
+    plans = items._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+    enriched = enrich_documents(items)
+    after = enriched._jdf.queryExecution().optimizedPlan().toString()
+    # One pass for an item, and none is left once items are to be enriched.
+    assert plans == 1 and "ArrowEvalPython" not in after
+    assert enriched.count() == 40
+
+
 def zipf_corpus(spark):
     words = ["ab", "cd", "ef", "gh", "ij", "kl", "mn"]
     rows = [

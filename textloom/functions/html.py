@@ -189,6 +189,9 @@ def page_links(page: str, url: str) -> list[dict[str, str]]:
     return [{"href": href, "dst_url": target} for target, href in seen.items()]
 
 
+_ENTITY = re.compile("&[#A-Za-z]")
+
+
 def strip_markup(text: str) -> str:
     """Decode entities, then drop tags if any seem left in the text."""
     text = html_lib.unescape(text).replace("\xa0", " ")
@@ -199,22 +202,34 @@ def strip_markup(text: str) -> str:
     return text
 
 
+def _needs_stripping(text: str) -> bool:
+    return ("&" in text and _ENTITY.search(text) is not None) or ("<" in text and ">" in text)
+
+
 def page_text(
     html: Column,
     exclude_keywords: Iterable[str] = fixed.EXCLUDE_KEYWORDS,
     exclude_tags: Iterable[str] = (),
+    decoded: bool = False,
 ) -> Column:
-    """``struct<title, content>`` of a page."""
+    """``struct<title, content, shown>`` of a page; ``shown`` tells whether it has visible
+    text. ``decoded`` resolves entities and leftover tags of both in the same pass."""
     reader = PageReader(exclude_keywords, exclude_tags)
-
-    @F.pandas_udf(
-        T.StructType(
-            [T.StructField("title", T.StringType()), T.StructField("content", T.StringType())]
-        )
-    )
+    fields = [T.StructField("title", T.StringType()), T.StructField("content", T.StringType())]
+
+    def read(page: str) -> tuple[str, str, bool]:
+        title, content = reader.read(page)
+        shown = content != ""
+        if decoded:
+            title, content = (
+                strip_markup(text) if _needs_stripping(text) else text for text in (title, content)
+            )
+        return title, content, shown
+
+    @F.pandas_udf(T.StructType([*fields, T.StructField("shown", T.BooleanType())]))
     def read_pages(pages: pd.Series) -> pd.DataFrame:
-        rows = [reader.read(page or "") for page in pages]
-        return pd.DataFrame(rows, columns=["title", "content"], dtype=object)
+        rows = [read(page or "") for page in pages]
+        return pd.DataFrame(rows, columns=["title", "content", "shown"], dtype=object)
 
     return read_pages.asNondeterministic()(html)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import fixed
-from textloom.functions.html import page_text, without_markup
+from textloom.functions.html import page_text
 from textloom.functions.text import clean_text
 
 REQUIRED = ("title", "url", "content")
@@ -29,11 +29,17 @@ def emitted(extracted: DataFrame) -> DataFrame:
     return extracted.where(~F.col("url").contains("robots.txt") & (F.col("content") != ""))
 
 
-def decode_items(items: DataFrame) -> DataFrame:
-    """Entities and leftover tags resolved, characters not yet cleaned."""
-    return items.withColumns(
-        {"title": without_markup(F.col("title")), "content": without_markup(F.col("content"))}
-    )
+def emitted_and_decoded(
+    pages: DataFrame,
+    exclude_keywords: Iterable[str] = fixed.EXCLUDE_KEYWORDS,
+    exclude_tags: Iterable[str] = (),
+) -> DataFrame:
+    """``extract_pages`` of the pages ``emitted`` keeps, with entities and leftover tags
+    resolved and characters not yet cleaned, in one pass over the HTML."""
+    named = pages.where(~F.col("url").contains("robots.txt"))
+    text = page_text(F.col("html"), exclude_keywords, exclude_tags, decoded=True)
+    read = named.withColumn("page", text).where("page.shown")
+    return read.select("page_id", "page.title", "url", "page.content")
 
 
 def clean_items(items: DataFrame) -> DataFrame:

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from textloom.functions import fixed
 from textloom.functions.text import clean_characters, keeps_something
-from textloom.operators.extract import clean_items, decode_items, emitted, extract_pages
+from textloom.operators.extract import (
+    clean_items,
+    emitted,
+    emitted_and_decoded,
+    extract_pages,
+)
 from textloom.operators.links import unseen, without_repeats
 
 
@@ -37,8 +42,7 @@ def pages_to_items(
         pages = unseen(pages, seen_urls)
     if once:
         pages = without_repeats(pages)
-    items = emitted(extract_pages(pages, exclude_keywords, exclude_tags))
-    decoded = decode_items(items)
+    decoded = emitted_and_decoded(pages, exclude_keywords, exclude_tags)
     # A filter on cleaned fields would have them cleaned twice, in the filter and
     # in the projection; whether anything is left of a field is cheaper to see.
     title, content = F.col("title"), F.col("content")

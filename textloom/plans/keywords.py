@@ -29,7 +29,13 @@ def keyword_ranks(
 
 
 def enrich_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` plus ``keywords``. Joined by ``doc_id``, not by position."""
+    """``docs`` plus ``keywords``. Joined by ``doc_id``, not by position.
+
+    ``docs`` is read twice, for the terms and for the join. Texts that Python makes (items
+    of pages) are written first, so that no page is parsed twice; a table is read again.
+    """
+    if "Python" in docs._jdf.queryExecution().optimizedPlan().toString():
+        docs = stash(docs, "documents-to-enrich")
     return K.attach_keywords(docs, K.doc_keywords(keyword_ranks(docs, **options)))
 
 
