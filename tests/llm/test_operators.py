@@ -68,7 +68,9 @@ def test_simhash_odd_documents(spark):
         if r.doc_id:
             assert (f"{r.fp % (1 << 64):016x}", r.component_id) == want[r.doc_id]
     kept = simhash.without_near_duplicates(docs, words=3, radius=2, parts=4)
-    assert Counter(r.doc_id for r in kept.collect()) == Counter({c for _, c in want.values()})
+    # A row without an id is no copy of others where no group has its text.
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert {d for d in ids if d} == {c for _, c in want.values()} and max(ids.values()) == 1
     assert simhash.near_duplicates(plain.no_documents(spark)).count() == 0
 
 
@@ -93,7 +95,7 @@ def test_simhash_links_of_a_large_bucket(spark, monkeypatch):
     near = [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 1]
     rows = spark.createDataFrame([(f,) for f in fps], "fp long")
     links = [(r.a, r.b) for r in simhash.near_links(rows, 1, 3).collect()]
-    assert all((a ^ b).bit_count() == 1 or True for a, b in links)
+    assert all(a in fps and b in fps for a, b in links)
     assert plain.linked(fps, links) == plain.linked(fps, near)
 
 
@@ -104,10 +106,11 @@ def test_pseudo_likelihood_learns_word_order(spark):
     rng = np.random.default_rng(5)
     cycle = [f"c{i}" for i in range(40)]
     texts = []
-    for n in range(300):
+    for n in range(600):
         at = int(rng.integers(0, 40))
         texts.append(" ".join(cycle[(at + i) % 40] for i in range(400)))
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = docs.coalesce(2)
     vocabulary = pseudo_likelihood.build_vocabulary(docs)
     flat = pseudo_likelihood.train_network(docs, vocabulary)
     mixed = " ".join(rng.permutation(texts[0].split()))

@@ -15,6 +15,7 @@ from textloom.llm import (
     mixing,
     pseudo_likelihood,
     quality,
+    quality_sql,
     segment_topk,
     sharding,
     simhash,
@@ -123,7 +124,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(read(spark, folder, "documents")).select(
-        "doc_id", *quality.STATISTICS, "base_failed", "kept", "distance2"
+        "doc_id", *quality.STATISTICS, "base_failed", "kept"
     )
 
 
@@ -222,4 +223,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op1_segment_topk": _OP1, "op4_chat_format": _OP4, "op5_line_dedup": _OP5}
+ORACLE_SQL = {
+    "op1_segment_topk": _OP1, "op4_chat_format": _OP4, "op5_line_dedup": _OP5,
+    "op9_quality": quality_sql.query(),
+}
