@@ -24,6 +24,15 @@ def words_of(text: Column | str) -> Column:
     return F.coalesce(F.slice(found, start, F.size(found)), F.array().cast("array<string>"))
 
 
+def plain_words(text: Column | str) -> Column:
+    """``words_of`` for hot paths: cut at single blanks, which needs no pattern, so empty
+    words may be among them."""
+    text = F.col(text) if isinstance(text, str) else text
+    for separator in "\t\n\x0b\f\r":
+        text = F.replace(text, F.lit(separator), F.lit(" "))
+    return F.split(text, " ")
+
+
 def cells_for(rows: int, per_cell: int = 20_000) -> int:
     """Cells that hold about ``per_cell`` rows each, so they grow in number, not size."""
     return max(8, math.ceil(rows / per_cell))

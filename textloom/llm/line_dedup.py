@@ -7,6 +7,10 @@ is fixed; it only has to put all lines in one order, so buckets lose no pair. Pa
 share such a word are held to length and position limits and to a limit on a 64-bit parity
 sketch (which can differ in no more bits than the sets differ in words), then verified on
 the sets. A line similar to an earlier one, by (doc_id, line number), is removed.
+
+A line needs one earlier match, not all of them: lines are first held against the earliest
+line that shares a run of rare words, and only those not settled so enter the join as the
+later side.
 """
 
 from __future__ import annotations
@@ -14,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import words_of
-from textloom.session import stash
+from textloom.llm.common import plain_words
+from textloom.session import bytes_of, stash
 
 #: Lines with fewer distinct words are left alone.
 MIN_WORDS = 5
@@ -25,22 +29,19 @@ SIMILAR = (4, 5)
 BUCKETS = 1 << 16
 #: A list of documents up to this many bytes on disk is broadcast, a larger one shuffled.
 BROADCAST_BYTES = 32 << 20
+#: Stands for a null document id, and sorts first like one.
+NO_ID = -(1 << 63)
 
 
 def _ceil_div(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
-def _bytes_on_disk(df: DataFrame) -> int:
-    """What the written table ``df`` takes, from the optimizer's file sizes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def rarity(docs: DataFrame) -> DataFrame:
     """One row: the occurrences of words by hash bucket, as an array of classes, four
     to a doubling."""
-    hashed = docs.select(F.explode(F.transform(words_of("text"), lambda w: F.xxhash64(w))).alias("w"))
-    counts = hashed.groupBy(F.pmod("w", F.lit(BUCKETS)).cast("int").alias("b")).agg(
+    words = docs.select(F.explode(plain_words("text")).alias("w"))
+    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(
         F.count("*").alias("n")
     )
     classed = counts.select("b", F.floor(F.log2(F.col("n") + 1) * 4).cast("byte").alias("c"))
@@ -55,12 +56,20 @@ def rarity(docs: DataFrame) -> DataFrame:
     )
 
 
+#: 56 bits of a word's hash.
+_HASH = (1 << 56) - 1
+
+
+def _low_bits(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(_HASH))
+
+
 def _packed(word: Column, classes: Column) -> Column:
     """A word as a number in order of rarity: seven bits of its count class before 56
     bits of its hash."""
     hashed = F.xxhash64(word)
     rank = F.get(classes, F.pmod(hashed, F.lit(BUCKETS)).cast("int")).cast("long")
-    return F.shiftleft(rank, 56).bitwiseOR(hashed.bitwiseAND(F.lit((1 << 56) - 1)))
+    return F.shiftleft(rank, 56).bitwiseOR(_low_bits(hashed))
 
 
 def _parity(words: Column) -> Column:
@@ -71,140 +80,204 @@ def _parity(words: Column) -> Column:
     return F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(bit(w)))
 
 
-def _at() -> Column:
-    """Where a line stands; lines are ordered by it."""
-    return F.struct("doc_id", "text_hash", "line")
+def _ordered_words(said: Column, classes: Column) -> Column:
+    """The distinct words of a line as numbers in order of rarity."""
+    packed = F.transform(plain_words(said), lambda w: _packed(w, classes))
+    return F.sort_array(F.array_distinct(F.array_remove(packed, _packed(F.lit(""), classes))))
 
 
-def line_sets(docs: DataFrame) -> DataFrame:
-    """``at, s1, s2, n, prefix, parity``: every line of ``docs`` with ``MIN_WORDS`` distinct
-    words or more. ``s1, s2`` identify its set, ``prefix`` holds its rarest words."""
+def line_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """A row for each line of ``docs`` with ``MIN_WORDS`` distinct words or more: where it
+    is (``doc_id, text_hash, line``), its set (``s1, s2``, hashes of all words; ``n``
+    words; ``prefix``, its rarest words in order; ``parity``)."""
     up, down = SIMILAR
-    # A bounded array of BUCKETS bytes, read in place of a join. It is a column of the
-    # documents, not of the lines, so at most one copy of it is made for a document.
-    classes = stash(rarity(docs), "line-rarity").scalar()
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", classes.alias("c"))
+    # ``classes`` is a bounded array of BUCKETS bytes, read in place of a join. It is a
+    # column of the documents, not of the lines: at most one copy is made for a document.
+    keyed = docs.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), "text", classes.scalar().alias("c")
+    )
     each = F.transform(
         F.split("text", "\n"),
-        lambda said: F.sort_array(
-            F.array_distinct(F.transform(words_of(said), lambda w: _packed(w, F.col("c"))))
-        ),
+        lambda said: F.transform(plain_words(said), lambda w: _packed(w, F.col("c"))),
+    )
+    lines = keyed.select(
+        "doc_id", "text_hash", F.xxhash64(F.lit("")).alias("nothing"), F.posexplode(each).alias("line", "words"),
+    )
+    # Sorted outside of the lambda, where numbers are sorted as such. The second explode
+    # keeps the filter above it: below, all lines would be sorted twice.
+    empty = _low_bits(F.col("nothing"))
+    real = F.filter("words", lambda w: w.bitwiseAND(F.lit(_HASH)) != empty)
+    lines = lines.select(
+        "doc_id", "text_hash", "line",
+        F.explode(F.array(F.sort_array(F.array_distinct(real)))).alias("words"),
     )
-    lines = keyed.select("doc_id", "text_hash", F.posexplode(each).alias("line", "words"))
     lines = lines.withColumn("n", F.size("words")).where(F.col("n") >= MIN_WORDS)
     length = F.col("n") - _ceil_div(F.col("n") * up, down) + 1
     # 31 bits of a prefix word are enough to meet by: what meets by chance is not similar.
     short = lambda w: w.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
     return lines.select(
-        _at().alias("at"),
-        F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(7), "words").alias("s2"), "n",
+        # Nulls come first, as the smallest id.
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text_hash", "line",
+        F.xxhash64("words").alias("s1"), F.hash("words").alias("s2"), "n",
         F.transform(F.slice("words", 1, length), short).alias("prefix"),
         _parity(F.col("words")).alias("parity"),
     )
 
 
-def candidates(leads: DataFrame) -> DataFrame:
-    """``a, b``: pairs of sets (by ``s1``) that share a prefix word and pass all limits.
+def lead_sets(sets: DataFrame) -> DataFrame:
+    """Each set once, with its earliest line: ``at`` is ``doc_id, line``. Sets that begin
+    at the same place of documents with one id are told apart by ``s1``."""
+    first = F.min(F.struct("doc_id", "line", "n", "parity", "prefix")).alias("lead")
+    led = sets.groupBy("s1", "s2").agg(first)
+    return led.select("s1", "s2", "lead.*")
 
-    With i and j the places of a shared word, at most ``min(n - i, m - j)`` more words are
-    shared; what similarity asks for is ``o = ceil(t (n + m) / (1 + t))``.
-    """
+
+def _earlier(a: str, b: str) -> Column:
+    place = lambda x: F.struct(f"{x}.doc_id", f"{x}.line", f"{x}.s1")
+    return place(a) < place(b)
+
+
+def _may_be_similar(n: Column, m: Column, left: Column | None = None) -> Column:
+    """Length, parity and, with at most ``left`` words in common, position limits."""
     up, down = SIMILAR
+    overlap = _ceil_div((n + m) * up, up + down)
+    differ = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    near = (n * down >= m * up) & (m * down >= n * up) & (differ <= n + m - 2 * overlap)
+    return near if left is None else near & (left >= overlap)
+
+
+_PAIR = ["first_doc", "first_line", "first_s1", "later_doc", "later_line", "later_s1"]
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [
+        F.col(f"{x}.{c}").alias(name)
+        for name, (x, c) in zip(_PAIR, [(x, c) for x in (a, b) for c in ("doc_id", "line", "s1")])
+    ]
+
+
+def pairs_with_leaders(leads: DataFrame) -> DataFrame:
+    """Pairs of sets with the earliest one that shares three rare words in a row.
+
+    One pair a set and run, however many sets are alike: in a group of near copies nearly
+    every line is settled here, and never meets all others.
+    """
+    runs = F.array(*[F.xxhash64(F.slice("prefix", k, 3)) for k in (1, 4)])
     rows = leads.select(
-        "s1", "parity", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("i", "word")
+        "doc_id", "line", "s1", "n", "parity",
+        F.explode(F.array_distinct(F.slice(runs, 1, F.ceil(F.size("prefix") / 3).cast("int")))).alias("run"),
     )
-    a, b = rows.alias("a"), rows.alias("b")
-    n, m = F.col("a.n"), F.col("b.n")
-    overlap = _ceil_div((n + m) * up, up + down)
+    first = rows.groupBy("run").agg(
+        F.min(F.struct("doc_id", "line", "s1", "n", "parity")).alias("b"), F.count("*").alias("size")
+    ).where("size > 1").select("run", "b.*")
+    met = rows.alias("a").join(first.hint("merge").alias("b"), F.col("a.run") == F.col("b.run"))
+    near = _may_be_similar(F.col("a.n"), F.col("b.n"))
+    return met.where(_earlier("b", "a") & near).select(*_pair("b", "a")).distinct()
+
+
+def candidates(leads: DataFrame, gone: DataFrame) -> DataFrame:
+    """All pairs whose later set is not ``gone`` yet, that share a prefix word and pass
+    all limits.
+
+    With i and j the places of a shared word, at most ``min(n - i, m - j)`` words are
+    shared from there on; similarity asks for ``ceil(t (n + m) / (1 + t))``.
+    """
+    settled = F.broadcast(gone) if bytes_of(gone) <= BROADCAST_BYTES else gone
+    known = leads.join(settled.select(F.col("s1"), F.lit(0).alias("open")), "s1", "left")
+    # Both sides of the join are one exchange. Whether a set is open still is the last bit
+    # of ``m``, and is asked together with the other side: a filter on one side would make
+    # two exchanges of one.
+    rows = known.select(
+        "doc_id", "line", "s1", (F.col("n").cast("long") * 2 + F.coalesce("open", F.lit(1))).alias("m"),
+        "parity", F.posexplode("prefix").alias("i", "word"),
+    )
+    n, m = (F.shiftright(f"{x}.m", 1).cast("int") for x in "ab")
+    open_later = F.col("b.m").bitwiseAND(F.lit(1)) > F.shiftright("a.m", 62)
     left = F.least(n - F.col("a.i"), m - F.col("b.i"))
-    differ = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
-    met = a.join(
-        b,
-        (F.col("a.word") == F.col("b.word"))
-        & (F.col("a.s1") < F.col("b.s1"))
-        & (n * down >= m * up) & (m * down >= n * up)
-        & (left >= overlap)
-        & (differ <= n + m - 2 * overlap),
+    met = rows.alias("a").join(
+        rows.hint("merge").alias("b"),
+        (F.col("a.word") == F.col("b.word")) & open_later & _earlier("a", "b")
+        & _may_be_similar(n, m, left),
     )
-    return met.select(F.col("a.s1").alias("a"), F.col("b.s1").alias("b")).distinct()
+    return met.select(*_pair("a", "b")).distinct()
 
 
 def _small_or_shuffled(df: DataFrame, label: str) -> DataFrame:
     """Broadcast when its written size is known to be small, else left to a shuffle."""
     written = stash(df, label)
-    return F.broadcast(written) if _bytes_on_disk(written) <= BROADCAST_BYTES else written
+    return F.broadcast(written) if bytes_of(written) <= BROADCAST_BYTES else written
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, leads: DataFrame) -> DataFrame:
-    """``first, later``: places of the pairs whose sets are similar, word by word."""
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``s1``: later sets of the pairs that are similar, by all words of the lines."""
     up, down = SIMILAR
-    placed = (
-        pairs.join(leads.select(F.col("s1").alias("a"), F.col("at").alias("at_a")), "a")
-        .join(leads.select(F.col("s1").alias("b"), F.col("at").alias("at_b")), "b")
-    )
-    placed = stash(
-        placed.select(
-            F.least("at_a", "at_b").alias("first"), F.greatest("at_a", "at_b").alias("later")
-        ),
-        "line-pairs",
-    )
-    wanted = placed.select(F.explode(F.array("first", "later")).alias("at")).distinct()
-    wanted = stash(wanted, "line-wanted")
-    doc = lambda c: F.struct(c("doc_id"), c("text_hash"))
-    in_docs = wanted.select(doc(lambda f: F.col(f"at.{f}")).alias("d")).distinct()
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").withColumn(
-        "d", doc(F.col)
-    )
-    held = keyed.join(_small_or_shuffled(in_docs, "line-docs"), "d", "left_semi")
-    said = held.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line", "said"))
-    said = said.select(_at().alias("at"), "said").join(wanted, "at", "left_semi").distinct()
-    said = stash(said.select("at", F.array_distinct(words_of("said")).alias("words")), "line-words")
-    both = placed.join(said.select(F.col("at").alias("first"), F.col("words").alias("wa")), "first")
-    both = both.join(said.select(F.col("at").alias("later"), F.col("words").alias("wb")), "later")
-    shared = F.size(F.array_intersect("wa", "wb"))
-    union = F.size("wa") + F.size("wb") - shared
-    return both.where((shared * down >= union * up) & (shared < union)).select("first", "later")
+    ends = F.array(
+        *[F.struct(*[F.col(f"{e}_{c}").alias(c) for c in ("doc", "line", "s1")]) for e in ("first", "later")]
+    )
+    wanted = stash(pairs.select(F.inline(ends)).distinct(), "line-wanted")
+    in_docs = wanted.select("doc").distinct()
+    keyed = docs.select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text", classes.scalar().alias("c")
+    )
+    held = keyed.join(_small_or_shuffled(in_docs, "line-docs"), "doc", "left_semi")
+    said = held.select(
+        "doc",
+        F.posexplode(
+            F.transform(F.split("text", "\n"), lambda said: _ordered_words(said, F.col("c")))
+        ).alias("line", "words"),
+    ).withColumn("s1", F.xxhash64("words"))
+    # Documents that share an id hold several lines of one number: the set tells which.
+    places = _small_or_shuffled(wanted, "line-places")
+    said = said.join(places, ["doc", "line", "s1"], "left_semi").dropDuplicates(["doc", "line", "s1"])
+    said = stash(said, "line-words")
+
+    def words_at(end: str) -> DataFrame:
+        return said.select(*[F.col(c).alias(f"{end}_{c}") for c in ("doc", "line", "s1", "words")])
+
+    both = pairs.join(words_at("first"), ["first_doc", "first_line", "first_s1"])
+    both = both.join(words_at("later"), ["later_doc", "later_line", "later_s1"])
+    shared = F.size(F.array_intersect("first_words", "later_words"))
+    union = F.size("first_words") + F.size("later_words") - shared
+    return both.where(shared * down >= union * up).select(F.col("later_s1").alias("s1")).distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the text that is left, and ``n_lines, n_removed, n_links, removed``.
+    """``docs`` with the text that is left, and ``n_lines, n_removed, removed``.
 
     A line is removed if an earlier line has the same set of words or a similar one; lines
     of fewer than ``MIN_WORDS`` distinct words stay. Lines are ordered by ``doc_id`` (null
-    first), then by a hash of the text, then by place; rows alike in both share their
-    lines and are treated alike. ``n_lines``: lines of the text (none of null);
-    ``n_links``: pairs of similar, different sets whose earliest line stands here;
-    ``removed``: places of the removed lines, from 0. A null text stays null; a text that
-    loses every line becomes empty. Other columns pass through, but for those names and
-    ``_d``. An empty table gives no rows.
+    first), then by place. ``n_lines``: lines of the text (none of null); ``removed``:
+    places of the removed lines, from 0. Rows alike in id and text share their lines and
+    are treated alike. A null text stays null; a text that loses every line becomes empty.
+    Other columns pass through; those of these names, and ``_d`` and ``_key``, are
+    replaced. An empty table gives no rows.
     """
-    sets = stash(line_sets(docs), "line-sets")
-    leads = sets.groupBy("s1", "s2").agg(
-        F.min(F.struct("at", "n", "parity", "prefix")).alias("lead")
-    ).select("s1", "s2", "lead.*")
-    pairs = stash(candidates(leads), "line-candidates")
-    firsts = stash(sets.groupBy("s1", "s2").agg(F.min("at").alias("at")), "line-leads")
-    links = stash(_verified(docs, pairs, firsts), "line-links")
-    again = sets.select("s1", "s2", "at").join(
-        firsts.withColumnRenamed("at", "lead_at"), ["s1", "s2"]
-    ).where("at <> lead_at").select("at")
-    gone = again.unionByName(links.select(F.col("later").alias("at"))).groupBy(
-        F.struct("at.doc_id", "at.text_hash").alias("d")
-    ).agg(F.sort_array(F.collect_set("at.line")).alias("removed"))
-    linked = links.select(F.explode(F.array("first", "later")).alias("at")).groupBy(
-        F.struct("at.doc_id", "at.text_hash").alias("d")
-    ).agg(F.count("*").alias("n_links"))
-    known = _small_or_shuffled(gone.join(linked, "d", "full"), "line-removed")
-    known = known.withColumnRenamed("d", "_d")
-    keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
-    joined = keyed.join(known, F.col("_key") == F.col("_d"), "left").drop("_key", "_d")
+    docs = docs.drop("n_lines", "n_removed", "removed", "_d", "_key")
+    classes = stash(rarity(docs), "line-rarity")
+    sets = stash(line_sets(docs, classes), "line-sets")
+    leads = stash(lead_sets(sets), "line-leads")
+    near = stash(pairs_with_leaders(leads), "line-leaders")
+    gone = stash(verified(docs, classes, near), "line-settled")
+    pairs = stash(candidates(leads, gone), "line-candidates")
+    later = verified(docs, classes, pairs)
+    similar = stash(gone.unionByName(later).distinct(), "line-similar")
+    flagged = leads.select("s1", "s2", F.struct("doc_id", "line").alias("at")).join(
+        similar.withColumn("similar", F.lit(True)), "s1", "left"
+    )
+    lines = sets.select("s1", "s2", "doc_id", "text_hash", "line").join(flagged, ["s1", "s2"])
+    out = lines.where(F.col("similar").isNotNull() | (F.struct("doc_id", "line") != F.col("at")))
+    gone_lines = out.groupBy(F.struct("doc_id", "text_hash").alias("_d")).agg(
+        F.sort_array(F.collect_set("line")).alias("removed")
+    )
+    known = _small_or_shuffled(gone_lines, "line-removed")
+    key = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    joined = docs.withColumn("_key", key).join(known, F.col("_key") == F.col("_d"), "left")
+    joined = joined.drop("_key", "_d")
     said = F.split("text", "\n")
-    none = F.array().cast("array<int>")
     joined = joined.withColumns(
         {
             "n_lines": F.coalesce(F.size(said), F.lit(0)).cast("long"),
-            "removed": F.coalesce("removed", none),
-            "n_links": F.coalesce("n_links", F.lit(0)).cast("long"),
+            "removed": F.coalesce("removed", F.array().cast("array<int>")),
         }
     ).withColumn("n_removed", F.size("removed").cast("long"))
     stay = F.array_except(F.sequence(F.lit(0), F.col("n_lines").cast("int") - 1), F.col("removed"))

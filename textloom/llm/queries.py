@@ -86,7 +86,7 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the lines that are left."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed", "n_links")
+    return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,16 +192,13 @@ links AS (SELECT a, b FROM sized WHERE 5 * common >= 4 * (total - common)),
 gone AS (
   SELECT doc_id, line FROM ranked WHERE nth > 1
   UNION SELECT doc_id, line FROM leads WHERE k IN (SELECT b FROM links)),
-ends AS (SELECT a AS k FROM links UNION ALL SELECT b FROM links),
-linked AS (SELECT doc_id, count(*) AS n FROM ends JOIN leads USING (k) GROUP BY doc_id),
 removed AS (SELECT doc_id, list(line) AS at, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id,
   CASE WHEN r.n IS NULL THEN text ELSE array_to_string(
     list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(r.at, i - 1)),
                    lambda i: lines[i]), chr(10)) END AS text,
-  CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
-  CAST(coalesce(l.n, 0) AS BIGINT) AS n_links
-FROM docs LEFT JOIN removed r USING (doc_id) LEFT JOIN linked l USING (doc_id)
+  CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed
+FROM docs LEFT JOIN removed r USING (doc_id)
 """
 
 _OP4 = """
