@@ -8,7 +8,7 @@ joins ids to the pieces of the vocabulary.
 
 The table travels to every task, so it is bounded: the ``TABLE_WORDS`` most frequent words
 that occur at least twice. A word seen once is encoded where it stands, which is once as
-well. So are words beyond the bound, once a batch.
+well. So are words beyond the bound, which a task remembers for a while.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ from textloom.session import stash
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: A word with the blank before it; white space up to that blank; other white space.
 WORD = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-TABLE_WORDS = 400_000
+TABLE_WORDS = 200_000
+TEXTS_AT_ONCE = 100
+#: Other words a task remembers before it begins anew.
+REMEMBERED_WORDS = 100_000
 #: Longer words are rare and stay out of the table.
 TABLE_WORD_CHARS = 64
 
@@ -86,6 +89,21 @@ def _encode_words(tokenizer: Tokenizer, words: list[str]) -> list[str]:
     return [",".join(map(str, c.ids)) for c in coded]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few texts at a time: lists of words take many times their text."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            yield batch.slice(first, TEXTS_AT_ONCE)
+
+
+def _serialized(table: pa.Table) -> bytes:
+    """Arrow bytes, which take a fraction of what rows take on the driver."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 def _with_text(df: DataFrame, name: str) -> StructType:
     return StructType([*df.schema.fields, StructField(name, StringType())])
 
@@ -101,29 +119,33 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     spark, docs = docs.sparkSession, docs.drop("ids")
     known = stash(word_table(docs, path), "bpe-words")
     # At most TABLE_WORDS words of TABLE_WORD_CHARS characters.
-    table = spark.sparkContext.broadcast({r.word: r.ids for r in known.collect()})
+    table = spark.sparkContext.broadcast(_serialized(known.toArrow()))
     specials = special_tokens(path)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
-        ids_of = table.value
+        held = pa.ipc.open_stream(table.value).read_all()
+        ids_of = dict(zip(held.column("word").to_pylist(), held.column("ids").to_pylist()))
         find = re.compile(WORD).findall
         cut = re.compile("(" + "|".join(map(re.escape, specials)) + ")").split if specials else None
         special_ids = {s: str(tokenizer.token_to_id(s)) for s in specials}
-        for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            rows = []
-            for text in texts:
-                if specials and any(s in text for s in specials):
-                    words = []
-                    for n, part in enumerate(cut(text)):
-                        words.extend([part] if n % 2 else find(part))
-                else:
-                    words = find(text)
-                rows.append(words)
-            missing = list({w for words in rows for w in words if w not in ids_of})
-            rest = {**dict(zip(missing, _encode_words(tokenizer, missing))), **special_ids}
+        rest = dict(special_ids)
+
+        def words_of(text: str) -> list[str]:
+            if not any(s in text for s in specials):
+                return find(text)
+            words = []
+            for n, part in enumerate(cut(text)):
+                words.extend([part] if n % 2 else find(part))
+            return words
+
+        for part in _parts(batches):
+            rows = [words_of(t) if t else [] for t in part.column(at).to_pylist()]
+            if len(rest) > REMEMBERED_WORDS:
+                rest = dict(special_ids)
+            missing = list({w for words in rows for w in words if w not in ids_of and w not in rest})
+            rest.update(zip(missing, _encode_words(tokenizer, missing)))
             ids = []
             for words in rows:
                 try:
@@ -131,8 +153,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 except KeyError:
                     ids.append(",".join([ids_of.get(w) or rest[w] for w in words]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ids, pa.large_string()).cast(pa.string())],
-                names=[*batch.schema.names, "ids"],
+                [*part.columns, pa.array(ids, pa.string())], names=[*part.schema.names, "ids"]
             )
 
     return docs.mapInArrow(run, _with_text(docs, "ids"))
@@ -149,14 +170,14 @@ def decode_documents(coded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = {str(n): p for n, p in enumerate(_pieces_of(path))}
-        for batch in batches:
+        for part in _parts(batches):
             texts = []
-            for ids in batch.column(at).to_pylist():
+            for ids in part.column(at).to_pylist():
                 found = b"".join([pieces[i] for i in ids.split(",")]) if ids else b""
                 texts.append(found.decode("utf-8", errors="replace"))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())],
-                names=[*batch.schema.names, "decoded"],
+                [*part.columns, pa.array(texts, pa.string())],
+                names=[*part.schema.names, "decoded"],
             )
 
     return coded.mapInArrow(run, _with_text(coded, "decoded"))

@@ -96,7 +96,8 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids and of the text decoded from them."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    return _bpe_digests(bpe.decode_documents(bpe.encode_documents(docs, VOCABULARY), VOCABULARY))
+    coded = bpe.encode_documents(docs, VOCABULARY).select("doc_id", "ids")
+    return _bpe_digests(bpe.decode_documents(coded, VOCABULARY))
 
 
 def _bpe_digests(coded: DataFrame) -> DataFrame:
