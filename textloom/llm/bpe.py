@@ -3,8 +3,8 @@
 Texts are cut into words (a run of other characters with the blank before it, or white
 space). The cuts are places where the tokenizer's own pattern always cuts, so words can be
 encoded on their own. Spark counts the words of the corpus, every distinct word of the
-table is encoded once, and its ids are joined back by the positions of the word. Decoding
-joins ids to the pieces of the vocabulary.
+table is encoded once, and tasks look up the ids of each word of a text in the table.
+Decoding looks up the pieces of ids in the vocabulary. Neither is a join.
 
 The table travels to every task, so it is bounded: the ``TABLE_WORDS`` most frequent words
 that occur at least twice. A word seen once is encoded where it stands, which is once as
