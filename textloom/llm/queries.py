@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
+    alignment,
     bpe,
     chat_format,
+    conversation_repair,
     line_dedup,
     mixing,
     pseudo_likelihood,
@@ -20,6 +22,7 @@ from textloom.llm import (
     sharding,
     simhash,
     token_rollup,
+    toxicity,
 )
 from textloom.llm.common import read, words_of
 from textloom.session import stash, work_path
@@ -27,6 +30,9 @@ from textloom.session import stash, work_path
 #: Where the vocabulary files are; any folder with files of these names will do.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+#: Ids of ``PIECES``.
+N_PIECES = 32_000
 TOTAL_SHARE, MOST_TIMES, MIX_SEED = 1.5, 2.0, 20
 N_SHARDS = 24
 
@@ -143,11 +149,68 @@ def op10_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.totals()
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored by what the labels of four fifths of the ids teach."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, folder, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"), "n_sentences",
+        F.size("offending").alias("n_offending"), F.col("worst.start").alias("worst_start"),
+        F.col("worst.end").alias("worst_end"), F.col("worst.score").alias("worst_score"),
+    )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The fixed damage: what happens to a row depends on its conversation and turn."""
+    blank = F.lit(" ")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")])
+    fate = F.crc32(key) % 20
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    rows = turns.select(
+        "conv_id", "turn", F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(fate == 0, F.array()).when(fate == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
+    )
+    return rows.drop("col")
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """What was wrong with the damaged conversations, and what repairing them took."""
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.repair(damaged(turns))
+    reports = conversation_repair.reports(found)
+    digests = conversation_repair.digests(found)
+    key = F.struct("conv_id").alias("conv")
+    all_ids = turns.select("conv_id").distinct().select("conv_id", key)
+    told = all_ids.join(reports.select(key, *reports.columns[1:]), "conv", "left")
+    told = told.join(digests.select(key, "repaired_sha256"), "conv", "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return told.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", sha256(F.lit(""))).alias("repaired_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two public tokenizers lie over each other. The rank file has the
+    vocabulary of byte_bpe_50k.json, without its special token."""
+    encoders = (partial(alignment.rank_encoder, RANKS), partial(alignment.piece_encoder, PIECES))
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = alignment.aligned_corpus(docs, encoders, N_PIECES, digest=True)
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_segment_topk, op2_simhash, op3_pseudo_likelihood, op4_chat_format, op5_line_dedup,
         op6_sharding, op7_bpe, op8_mixing, op9_quality, op10_token_rollup,
+        op11_toxicity, op12_conversation_repair, op13_alignment,
     )
 }
 
