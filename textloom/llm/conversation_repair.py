@@ -289,8 +289,8 @@ def _segment(held: list[dict], at: int) -> dict:
     }
 
 
-def segments(rows: DataFrame) -> DataFrame:
-    """Flagged rows in order, cut into segments of at most ``SEGMENT_ROWS`` rows and about
+def segments(rows: DataFrame, most: int = SEGMENT_ROWS) -> DataFrame:
+    """Flagged rows in order, cut into segments of at most ``most`` rows and about
     ``SEGMENT_CHARS`` characters; ``(part, at)`` names a segment and is their order.
 
     Rows are dealt over tasks by ranges of (conversation, turn, ...), so a large
@@ -303,7 +303,7 @@ def segments(rows: DataFrame) -> DataFrame:
     def cut(rows: Iterator[dict]) -> Iterator[dict]:
         held, chars, at = [], 0, 0
         for row in rows:
-            full = len(held) == SEGMENT_ROWS or chars > SEGMENT_CHARS
+            full = len(held) == most or chars > SEGMENT_CHARS
             if held and (full or row[_CONV] != held[0][_CONV]):
                 yield _segment(held, at)
                 held, chars, at = [], 0, at + 1
@@ -388,7 +388,7 @@ class Repaired(NamedTuple):
     turns: DataFrame
 
 
-def repair(turns: DataFrame) -> Repaired:
+def repair(turns: DataFrame, segment_rows: int = SEGMENT_ROWS) -> Repaired:
     """The cheapest repair of every conversation of ``conv_id, turn, role, text``.
 
     Repaired conversations are empty, or have an s role if they like, then u and a roles in
@@ -401,7 +401,8 @@ def repair(turns: DataFrame) -> Repaired:
     texts are empty. Rows alike are duplicates but for one. Other columns are left out. An
     empty table gives no rows.
     """
-    segs = stash(segments(stash(flagged(turns), "repair-flagged")), "repair-segments")
+    rows = stash(flagged(turns), "repair-flagged")
+    segs = stash(segments(rows, segment_rows), "repair-segments")
     key, place = ["part", "at"], [F.col("part"), F.col("at")]
     sums = _mapped(segs.select(_CONV, *key, "symbols"), _summed_up, _schema("to array<int>"))
     sums = sums.repartition(_CONV).sortWithinPartitions(_CONV, *[c.desc() for c in place])

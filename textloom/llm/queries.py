@@ -284,7 +284,99 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+_ANY_WORD = r"[^\x20\x09-\x0D]"
+
+#: Least (cost, edits) by state (none, s, u, a), row by row: all edits, no blocks.
+_OP12 = rf"""
+WITH RECURSIVE
+byte_crc AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)
+    ORDER BY n) AS t FROM range(256) r(n)),
+keyed AS (
+  SELECT *, string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS k
+  FROM conversations),
+fates AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(k, lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS fate
+  FROM keyed, byte_crc),
+hurt AS (
+  SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE fate WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM fates WHERE fate <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM hurt),
+faults AS (
+  SELECT *, regexp_extract(text, '(?s).*({_ANY_WORD})', 1) AS last,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    role[1] AS r, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS r_before
+  FROM placed),
+rows_ AS (
+  SELECT *, last = '' OR again AS must_go, last NOT IN ('', '.', '!', '?') AND NOT again AS cut,
+    CAST(last NOT IN ('', '.', '!', '?') AND NOT again AS INT) AS more
+  FROM faults),
+told AS (
+  SELECT conv_id, max(i) AS n,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (last = '') AS blank, count(*) FILTER (last <> '' AND again) AS duplicate,
+    count(*) FILTER (cut) AS truncated,
+    count(*) FILTER (i > 1 AND r_before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, n, 0 AS i, {{'c': 0, 'a': ''}} AS s0, {{'c': 100000, 'a': ''}} AS s1,
+    {{'c': 100000, 'a': ''}} AS s2, {{'c': 100000, 'a': ''}} AS s3 FROM told
+  UNION ALL
+  SELECT conv_id, n, i,
+    d0 AS s0,
+    list_sort([d1, CASE WHEN r = 's' AND NOT must_go THEN {{'c': s0.c + more, 'a': s0.a || 'K'}} ELSE d1 END])[1] AS s1,
+    CASE WHEN must_go THEN d2 ELSE list_sort([d2,
+      {{'c': s0.c + more + CASE r WHEN 'u' THEN 0 ELSE 2 END, 'a': s0.a || CASE r WHEN 'u' THEN 'K' ELSE 'R' END}},
+      {{'c': s1.c + more + CASE r WHEN 'u' THEN 0 ELSE 2 END, 'a': s1.a || CASE r WHEN 'u' THEN 'K' ELSE 'R' END}},
+      {{'c': e3.c + more + CASE r WHEN 'u' THEN 0 ELSE 2 END, 'a': e3.a || CASE r WHEN 'u' THEN 'K' ELSE 'R' END}}])[1]
+    END AS s2,
+    CASE WHEN must_go THEN d3 ELSE list_sort([d3,
+      {{'c': e2.c + more + CASE r WHEN 'a' THEN 0 ELSE 2 END, 'a': e2.a || CASE r WHEN 'a' THEN 'K' ELSE 'R' END}}])[1]
+    END AS s3
+  FROM (
+    SELECT *, {{'c': s0.c + 3, 'a': s0.a || 'D'}} AS d0, {{'c': s1.c + 3, 'a': s1.a || 'D'}} AS d1,
+      {{'c': e2.c + 3, 'a': e2.a || 'D'}} AS d2, {{'c': e3.c + 3, 'a': e3.a || 'D'}} AS d3
+    FROM (
+      SELECT *, list_sort([s3, {{'c': e2.c + 2, 'a': e2.a || 'I'}}])[1] AS e3
+      FROM (
+        SELECT s.conv_id, s.n, s.i + 1 AS i, s0, s1, s3, x.r, x.must_go, x.more,
+          list_sort([s2, {{'c': s0.c + 2, 'a': s0.a || 'I'}}, {{'c': s1.c + 2, 'a': s1.a || 'I'}},
+            {{'c': s3.c + 2, 'a': s3.a || 'I'}}])[1] AS e2
+        FROM steps s JOIN rows_ x ON x.conv_id IS NOT DISTINCT FROM s.conv_id AND x.i = s.i + 1) p) q) z),
+best AS (
+  SELECT conv_id, list_sort([s0, s3, {{'c': s2.c + 2, 'a': s2.a || 'I'}}, {{'c': s1.c + 4, 'a': s1.a || 'II'}},
+    {{'c': s0.c + 4, 'a': s0.a || 'II'}}])[1] AS b
+  FROM steps WHERE i = n),
+edits AS (
+  SELECT conv_id, unnest(string_split(b.a, '')) AS e, generate_subscripts(string_split(b.a, ''), 1) AS p FROM best),
+counted AS (
+  SELECT *, sum(CAST(e <> 'I' AS INT)) OVER w AS i, sum(CAST(e <> 'D' AS INT)) OVER w AS q
+  FROM edits WHERE e <> '' WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+kept AS (
+  SELECT c.conv_id, c.p, c.e, c.q, x.role, x.text, x.r,
+    first_value(CASE WHEN c.e = 'K' AND x.r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY c.conv_id ORDER BY c.p) AS lead_s
+  FROM counted c LEFT JOIN rows_ x ON x.conv_id IS NOT DISTINCT FROM c.conv_id AND x.i = c.i AND c.e <> 'I'
+  WHERE c.e <> 'D'),
+said AS (
+  SELECT conv_id, string_agg(
+    CASE e WHEN 'K' THEN role ELSE CASE (q - lead_s) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END
+      || ':' || CASE e WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS said
+  FROM kept GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.c, 0) AS BIGINT) AS cost,
+  coalesce(b.a, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN said ON said.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLE_SQL = {
     "op1_segment_topk": _OP1, "op4_chat_format": _OP4, "op5_line_dedup": _OP5,
-    "op9_quality": quality_sql.query(),
+    "op9_quality": quality_sql.query(), "op12_conversation_repair": _OP12,
 }

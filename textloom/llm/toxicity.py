@@ -37,7 +37,7 @@ MOST_FEATURES = 8_192
 #: than documents in general, and this many documents hold it.
 LEAST_Z, LEAST_DOCUMENTS = 4.0, 5
 #: Lengths of the beginnings of words that are features of their own.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = range(3, 10)
 ROUNDS, STEP, DECAY, FIRST_BIAS = 40, 0.3, 1e-5, -5.0
 #: Tasks a training round is dealt over; the fit is bounded, so this is too.
 FIT_PIECES = 16
