@@ -215,7 +215,7 @@ def flagged(turns: DataFrame) -> DataFrame:
         F.struct("conv_id").alias(_CONV), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    alike = stash(rows.groupBy(_CONV, "turn", "role", "text").agg(F.count("*").alias("n")), "repair-rows")
+    alike = rows.groupBy(_CONV, "turn", "role", "text").agg(F.count("*").alias("n"))
     alike = alike.withColumns({"said": F.md5("text"), "place": F.struct("turn")})
     first = alike.groupBy(_CONV, "role", "said").agg(F.min("place").alias("first"))
     each = alike.join(first, [_CONV, "role", "said"]).select(
@@ -340,7 +340,8 @@ def _expanded(rows: Iterator[dict]) -> Iterator[dict]:
     for row in rows:
         found = [expand(row["symbols"], row["after"], s, row["ends"]) for s in range(4)]
         yield {c: row[c] for c in _BESIDE} | {
-            "audits": [audit for audit, _ in found], "leaves": [left for _, left in found]
+            "audits": [audit for audit, _ in found], "leaves": [left for _, left in found],
+            "costs": [cost_of(audit, row["symbols"]) for audit, _ in found],
         }
 
 
@@ -357,7 +358,9 @@ def _entered(rows: Iterator[dict]) -> Iterator[dict]:
         else:
             row["illegal"] += not _legal(before["last_role"], row["first_role"])
             row["turns"] -= row["first_turn"] is not None and row["first_turn"] == before["last_turn"]
-        yield {c: row[c] for c in _BESIDE} | {"state": state, "audit": row["audits"][state]}
+        yield {c: row[c] for c in _BESIDE} | {
+            "state": state, "audit": row["audits"][state], "cost": row["costs"][state]
+        }
         before, state = row, row["leaves"][state]
 
 
@@ -365,8 +368,7 @@ def _written(rows: Iterator[dict]) -> Iterator[dict]:
     for row in rows:
         said = repaired(row["audit"], row["state"], row["roles"], row["texts"])
         yield {c: row[c] for c in (_CONV, "part", "at")} | {
-            "roles": [role for role, _ in said], "texts": [text for _, text in said],
-            "cost": cost_of(row["audit"], row["symbols"]),
+            "roles": [role for role, _ in said], "texts": [text for _, text in said]
         }
 
 
@@ -381,8 +383,8 @@ def cost_of(audit: str, symbols: list[int]) -> int:
 
 
 class Repaired(NamedTuple):
-    """``faults``: a row per segment, with its edits and counts; ``turns``: a row per
-    segment, with the roles and texts left and the cost. Both by ``conv, part, at``."""
+    """``faults``: a row per segment, with its edits, cost and counts; ``turns``: a row per
+    segment, with the roles and texts left. Both by ``conv, part, at``."""
 
     faults: DataFrame
     turns: DataFrame
@@ -410,13 +412,12 @@ def repair(turns: DataFrame, segment_rows: int = SEGMENT_ROWS) -> Repaired:
     entered = segs.select(*_BESIDE, "symbols").join(behind.drop(_CONV), key)
     beside = "first_turn long, last_turn long, first_role string, last_role string, "
     beside += ", ".join(f"{c} long" for c in _COUNTED)
-    ways = _mapped(entered, _expanded, _schema(f"{beside}, audits array<string>, leaves array<int>"))
+    ways = _mapped(entered, _expanded, _schema(f"{beside}, audits array<string>, leaves array<int>, costs array<long>"))
     ways = ways.repartition(_CONV).sortWithinPartitions(_CONV, *place)
-    faults = stash(_mapped(ways, _entered, _schema(f"{beside}, state int, audit string")), "repair-faults")
-    whole = segs.select(_CONV, *key, "symbols", "roles", "texts")
+    faults = stash(_mapped(ways, _entered, _schema(f"{beside}, state int, audit string, cost long")), "repair-faults")
+    whole = segs.select(_CONV, *key, "roles", "texts")
     left = whole.join(faults.select(*key, "state", "audit"), key)
-    done = _mapped(left, _written, _schema("roles array<string>, texts array<string>, cost long"))
-    return Repaired(faults, stash(done, "repair-turns"))
+    return Repaired(faults, _mapped(left, _written, _schema("roles array<string>, texts array<string>")))
 
 
 def repaired_turns(found: Repaired) -> DataFrame:
@@ -432,15 +433,14 @@ def reports(found: Repaired) -> DataFrame:
     """A row per conversation: ``conv_id, gaps, blank, duplicate, truncated, illegal, cost,
     audit``. ``gaps``: turns that the numbers leave out."""
     per = found.faults.groupBy(_CONV).agg(
-        *[F.sum(c).alias(c) for c in _COUNTED],
+        *[F.sum(c).alias(c) for c in (*_COUNTED, "cost")],
         F.min("first_turn").alias("first"), F.max("last_turn").alias("last"),
         F.array_join(
             F.transform(F.sort_array(F.collect_list(F.struct("part", "at", "audit"))), lambda x: x["audit"]), ""
         ).alias("audit"),
     )
-    costs = found.turns.groupBy(_CONV).agg(F.sum("cost").alias("cost"))
     gaps = F.coalesce(F.col("last") - F.col("first") + 1 - F.col("turns"), F.lit(0))
-    return per.join(costs, _CONV).select(
+    return per.select(
         "conv.conv_id", gaps.cast("long").alias("gaps"), *_COUNTED[:4], "cost", "audit"
     )
 
