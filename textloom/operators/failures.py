@@ -55,6 +55,7 @@ def with_turns(log: DataFrame, slice_of: Column | None = None) -> DataFrame:
     A URL may have very many attempts, so they are counted in slices of the log, and
     slices are put together: a slice without any other outcome hands on what came
     before plus its own attempts, any other one what follows its last such outcome.
+    A null URL is one URL of its own, and a row without a number comes first.
     """
     if slice_of is None:
         slice_of = F.floor(F.col("fetch_id") / SLICE_ROWS)
@@ -77,7 +78,9 @@ def with_turns(log: DataFrame, slice_of: Column | None = None) -> DataFrame:
     carried = slices.select(
         "url", "__slice", F.coalesce(F.last("__upto").over(before), F.lit(0)).alias("__carried")
     )
-    turned = rows.join(carried, ["url", "__slice"])
+    # Null URLs and slices meet too, which plain keys would not let them.
+    same = (rows["url"].eqNullSafe(carried["url"])) & (rows["__slice"].eqNullSafe(carried["__slice"]))
+    turned = rows.join(carried, same).drop(carried["url"], carried["__slice"])
     turn = F.col("__nth") + F.when(F.col("__run") == 0, F.col("__carried")).otherwise(0)
     return turned.withColumn("turn", turn).drop(
         "__slice", "__ends", "__run", "__nth", "__carried"
@@ -88,11 +91,22 @@ def _spent(limit: int) -> Column:
     return (F.col("outcome") == "retry") & (F.col("turn") == limit + 1)
 
 
+def _failed_by_url(log: DataFrame, limit: int) -> DataFrame:
+    """``url, codes, spent`` of URLs that failed: the codes of failures at once, of which
+    there are few, and the code of the first spent budget. One pass, combined in tasks."""
+    turned = with_turns(log).where((F.col("outcome") == "fail") | _spent(limit))
+    first = F.min(F.when(_spent(limit), F.struct("fetch_id", "error_code")))
+    return turned.groupBy("url").agg(
+        F.collect_set(F.when(F.col("outcome") == "fail", F.col("error_code"))).alias("codes"),
+        first["error_code"].alias("spent"),
+    )
+
+
 def retry_exhausted(log: DataFrame, limit: int = fixed.MAX_RETRIES) -> DataFrame:
     """``failed_url, error_code`` of URLs that used up a retry budget: the retryable
     outcome after ``limit`` retries in a row fails. The first one of a URL counts."""
     found = with_turns(log).where(_spent(limit)).groupBy("url").agg(
-        F.min_by("error_code", "fetch_id").alias("error_code")
+        F.min(F.struct("fetch_id", "error_code"))["error_code"].alias("error_code")
     )
     return found.select(F.col("url").alias("failed_url"), "error_code")
 
@@ -102,15 +116,12 @@ def distinct_failures(failures: DataFrame) -> DataFrame:
 
 
 def failed_urls(log: DataFrame, limit: int = fixed.MAX_RETRIES) -> DataFrame:
-    """Distinct failures of a log: failed at once, or out of retries. One pass."""
-    turned = with_turns(log)
-    found = turned.where((F.col("outcome") == "fail") | _spent(limit))
-    # Of several spent budgets of a URL the first counts.
-    first = F.min(F.when(_spent(limit), F.col("fetch_id"))).over(Window.partitionBy("url"))
-    kept = found.withColumn("__first", first).where(
-        (F.col("outcome") == "fail") | (F.col("fetch_id") == F.col("__first"))
+    """Distinct failures of a log: failed at once, or out of retries."""
+    spent = F.when(F.col("spent").isNotNull(), F.array("spent")).otherwise(F.array().cast("array<string>"))
+    codes = F.array_union("codes", spent)
+    return _failed_by_url(log, limit).select(
+        F.col("url").alias("failed_url"), F.explode(codes).alias("error_code")
     )
-    return distinct_failures(kept.select(F.col("url").alias("failed_url"), "error_code"))
 
 
 def fetch_stats(log: DataFrame) -> DataFrame:
