@@ -307,7 +307,7 @@ def test_pages_are_parsed_once(spark, tmp_path):
     pages = spark.read.parquet(str(tmp_path / "p"))
     items = pages_to_items(pages).withColumnRenamed("page_id", "doc_id")
     plans = items._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
-    enriched = enrich_documents(items)
+    enriched = enrich_documents(items, write_first=True)
     after = enriched._jdf.queryExecution().optimizedPlan().toString()
     # One pass for an item, and none is left once items are to be enriched.
     assert plans == 1 and "ArrowEvalPython" not in after

@@ -43,7 +43,7 @@ def index(spark: SparkSession, folder: str) -> Index:
     def build() -> Index:
         root = work_path(spark, "index")
         create_index(spark, root)
-        refresh_index(enrich_documents(items(spark, folder)), root)
+        refresh_index(enrich_documents(items(spark, folder), write_first=True), root)
         return open_index(spark, root)
 
     return _once(spark, folder, "index", build)

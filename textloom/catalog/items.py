@@ -126,6 +126,30 @@ def items_once(spark, folder):
     return pages_to_items(pages.unionByName(again))
 
 
+def repeated_pages(pages):
+    """``pages``, and rows that repeat their ids and URLs: every row twice; another URL
+    under the same id; and, of every fifth page, a blank page of its URL before it."""
+    other = pages.withColumn("url", F.concat("url", F.lit("/b")))
+    blank = pages.where("page_id % 5 = 0").withColumns(
+        {"page_id": F.col("page_id") - 1_000_000, "html": F.lit("<p> </p>")}
+    )
+    return pages.unionByName(pages).unionByName(other).unionByName(blank)
+
+
+def items_first_of_url(spark, folder):
+    """A URL's first row decides: none of a blank one; ids need not be unique."""
+    return pages_to_items(repeated_pages(read_pages(spark, folder)))
+
+
+def items_by_pattern(spark, folder):
+    """Two JSON-lines folders, read by one pattern of names."""
+    root = work_path(spark, "by-pattern")
+    found = pages_to_items(read_pages(spark, folder))
+    write_items(found.where("page_id % 2 = 0"), {"type": "local", "directory_path": f"{root}/even"})
+    write_items(found.where("page_id % 2 = 1"), {"type": "local", "directory_path": f"{root}/odd"})
+    return scan_items(spark, f"{root}/*/*.jsonl").select("title", "url", "content")
+
+
 def _hard_lines(spark, folder):
     """Ten lines a page, as a folder of text files."""
     url = F.concat(F.lit("http://e/"), F.col("page_id").cast("string"))
@@ -195,6 +219,8 @@ QUERIES = {
     "processed_urls": processed_urls,
     "scan_items_jsonl": scan_items_jsonl,
     "items_once": items_once,
+    "items_first_of_url": items_first_of_url,
+    "items_by_pattern": items_by_pattern,
     "scan_hard_lines": scan_hard_lines,
     "documents_scan": documents_scan,
     "failed_scan": failed_scan,
@@ -255,6 +281,10 @@ def oracles() -> dict[str, str]:
             FROM documents""",
         "processed_urls": f"WITH {sql.ITEMS} SELECT DISTINCT url FROM items",
         "items_once": f"WITH {sql.ITEMS} SELECT doc_id AS page_id, title, url, content FROM items",
+        "items_first_of_url": f"""WITH {sql.ITEMS}
+            SELECT doc_id AS page_id, title, url, content FROM items WHERE doc_id % 5 <> 0
+            UNION ALL SELECT doc_id AS page_id, title, url || '/b' AS url, content FROM items""",
+        "items_by_pattern": f"WITH {sql.ITEMS} SELECT title, url, content FROM items",
         "scan_hard_lines": """
             SELECT title, CASE WHEN name = '' THEN '' ELSE 'http://e/' || page_id || name END AS url,
               content, keywords

@@ -72,7 +72,7 @@ def doc_keywords(spark, folder):
 
 
 def enrich_documents(spark, folder):
-    enriched = jobs.enrich_documents(fixtures.items(spark, folder))
+    enriched = jobs.enrich_documents(fixtures.items(spark, folder), write_first=True)
     joined = F.array_join("keywords", ",").alias("keywords")
     return enriched.select("title", "url", joined, "content")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.catalog import fixtures, sql
+from textloom.catalog import fixtures, items, sql
+from textloom.catalog.items import repeated_pages
 from textloom.schemas import FAILURE
 from textloom.session import work_path
 from textloom.sinks.jsonl import FAILURES_FILE, sink_path
@@ -78,6 +79,13 @@ def stream_items_once(spark, folder):
     return _run(spark, P.items_stream(twice), "stream-once", ["title", "url", "content"])
 
 
+def stream_items_first_of_url(spark, folder):
+    """A URL's first row decides, as in the batch job."""
+    rows = repeated_pages(_pages(spark, folder))
+    columns = ["page_id", "title", "url", "content"]
+    return _run(spark, P.items_stream(rows), "stream-first", columns)
+
+
 def stream_items_sink(spark, folder):
     """Items appended as JSON lines, read back from the sink."""
     path = work_path(spark, "sink")
@@ -97,6 +105,7 @@ QUERIES = {
     "stream_failed": stream_failed,
     "stream_failed_all": stream_failed_all,
     "stream_items_once": stream_items_once,
+    "stream_items_first_of_url": stream_items_first_of_url,
     "stream_items_sink": stream_items_sink,
 }
 
@@ -117,5 +126,6 @@ def oracles() -> dict[str, str]:
         "stream_failed": f"{log} SELECT failed_url, error_code FROM at_once",
         "stream_failed_all": f"{log} SELECT * FROM at_once UNION SELECT * FROM exhausted",
         "stream_items_once": f"WITH {sql.ITEMS} SELECT title, url, content FROM items",
+        "stream_items_first_of_url": items.oracles()["items_first_of_url"],
         "stream_items_sink": f"WITH {sql.ITEMS} SELECT title, url, content FROM items",
     }

@@ -29,17 +29,18 @@ def emitted(extracted: DataFrame) -> DataFrame:
     return extracted.where(~F.col("url").contains("robots.txt") & (F.col("content") != ""))
 
 
-def emitted_and_decoded(
+def decoded_pages(
     pages: DataFrame,
     exclude_keywords: Iterable[str] = fixed.EXCLUDE_KEYWORDS,
     exclude_tags: Iterable[str] = (),
 ) -> DataFrame:
-    """``extract_pages`` of the pages ``emitted`` keeps, with entities and leftover tags
-    resolved and characters not yet cleaned, in one pass over the HTML."""
+    """``extract_pages`` of all but robots files, with entities and leftover tags resolved
+    and characters not yet cleaned, in one pass over the HTML; ``shown`` tells whether a
+    page has visible text."""
     named = pages.where(~F.col("url").contains("robots.txt"))
     text = page_text(F.col("html"), exclude_keywords, exclude_tags, decoded=True)
-    read = named.withColumn("page", text).where("page.shown")
-    return read.select("page_id", "page.title", "url", "page.content")
+    read = named.withColumn("page", text)
+    return read.select("page_id", "page.title", "url", "page.content", "page.shown")
 
 
 def clean_items(items: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from textloom.functions import fixed
 from textloom.functions.analysis import explode_structs, with_term_counts
 from textloom.functions.language import detect_language, drop_stop_words
 from textloom.functions.text import keyword_clean, tokenize
-from textloom.session import stash
+from textloom.session import BROADCAST_BYTES, bytes_of, stash
 
 #: At most this many vocabulary rows are broadcast (some 100 MB as a hash table).
 BROADCAST_ROWS = 1_000_000
@@ -82,9 +82,12 @@ def join_vocabulary(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
     terms are then shuffled, and no term among those has many rows.
     """
     vocabulary = stash(vocabulary, "vocabulary")
-    if vocabulary.count() <= BROADCAST_ROWS:
+    rows, size = vocabulary.count(), bytes_of(vocabulary)
+    # As many rows as fit both limits, if all are about as long.
+    fit = min(BROADCAST_ROWS, rows * BROADCAST_BYTES // max(1, size))
+    if rows <= fit:
         return tf.join(F.broadcast(vocabulary), "term")
-    cutoff = _common_from(vocabulary, BROADCAST_ROWS)
+    cutoff = _common_from(vocabulary, fit)
     if cutoff is None:
         return tf.join(vocabulary, "term")
     common = F.broadcast(vocabulary.where(F.col("df") >= cutoff))

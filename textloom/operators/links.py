@@ -12,8 +12,8 @@ from textloom.session import small_or_shuffled
 
 #: Hosts whose rule lengths may be broadcast; more are joined by a shuffle.
 BROADCAST_HOSTS = 200_000
-#: Ids of repeated pages that may be broadcast.
-BROADCAST_IDS = 2_000_000
+#: Repeated URLs that may be broadcast.
+BROADCAST_URLS = 500_000
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -57,18 +57,29 @@ def first_seen(rows: DataFrame, key: str, *order: Column) -> DataFrame:
 
 
 def without_repeats(pages: DataFrame) -> DataFrame:
-    """The row with the smallest ``page_id`` of each URL.
+    """One row of each URL: that with the smallest ``page_id`` (null first), and of rows
+    alike in both that with the smallest ``html``.
 
-    Only ids and URLs are read to find the repeats, which are few, and taken out by id;
-    pages themselves are left where they are. Rows alike in id and URL are one page
-    stored twice and both stay.
+    Only ids and URLs are read to find the repeats. What they are is joined to the pages by
+    URL, which leaves pages where they are while few URLs repeat; only rows alike in id and
+    URL are shuffled, if there are any. Null URLs are no repeats of each other.
     """
-    named = pages.select("page_id", "url")
-    first = named.groupBy("url").agg(
-        F.min("page_id").alias("__first"), F.max("page_id").alias("__last")
-    ).where("__first < __last")
-    again = named.join(first, "url").where("page_id > __first").select("page_id").distinct()
-    return pages.join(small_or_shuffled(again, "repeats", BROADCAST_IDS), "page_id", "left_anti")
+    kinds = pages.select("page_id", "url").groupBy("url", "page_id").agg(F.count("*").alias("n"))
+    first = kinds.groupBy("url").agg(
+        F.min(F.struct("page_id", "n")).alias("first"), F.count("*").alias("ids")
+    )
+    repeated = first.where((F.col("ids") > 1) | (F.col("first.n") > 1)).select(
+        "url", F.col("first.page_id").alias("__id"), (F.col("first.n") > 1).alias("__alike")
+    )
+    repeated = small_or_shuffled(repeated, "repeats", BROADCAST_URLS)
+    told = pages.join(repeated, "url", "left")
+    kept = told.where(F.col("__alike").isNull() | F.col("page_id").eqNullSafe(F.col("__id")))
+    columns = [F.col(c) for c in pages.columns]
+    if repeated.where("__alike").isEmpty():
+        return kept.select(*columns)
+    once = first_seen(kept.where("__alike"), "url", F.col("html"))
+    rest = kept.where(F.coalesce(~F.col("__alike"), F.lit(True)))
+    return rest.select(*columns).unionByName(once.select(*columns))
 
 
 # Robots rules -----------------------------------------------------------------

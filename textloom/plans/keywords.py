@@ -28,13 +28,14 @@ def keyword_ranks(
     return K.top_keywords(joined, n_docs, top)
 
 
-def enrich_documents(docs: DataFrame, **options) -> DataFrame:
+def enrich_documents(docs: DataFrame, write_first: bool = False, **options) -> DataFrame:
     """``docs`` plus ``keywords``. Joined by ``doc_id``, not by position.
 
-    ``docs`` is read twice, for the terms and for the join. Texts that Python makes (items
-    of pages) are written first, so that no page is parsed twice; a table is read again.
+    ``docs`` is read twice, for the terms and for the join. With ``write_first`` it is
+    written first: for texts that are dear to make, like items parsed from pages. A table
+    is better read again.
     """
-    if "Python" in docs._jdf.queryExecution().optimizedPlan().toString():
+    if write_first:
         docs = stash(docs, "documents-to-enrich")
     return K.attach_keywords(docs, K.doc_keywords(keyword_ranks(docs, **options)))
 

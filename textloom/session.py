@@ -111,6 +111,14 @@ def small_or_shuffled(df: DataFrame, label: str, max_rows: int) -> DataFrame:
     return F.broadcast(written) if small else written
 
 
+def paths_matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths a path or glob pattern names, on whatever file system its URI names."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = hadoop_path.getFileSystem(conf).globStatus(hadoop_path)
+    return [status.getPath().toString() for status in found or ()]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on whatever file system its URI names."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

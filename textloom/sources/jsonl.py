@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.schemas import ENRICHED, FAILURE
-from textloom.session import path_exists
+from textloom.session import paths_matching
 
 
 #: No line is refused for the length of a string in it.
 _ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``value``, with the ``file`` of each. A path that is not there yet, as on a
-    first run, has none."""
-    if not path_exists(spark, path):
-        print(f"No file at '{path}': nothing is read.")
+#: A file, a folder, a pattern of names, or several of them.
+Paths = str | Sequence[str]
+
+
+def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Lines ``value``, with the ``file`` of each. A file that is not there yet, as on a
+    first run, has none, nor has a pattern that nothing matches; that the folder they
+    should be in is missing too is an error."""
+    found = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        if paths_matching(spark, path):
+            found.append(path)
+        elif not paths_matching(spark, path.rstrip("/").rpartition("/")[0] or "."):
+            raise FileNotFoundError(f"No folder for '{path}'.")
+        else:
+            print(f"No file at '{path}': nothing is read.")
+    if not found:
         return spark.createDataFrame([], "value string, file string")
-    return spark.read.text(path).select("value", F.input_file_name().alias("file"))
+    return spark.read.text(found).select("value", F.input_file_name().alias("file"))
 
 
 def _parsed_lines(lines: DataFrame, parse: Column) -> DataFrame:
@@ -69,7 +83,7 @@ def _plain_texts(raw: Column) -> Column:
     return F.coalesce(many, F.when(raw.isNotNull(), F.array(raw)))
 
 
-def scan_items(spark: SparkSession, path: str) -> DataFrame:
+def scan_items(spark: SparkSession, path: Paths) -> DataFrame:
     """Items ``title, url, content, keywords`` of a JSON-lines folder or file.
 
     A line that is no JSON is dropped. JSON that is no usable item (not an object,
@@ -98,32 +112,32 @@ def scan_items(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+def malformed_lines(spark: SparkSession, path: Paths) -> DataFrame:
     """The lines ``scan_items`` drops, with the file each came from."""
     return _lines(spark, path).where(_both_ways(ENRICHED).isNull()).select("file", "value")
 
 
-def _well_formed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _well_formed(spark: SparkSession, path: Paths, schema: T.StructType) -> DataFrame:
     """Fields of the lines that are JSON objects, all as text."""
     parsed = _parsed_lines(_lines(spark, path), _fields(schema))
     fine = parsed.where(F.col("v.bad").isNull())
     return fine.select(*[f"v.{name}" for name in schema.names])
 
 
-def scan_processed_urls(spark: SparkSession, path: str) -> DataFrame:
+def scan_processed_urls(spark: SparkSession, path: Paths) -> DataFrame:
     """Distinct ``url`` of well-formed lines that have one."""
     schema = T.StructType([T.StructField("url", T.StringType())])
     return _well_formed(spark, path, schema).where(F.col("url").isNotNull()).distinct()
 
 
-def scan_failed_urls(spark: SparkSession, path: str) -> DataFrame:
+def scan_failed_urls(spark: SparkSession, path: Paths) -> DataFrame:
     """Distinct ``failed_url, error_code`` of well-formed lines; no code is ''."""
     rows = _well_formed(spark, path, FAILURE).where(F.col("failed_url").isNotNull())
     code = F.coalesce("error_code", F.lit(""))
     return rows.withColumn("error_code", code).dropDuplicates(["failed_url", "error_code"])
 
 
-def scan_documents(spark: SparkSession, path: str) -> DataFrame:
+def scan_documents(spark: SparkSession, path: Paths) -> DataFrame:
     """Enriched documents to index; lines that are no JSON objects are skipped. A single
     keyword counts as a list of one."""
     rows = _well_formed(spark, path, ENRICHED)

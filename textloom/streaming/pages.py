@@ -8,9 +8,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from textloom.operators.extract import decoded_pages
 from textloom.operators.links import unseen
-from textloom.plans.items import pages_to_items
+from textloom.plans.items import items_of
 from textloom.schemas import ITEM, PAGE
 from textloom.session import state_on_disk
 
@@ -35,11 +37,51 @@ def stream_pages(
 def items_stream(pages: DataFrame, processed: DataFrame | None = None) -> DataFrame:
     """The batch page job on a stream, each URL once; URLs of an earlier run are left out.
 
-    Items are far smaller than pages, so repeats are dropped after parsing, where only
-    items go to the URL state.
+    As in the batch job a URL's first row counts, blank or not: of the micro-batch it
+    arrives in, the row with the smallest ``page_id``. What is read from a page is far
+    smaller than its source, so repeats are dropped after reading, where only texts go to
+    the URL state, and before blank pages are.
     """
-    items = pages_to_items(pages, seen_urls=processed, once=False)
-    return dedup_stream(items, combine=False)
+    if processed is not None:
+        pages = unseen(pages, processed)
+    return items_of(first_rows_stream(decoded_pages(pages), "url", "page_id"))
+
+
+#: Stands for a null in an order column, and comes first like one.
+_LEAST = -(1 << 63)
+
+
+def first_rows_stream(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """The first row of each key over the whole life of the stream: of the micro-batch the
+    key first arrives in, the row with the smallest ``order`` (a whole number, null
+    first). Rows without a key are left out. Repeats inside a batch of rows of a task are
+    dropped before the shuffle."""
+    columns = rows.columns
+    keyed = rows.where(F.col(key).isNotNull()).withColumn(
+        order, F.coalesce(F.col(order).cast("long"), F.lit(_LEAST))
+    )
+
+    def fewer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.sort_values(order, kind="stable").drop_duplicates(key)
+
+    def once(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        first = None
+        for batch in batches:
+            if state.exists:
+                continue
+            least = batch.nsmallest(1, order)
+            if first is None or least[order].iat[0] < first[order].iat[0]:
+                first = least
+        if first is not None:
+            state.update((True,))
+            yield first[columns]
+
+    schema = keyed.schema
+    found = keyed.mapInPandas(fewer, schema).groupBy(key).applyInPandasWithState(
+        once, schema, "seen boolean", "append", GroupStateTimeout.NoTimeout
+    )
+    return found.withColumn(order, F.nullif(F.col(order), F.lit(_LEAST)))
 
 
 def _first_in_batch(key: str):
