@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from textloom.catalog import fixtures, sql
 from textloom.catalog.keywords import JOINED
+from textloom.functions import fixed
 from textloom.functions.analysis import analyze
 from textloom.functions.urls import host
 from textloom.operators import postings as P
 from textloom.operators import search as S
 from textloom.plans.index import create_index, open_index, postings_of, refresh_index
-from textloom.plans.search import scored_documents, search as run_search
+from textloom.plans.search import best_documents, count_hits, search as run_search
 from textloom.session import stash, work_path
 from textloom.sources.tables import read_documents, read_pages
 
@@ -53,7 +54,7 @@ def search_bm25(spark, folder):
 def _field_scores(spark, folder, query):
     index = fixtures.index(spark, folder)
     terms = S.query_terms(spark, query)
-    postings, frequencies = postings_of(index, sorted({*terms, query}))
+    postings, frequencies, _ = postings_of(index, sorted({*terms, query}))
     return S.field_scores(postings, index.stats, terms, query, frequencies)
 
 
@@ -77,7 +78,9 @@ def search_best_fields(spark, folder):
 
 
 def search_page(spark, folder):
-    page = S.result_page(scored_documents(fixtures.index(spark, folder), QUERY), 2, 10)
+    """The second page, of the best documents by block."""
+    best = best_documents(fixtures.index(spark, folder), QUERY, 20)
+    page = S.result_page(best.hits, 2, 10)
     return page.select(
         F.col("rank").cast("long").alias("rank"), "doc_id", F.round("score", 6).alias("score")
     )
@@ -95,8 +98,43 @@ def search_dedup_titles(spark, folder):
     return S.dedup_titles(results)
 
 
+def search_full_ranking(spark, folder):
+    """The best documents where more are asked for than there are: every hit, in order."""
+    index = fixtures.index(spark, folder)
+    n = count_hits(index, QUERY) + 1
+    page = S.result_page(best_documents(index, QUERY, n).hits, 1, n)
+    return page.select(
+        F.col("rank").cast("long").alias("rank"), "doc_id", F.round("score", 6).alias("score")
+    )
+
+
+def empty_query(spark, folder):
+    """A blank request is refused with a message; another one is counted."""
+    index, rows = fixtures.index(spark, folder), []
+    for request, query in (("blank", " \t "), ("words", f" {QUERY} ")):
+        try:
+            rows.append((request, None, count_hits(index, S.check_request(query, 1, 10))))
+        except ValueError as refused:
+            rows.append((request, str(refused), None))
+    return spark.createDataFrame(rows, "request string, error string, total long")
+
+
+def index_precondition(spark, folder):
+    """Items are not indexed where no index was created, and are once there is one."""
+    root = work_path(spark, "not-created")
+    rows = fixtures.items(spark, folder).withColumn("keywords", F.array())
+    without = refresh_index(rows, root) is not None
+    create_index(spark, root)
+    done = refresh_index(rows, root)
+    return spark.createDataFrame(
+        [(without, done.deleted, done.indexed)], "refreshed_without boolean, deleted long, indexed long"
+    )
+
+
 def search_total(spark, folder):
-    found = S.totals(scored_documents(fixtures.index(spark, folder), QUERY), 1, 10)
+    index = fixtures.index(spark, folder)
+    counted = spark.createDataFrame([(count_hits(index, QUERY),)], "total long")
+    found = S.totals_of(counted, 1, 10)
     return found.select("total", "total_pages")
 
 
@@ -144,6 +182,9 @@ QUERIES = {
     "search_keywords": search_keywords,
     "search_best_fields": search_best_fields,
     "search_page": search_page,
+    "search_full_ranking": search_full_ranking,
+    "empty_query": empty_query,
+    "index_precondition": index_precondition,
     "search_dedup_titles": search_dedup_titles,
     "search_total": search_total,
     "search": search,
@@ -231,6 +272,17 @@ def oracles() -> dict[str, str]:
             f"{indexed}, {scored} SELECT rank, doc_id, round(score, 6) AS score FROM placed "
             "WHERE rank BETWEEN 11 AND 20"
         ),
+        "search_full_ranking": (
+            f"{indexed}, {scored} SELECT rank, doc_id, round(score, 6) AS score FROM placed"
+        ),
+        "empty_query": (
+            f"{indexed}, {scored} SELECT 'blank' AS request, '{fixed.EMPTY_QUERY}' AS error, "
+            "NULL AS total UNION ALL SELECT 'words', NULL, count(*) FROM best"
+        ),
+        "index_precondition": (
+            f"WITH {sql.ITEMS} SELECT false AS refreshed_without, 0 AS deleted, "
+            "count(*) AS indexed FROM items"
+        ),
         "search_dedup_titles": r"""
             SELECT rank, title, url FROM (
               SELECT page_id AS rank, url, h || ' - Page ' || page_id AS title,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +13,10 @@ TEXT_FIELDS = ("title", "content")
 FIELDS = ("title", "keywords", "content")
 
 
-def analyze_documents(docs: DataFrame, only_terms: Iterable[str] | None = None) -> DataFrame:
-    """``doc_id`` and, per field, its term counts (``*_tf``) and length (``*_dl``).
+def analyze_documents(
+    docs: DataFrame, only_terms: Iterable[str] | None = None, keys: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """``doc_id`` (or other ``keys``) and, per field, its term counts (``*_tf``) and length (``*_dl``).
 
     ``docs`` needs ``doc_id`` and any of title, keywords, content. A keyword is
     one exact term, counted once, and its field has no length normalisation.
@@ -23,7 +25,7 @@ def analyze_documents(docs: DataFrame, only_terms: Iterable[str] | None = None)
     """
     only = None if only_terms is None else list(only_terms)
     out = docs
-    kept = ["doc_id"]
+    kept = list(keys)
     for field in TEXT_FIELDS:
         if field in docs.columns:
             words = f"__{field}_words"
@@ -49,8 +51,8 @@ def _fields(analyzed: DataFrame) -> list[str]:
     return [field for field in FIELDS if f"{field}_tf" in analyzed.columns]
 
 
-def build_postings(analyzed: DataFrame) -> DataFrame:
-    """``doc_id, field, term, tf, dl``; narrow, no shuffle."""
+def build_postings(analyzed: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``doc_id, field, term, tf, dl`` (or other ``keys``); narrow, no shuffle."""
 
     def entries(field: str):
         length = F.lit(1).cast("long") if field == "keywords" else F.col(f"{field}_dl")
@@ -65,8 +67,8 @@ def build_postings(analyzed: DataFrame) -> DataFrame:
         )
 
     everything = F.concat(*[entries(field) for field in _fields(analyzed)])
-    rows = analyzed.select("doc_id", everything.alias("postings"))
-    exploded = rows.select("doc_id", F.inline_outer("postings"))
+    rows = analyzed.select(*keys, everything.alias("postings"))
+    exploded = rows.select(*keys, F.inline_outer("postings"))
     return exploded.where(F.col("term").isNotNull())
 
 

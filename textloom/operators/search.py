@@ -37,10 +37,27 @@ def matching_postings(postings: DataFrame, terms: dict[str, int], query: str) ->
     return postings.where(F.col("term").isin(*terms, query) & (in_text | as_keyword))
 
 
-def bm25(tf: Column, dl: Column, df: Column, n_docs: Column, avgdl: Column) -> Column:
+def inverse_frequency(df: Column, n_docs: Column) -> Column:
+    return F.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
+
+
+def saturation(tf: Column, dl: Column, avgdl: Column) -> Column:
+    """The share of a term's weight that a document reaches."""
     k1, b = fixed.BM25_K1, fixed.BM25_B
-    idf = F.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
-    return idf * (k1 + 1.0) * tf / (tf + k1 * ((1.0 - b) + b * dl / avgdl))
+    return (k1 + 1.0) * tf / (tf + k1 * ((1.0 - b) + b * dl / avgdl))
+
+
+def bm25(tf: Column, dl: Column, df: Column, n_docs: Column, avgdl: Column) -> Column:
+    return inverse_frequency(df, n_docs) * saturation(tf, dl, avgdl)
+
+
+def _repeats(terms: dict[str, int]) -> Column:
+    """How often the query has a row's term; once as a keyword."""
+    repeats = F.coalesce(
+        *[F.when(F.col("term") == term, F.lit(n)) for term, n in terms.items() if n > 1],
+        F.lit(1),
+    )
+    return F.when(F.col("field") == "keywords", F.lit(1)).otherwise(repeats)
 
 
 def field_scores(
@@ -59,11 +76,6 @@ def field_scores(
     shuffle, by document.
     """
     found = matching_postings(postings, terms, query)
-    repeats = F.coalesce(
-        *[F.when(F.col("term") == term, F.lit(n)) for term, n in terms.items() if n > 1],
-        F.lit(1),
-    )
-    repeats = F.when(F.col("field") == "keywords", F.lit(1)).otherwise(repeats)
     if frequencies is None:
         known = term_stats(found)
     else:
@@ -73,13 +85,52 @@ def field_scores(
         .join(F.broadcast(stats), "field")
         .withColumn(
             "score",
-            repeats * bm25(*[F.col(c) for c in ("tf", "dl", "df", "n_docs", "avgdl")]),
+            _repeats(terms) * bm25(*[F.col(c) for c in ("tf", "dl", "df", "n_docs", "avgdl")]),
         )
     )
+    return _by_field(scored, "doc_id")
+
+
+def _by_field(scored: DataFrame, key: str) -> DataFrame:
     per_field = [
         F.sum(F.when(F.col("field") == field, F.col("score"))).alias(field) for field in FIELDS
     ]
-    return scored.groupBy("doc_id").agg(*per_field)
+    return scored.groupBy(key).agg(*per_field)
+
+
+def block_bounds(
+    found: DataFrame,
+    blocks: DataFrame,
+    stats: DataFrame,
+    terms: dict[str, int],
+    frequencies: DataFrame,
+    block_bits: int,
+) -> DataFrame:
+    """``block, bound``: no document of the block scores higher. ``found`` are the postings
+    the query touches, ``blocks`` what is known of its common terms by block; its other
+    terms, which are in few documents, are summed up here."""
+    rare = frequencies.where(F.col("df") < (1 << block_bits)).select("field", "term")
+    weight = frequencies.join(F.broadcast(stats), "field").select(
+        "field", "term", (_repeats(terms) * inverse_frequency(F.col("df"), F.col("n_docs"))).alias("weight")
+    )
+    few = found.join(F.broadcast(rare), ["field", "term"]).join(F.broadcast(stats), "field")
+    few = few.groupBy("field", "term", F.shiftright("pos", block_bits).alias("block")).agg(
+        F.max(saturation(F.col("tf"), F.col("dl"), F.col("avgdl"))).alias("best")
+    )
+    known = blocks.select("field", "term", "block", "best").unionByName(few)
+    weighed = known.join(F.broadcast(weight), ["field", "term"])
+    per_field = _by_field(weighed.withColumn("score", F.col("weight") * F.col("best")), "block")
+    best = F.greatest(*[F.coalesce(F.col(field), F.lit(0.0)) for field in FIELDS])
+    return per_field.select("block", best.alias("bound"))
+
+
+def count_documents_of(found: DataFrame) -> int:
+    """Distinct documents of postings, by their place: tasks hand on bitmaps of 32,768
+    places each, so no document is shuffled to be counted."""
+    bits = found.groupBy(F.bitmap_bucket_number("pos").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("pos")).alias("bits")
+    )
+    return bits.agg(F.sum(F.bitmap_count("bits"))).first()[0] or 0
 
 
 def best_field(scores: DataFrame) -> DataFrame:
@@ -94,6 +145,11 @@ def rank_all(scored: DataFrame) -> DataFrame:
     return scored.orderBy(F.col("score").desc(), F.col("doc_id"))
 
 
+def best_documents(scored: DataFrame, count: int) -> DataFrame:
+    """The first ``count`` of the whole ranking."""
+    return rank_all(scored).limit(count)
+
+
 def result_page(scored: DataFrame, page: int, size: int) -> DataFrame:
     """``rank, doc_id, score`` of one page. Its rows are at most ``size`` and known
     here, so the documents can be looked up by id instead of joined in full."""
@@ -131,10 +187,14 @@ def dedup_titles(results: DataFrame) -> DataFrame:
 
 
 def totals(scored: DataFrame, page: int, size: int) -> DataFrame:
-    """One row ``total, page, size, total_pages``."""
-    total = F.count(F.lit(1))
+    """One row ``total, page, size, total_pages`` of scored documents."""
+    return totals_of(scored.agg(F.count(F.lit(1)).alias("total")), page, size)
+
+
+def totals_of(counted: DataFrame, page: int, size: int) -> DataFrame:
+    """The same of one row ``total``."""
     pages = F.expr(f"(total + {size} - 1) div {size}")
-    return scored.agg(total.alias("total")).select(
+    return counted.select(
         "total",
         F.lit(page).alias("page"),
         F.lit(size).alias("size"),

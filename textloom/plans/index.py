@@ -1,22 +1,30 @@
-"""The search index as four tables under one folder.
+"""The search index as five tables under one folder.
 
 ``docs`` holds the stored fields, ``postings`` the terms, ``terms`` their document
-frequencies, ``stats`` one row per field, and one that names the term folders. Postings
-and terms lie in term-hash folders and are range-sorted by term and
-document inside them: a search reads the folders of its terms only, and a very
-common term is spread over several files.
+frequencies, ``blocks`` what a common term is worth at best in each block of documents,
+``stats`` one row per field, and one of the layout. All but docs and stats lie in term-hash
+folders and are range-sorted by term and document inside them: a search reads the folders
+of its terms only, and a very common term is spread over several files.
+
+Documents are numbered in the order they are stored in; 2^bits neighbours are a block, and
+postings carry the number, so that a scan for some blocks skips the rest of a term.
+
+A refresh writes a version of its own and then a pointer to it. Readers open the version
+the newest whole pointer names, so a refresh that is lost on the way changes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import postings as P
-from textloom.schemas import FIELD_STATS, POSTING, TERM, index_schema
-from textloom.session import bytes_of, path_exists, stash
+from textloom.operators.search import saturation
+from textloom.schemas import BLOCK, FIELD_STATS, POSTING, TERM, index_schema
+from textloom.session import bytes_of, path_exists, paths_matching, remove_path, small_or_shuffled, stash
 from textloom.sources.jsonl import scan_documents
 
 #: Term folders of a small index. A larger one gets one for so many bytes of analysed text.
@@ -24,6 +32,12 @@ TERM_BUCKETS = 16
 BUCKET_BYTES = 8 << 30
 #: Bytes of analysed text that one writing task takes.
 TASK_BYTES = 256 << 20
+#: Documents of a block, as a power of two.
+BLOCK_BITS = 12
+#: Common terms that may be broadcast while blocks are written.
+BROADCAST_TERMS = 500_000
+#: Versions a refresh leaves: the new one and that before, which may be open still.
+KEPT_VERSIONS = 2
 #: The row of ``stats`` that is there in an empty index too.
 _LAYOUT = "*"
 
@@ -39,79 +53,148 @@ class Index:
     docs: DataFrame
     postings: DataFrame
     terms: DataFrame
+    blocks: DataFrame
     stats: DataFrame
     buckets: int
+    block_bits: int
 
 
 def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the whole pointers, oldest first."""
+    found = paths_matching(spark, f"{root}/current/*/_SUCCESS")
+    return sorted((path.rpartition("/")[0] for path in found), key=_number)
+
+
+def _number(pointer: str) -> int:
+    return int(pointer.rpartition("/")[2].partition("-")[0])
+
+
+def _version_of(pointer: str) -> str:
+    """A pointer's name is its number and the version it names."""
+    return pointer.rpartition("/")[2].partition("-")[2]
+
+
+def _point_to(spark: SparkSession, root: str, version: str) -> None:
+    """Make a version the current one. The mark that ends the write is one small file, so
+    the pointer is there as a whole or not at all."""
+    pointers = _pointers(spark, root)
+    number = _number(pointers[-1]) + 1 if pointers else 0
+    name = spark.createDataFrame([(version,)], "version string")
+    name.coalesce(1).write.parquet(f"{root}/current/{number}-{version}")
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Folder of the tables to read; None where there is no index."""
+    pointers = _pointers(spark, root)
+    return f"{root}/versions/{_version_of(pointers[-1])}" if pointers else None
+
+
 def index_exists(spark: SparkSession, root: str) -> bool:
-    return path_exists(spark, f"{root}/docs/_SUCCESS")
+    return bool(_pointers(spark, root))
 
 
 def create_index(spark: SparkSession, root: str) -> bool:
     """Create an empty index with the field mapping; False if there is one already."""
     if index_exists(spark, root):
         return False
-    for name, schema in (("postings", POSTING), ("terms", TERM)):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{name}")
-    _write_stats(spark.createDataFrame([], FIELD_STATS), TERM_BUCKETS, root)
-    # Last, because it says that there is an index.
-    spark.createDataFrame([], index_schema()).write.parquet(f"{root}/docs")
+    version = uuid.uuid4().hex
+    folder = f"{root}/versions/{version}"
+    for name, schema in (
+        ("postings", POSTING), ("terms", TERM), ("blocks", BLOCK), ("docs", index_schema())
+    ):
+        spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}")
+    _write_stats(spark.createDataFrame([], FIELD_STATS), TERM_BUCKETS, BLOCK_BITS, folder)
+    _point_to(spark, root, version)
     return True
 
 
-def _write_stats(stats: DataFrame, buckets: int, root: str) -> None:
-    layout = stats.sparkSession.createDataFrame([(_LAYOUT, 0, None, buckets)], FIELD_STATS)
-    rows = stats.select("field", "n_docs", "avgdl", F.lit(buckets).alias("buckets"))
-    rows.union(layout).coalesce(1).write.mode("overwrite").parquet(f"{root}/stats")
+def _write_stats(stats: DataFrame, buckets: int, block_bits: int, folder: str) -> None:
+    layout = stats.sparkSession.createDataFrame(
+        [(_LAYOUT, 0, None, buckets, block_bits)], FIELD_STATS
+    )
+    rows = stats.select(
+        "field", "n_docs", "avgdl", F.lit(buckets).alias("buckets"), F.lit(block_bits).alias("block_bits")
+    )
+    rows.union(layout).coalesce(1).write.parquet(f"{folder}/stats")
 
 
 def refresh_index(
-    enriched: DataFrame, root: str, buckets: int | None = None
+    enriched: DataFrame, root: str, buckets: int | None = None, block_bits: int = BLOCK_BITS
 ) -> Refresh | None:
-    """Replace all documents of an index and its postings; None without an index.
+    """Replace all documents of an index and its postings, all or nothing; None without an
+    index.
 
     ``enriched`` has the stored fields and may bring a ``doc_id``; rows without
     one are numbered, so equal rows stay separate documents. The number of term folders
-    and of writing tasks follows from the bytes of analysed text.
+    and of writing tasks follows from the bytes of analysed text. Of older versions the
+    last stays, for searches that have it open. Refreshes of one index run one at a time.
     """
     spark = enriched.sparkSession
     if not index_exists(spark, root):
         print(f"No index at '{root}': create it first.")
         return None
     deleted = count_documents(spark, root)
+    version = uuid.uuid4().hex
+    folder = f"{root}/versions/{version}"
     if "doc_id" not in enriched.columns:
         enriched = enriched.withColumn("doc_id", F.monotonically_increasing_id())
     fields = [F.col(field.name).cast(field.dataType) for field in index_schema().fields]
     # Written first: sorting by range would compute the rows twice, to sample and to sort.
     stored = stash(enriched.select(*fields), "documents-to-index")
     # Sorted by id, so that fetching a page of results skips all other row groups.
-    (
-        stored.repartitionByRange(_tasks(stored), "doc_id")
-        .sortWithinPartitions("doc_id")
-        .write.mode("overwrite")
-        .option("parquet.bloom.filter.enabled#url", "true")
-        .parquet(f"{root}/docs")
-    )
-    analyzed = stash(P.analyze_documents(stored), "analyzed")
+    ordered = stored.repartitionByRange(_tasks(stored), "doc_id").sortWithinPartitions("doc_id")
+    ordered = ordered.withColumn("pos", F.monotonically_increasing_id())
+    ordered.write.option("parquet.bloom.filter.enabled#url", "true").parquet(f"{folder}/docs")
+    written = spark.read.schema(ordered.schema).parquet(f"{folder}/docs")
+    keys = ("doc_id", "pos")
+    analyzed = stash(P.analyze_documents(written, keys=keys), "analyzed")
     buckets = buckets or max(TERM_BUCKETS, -(-bytes_of(analyzed) // BUCKET_BYTES))
     place = _bucket(F.col("term"), buckets)
-    postings = P.build_postings(analyzed).withColumn("bucket", place)
+    stats = stash(P.field_stats(analyzed), "index-stats")
+    postings = P.build_postings(analyzed, keys).withColumn("bucket", place)
     (
         postings.repartitionByRange(_tasks(analyzed), "bucket", "term", "doc_id")
         .sortWithinPartitions("bucket", "term", "doc_id")
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(f"{root}/postings")
+        .write.partitionBy("bucket")
+        .parquet(f"{folder}/postings")
+    )
+    counted = stash(P.term_stats(P.build_postings(analyzed)).withColumn("bucket", place), "index-terms")
+    terms = counted.select(*TERM.names).repartition("bucket").sortWithinPartitions("term")
+    terms.write.partitionBy("bucket").parquet(f"{folder}/terms")
+    _write_blocks(postings, counted, stats, block_bits, folder)
+    _write_stats(stats, buckets, block_bits, folder)
+    indexed = stored.count()
+    _point_to(spark, root, version)
+    remove_old_versions(spark, root)
+    return Refresh(deleted=deleted, indexed=indexed)
+
+
+def _write_blocks(
+    postings: DataFrame, terms: DataFrame, stats: DataFrame, block_bits: int, folder: str
+) -> None:
+    """Only terms in at least a block's number of documents have rows: those of the others
+    would be as many as their postings."""
+    common = terms.where(F.col("df") >= (1 << block_bits)).select("field", "term")
+    common = small_or_shuffled(common, "common-terms", BROADCAST_TERMS)
+    share = saturation(F.col("tf"), F.col("dl"), F.col("avgdl"))
+    rows = postings.join(common, ["field", "term"], "left_semi").join(F.broadcast(stats), "field")
+    blocks = rows.groupBy("bucket", "field", "term", F.shiftright("pos", block_bits).alias("block")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(share).alias("best")
     )
-    terms = P.term_stats(P.build_postings(analyzed)).withColumn("bucket", place)
-    terms = terms.select(*TERM.names).repartition("bucket").sortWithinPartitions("term")
-    terms.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/terms")
-    _write_stats(P.field_stats(analyzed), buckets, root)
-    return Refresh(deleted=deleted, indexed=stored.count())
+    blocks = blocks.select(*BLOCK.names).repartition("bucket").sortWithinPartitions("term", "block")
+    blocks.write.partitionBy("bucket").parquet(f"{folder}/blocks")
+
+
+def remove_old_versions(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS) -> None:
+    """Remove all versions that were current before the last ``keep``."""
+    for pointer in _pointers(spark, root)[: -max(1, keep)]:
+        # The tables first: a pointer without them is never the newest.
+        remove_path(spark, f"{root}/versions/{_version_of(pointer)}")
+        remove_path(spark, pointer)
 
 
 def _tasks(table: DataFrame) -> int:
@@ -130,19 +213,25 @@ def index_file(spark: SparkSession, path: str, root: str) -> Refresh | None:
 
 
 def open_index(spark: SparkSession, root: str) -> Index:
-    stats = spark.read.schema(FIELD_STATS).parquet(f"{root}/stats")
+    """The current version. It stays readable until two refreshes later."""
+    folder = current_version(spark, root)
+    if folder is None:
+        raise FileNotFoundError(f"No index at '{root}': create it first.")
+    stats = spark.read.schema(FIELD_STATS).parquet(f"{folder}/stats")
     layout = stats.where(F.col("field") == _LAYOUT).first()
     return Index(
-        docs=spark.read.schema(index_schema()).parquet(f"{root}/docs"),
-        postings=spark.read.schema(POSTING).parquet(f"{root}/postings"),
-        terms=spark.read.schema(TERM).parquet(f"{root}/terms"),
-        stats=stats.where(F.col("field") != _LAYOUT).drop("buckets"),
+        docs=spark.read.schema(index_schema()).parquet(f"{folder}/docs"),
+        postings=spark.read.schema(POSTING).parquet(f"{folder}/postings"),
+        terms=spark.read.schema(TERM).parquet(f"{folder}/terms"),
+        blocks=spark.read.schema(BLOCK).parquet(f"{folder}/blocks"),
+        stats=stats.where(F.col("field") != _LAYOUT).drop("buckets", "block_bits"),
         buckets=layout["buckets"],
+        block_bits=layout["block_bits"],
     )
 
 
 def count_documents(spark: SparkSession, root: str) -> int:
-    return spark.read.schema(index_schema()).parquet(f"{root}/docs").count()
+    return open_index(spark, root).docs.count()
 
 
 def _folders(index: Index, terms: list[str]) -> list[int]:
@@ -151,7 +240,8 @@ def _folders(index: Index, terms: list[str]) -> list[int]:
     return sorted({row["bucket"] for row in rows})
 
 
-def postings_of(index: Index, terms: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Postings and document frequencies, limited to the folders that can hold ``terms``."""
+def postings_of(index: Index, terms: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Postings, document frequencies and blocks, limited to the folders that can hold
+    ``terms``."""
     inside = F.col("bucket").isin(*_folders(index, terms))
-    return index.postings.where(inside), index.terms.where(inside)
+    return index.postings.where(inside), index.terms.where(inside), index.blocks.where(inside)

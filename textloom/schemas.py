@@ -74,6 +74,20 @@ POSTING = T.StructType(
         T.StructField("term", T.StringType()),
         T.StructField("tf", T.LongType()),
         T.StructField("dl", T.LongType()),
+        T.StructField("pos", T.LongType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+
+#: Of a common term in a block of documents: how many have it, and the greatest share of
+#: the term's weight that it reaches in one of them.
+BLOCK = T.StructType(
+    [
+        T.StructField("field", T.StringType()),
+        T.StructField("term", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("best", T.DoubleType()),
         T.StructField("bucket", T.IntegerType()),
     ]
 )
@@ -94,5 +108,6 @@ FIELD_STATS = T.StructType(
         T.StructField("n_docs", T.LongType()),
         T.StructField("avgdl", T.DoubleType()),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("block_bits", T.IntegerType()),
     ]
 )

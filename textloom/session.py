@@ -69,7 +69,10 @@ def work_root(spark: SparkSession) -> str:
 def clear_work(spark: SparkSession) -> None:
     """Remove what this application wrote to the work folder. For the end of a session:
     results that were not written elsewhere cannot be read any more."""
-    folder = f"{work_root(spark)}/textloom-{spark.sparkContext.applicationId}"
+    remove_path(spark, f"{work_root(spark)}/textloom-{spark.sparkContext.applicationId}")
+
+
+def remove_path(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
