@@ -48,14 +48,14 @@ def test_blocks_give_the_ranking(index, monkeypatch, query, count):
     assert [tuple(r) for r in S.rank_all(best.hits).collect()] == want[:count]
     assert Q.count_hits(index, query) == len(want)
     if count == 1_000:
-        assert best.scored == best.blocks
+        assert best.scored == best.bounds.count()
 
 
 def test_hopeless_blocks_are_skipped(index, monkeypatch):
     monkeypatch.setattr(Q, "ROUNDS", (2, 8))
     best = Q.best_documents(index, "common", 10)
     # All documents have the word; the best are in the first five blocks or so.
-    assert best.blocks >= 600 // 8 and best.scored <= 20
+    assert best.bounds.count() >= 600 // 8 and best.scored <= 20
     monkeypatch.setattr(Q, "PUSHED_RANGES", 0)
     again = Q.best_documents(index, "common", 10)
     assert sorted(map(tuple, again.hits.collect())) == sorted(map(tuple, best.hits.collect()))
@@ -94,7 +94,7 @@ def totals(spark, root, word):
     return Q.search(I.open_index(spark, root), word).totals.first()["total"]
 
 
-STEPS = ["_bucket", "_write_blocks", "_point_to"]
+STEPS = ["_bucket", "_write_terms", "_point_to"]
 
 
 @pytest.mark.parametrize("step", STEPS)

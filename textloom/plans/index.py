@@ -153,19 +153,16 @@ def refresh_index(
     keys = ("doc_id", "pos")
     analyzed = stash(P.analyze_documents(written, keys=keys), "analyzed")
     buckets = buckets or max(TERM_BUCKETS, -(-bytes_of(analyzed) // BUCKET_BYTES))
-    place = _bucket(F.col("term"), buckets)
-    stats = stash(P.field_stats(analyzed), "index-stats")
-    postings = P.build_postings(analyzed, keys).withColumn("bucket", place)
+    stats = P.field_stats(analyzed).collect()
+    postings = P.build_postings(analyzed, keys).withColumn("bucket", _bucket(F.col("term"), buckets))
     (
         postings.repartitionByRange(_tasks(analyzed), "bucket", "term", "doc_id")
         .sortWithinPartitions("bucket", "term", "doc_id")
         .write.partitionBy("bucket")
         .parquet(f"{folder}/postings")
     )
-    counted = stash(P.term_stats(P.build_postings(analyzed)).withColumn("bucket", place), "index-terms")
-    terms = counted.select(*TERM.names).repartition("bucket").sortWithinPartitions("term")
-    terms.write.partitionBy("bucket").parquet(f"{folder}/terms")
-    _write_blocks(postings, counted, stats, block_bits, folder)
+    _write_terms(postings, {row["field"]: row["avgdl"] for row in stats}, block_bits, folder)
+    stats = spark.createDataFrame(stats, "field string, n_docs long, avgdl double")
     _write_stats(stats, buckets, block_bits, folder)
     indexed = stored.count()
     _point_to(spark, root, version)
@@ -173,19 +170,23 @@ def refresh_index(
     return Refresh(deleted=deleted, indexed=indexed)
 
 
-def _write_blocks(
-    postings: DataFrame, terms: DataFrame, stats: DataFrame, block_bits: int, folder: str
+def _write_terms(
+    postings: DataFrame, lengths: dict[str, float], block_bits: int, folder: str
 ) -> None:
-    """Only terms in at least a block's number of documents have rows: those of the others
-    would be as many as their postings."""
-    common = terms.where(F.col("df") >= (1 << block_bits)).select("field", "term")
+    """Document frequencies, and blocks of the common terms: those in at least a block's
+    number of documents. The others would have about as many rows as postings."""
+    mean = F.coalesce(*[F.when(F.col("field") == f, F.lit(n)) for f, n in lengths.items()], F.lit(1.0))
+    share = saturation(F.col("tf"), F.col("dl"), mean)
+    term, block = ["bucket", "field", "term"], F.shiftright("pos", block_bits).alias("block")
+    found = postings.groupBy(*term, block).agg(F.count(F.lit(1)).alias("n"), F.max(share).alias("best"))
+    found = stash(found, "term-blocks")
+    counts = found.groupBy(*term).agg(F.sum("n").alias("df")).select(*TERM.names)
+    counts.repartition("bucket").sortWithinPartitions("term").write.partitionBy("bucket").parquet(f"{folder}/terms")
+    known = postings.sparkSession.read.schema(TERM).parquet(f"{folder}/terms")
+    common = known.where(F.col("df") >= (1 << block_bits)).select("field", "term")
     common = small_or_shuffled(common, "common-terms", BROADCAST_TERMS)
-    share = saturation(F.col("tf"), F.col("dl"), F.col("avgdl"))
-    rows = postings.join(common, ["field", "term"], "left_semi").join(F.broadcast(stats), "field")
-    blocks = rows.groupBy("bucket", "field", "term", F.shiftright("pos", block_bits).alias("block")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(share).alias("best")
-    )
-    blocks = blocks.select(*BLOCK.names).repartition("bucket").sortWithinPartitions("term", "block")
+    blocks = found.join(common, ["field", "term"], "left_semi").select(*BLOCK.names)
+    blocks = blocks.repartition("bucket").sortWithinPartitions("term", "block")
     blocks.write.partitionBy("bucket").parquet(f"{folder}/blocks")
 
 

@@ -26,19 +26,47 @@ class SearchAnswer(NamedTuple):
 
 
 class Best(NamedTuple):
-    """``hits``: ``doc_id, score`` of the best documents. ``scored`` of ``blocks`` blocks
-    with a hit had to be scored."""
+    """``hits``: ``doc_id, score`` of the best documents. ``bounds``: ``block, bound`` of
+    all blocks with a hit, of which ``scored`` had to be scored."""
 
     hits: DataFrame
+    bounds: DataFrame
     scored: int
-    blocks: int
+
+
+class Matched(NamedTuple):
+    """A query held against an index: its terms, the postings it touches, and the document
+    frequencies and blocks of its terms."""
+
+    index: Index
+    terms: dict[str, int]
+    query: str
+    postings: DataFrame
+    frequencies: DataFrame
+    blocks: DataFrame
+
+
+def match(index: Index, query: str) -> Matched:
+    terms = S.query_terms(index.docs.sparkSession, query)
+    postings, frequencies, blocks = postings_of(index, sorted({*terms, query}))
+    return Matched(
+        index, terms, query, S.matching_postings(postings, terms, query),
+        frequencies.where(F.col("term").isin(*terms, query)).select("field", "term", "df"),
+        S.matching_postings(blocks, terms, query),
+    )
+
+
+def _scores(matched: Matched, postings: DataFrame) -> DataFrame:
+    fields = S.field_scores(
+        postings, matched.index.stats, matched.terms, matched.query, matched.frequencies
+    )
+    return S.best_field(fields)
 
 
 def scored_documents(index: Index, query: str) -> DataFrame:
     """``doc_id, score`` of every document the query matches."""
-    terms = S.query_terms(index.docs.sparkSession, query)
-    postings, frequencies, _ = postings_of(index, sorted({*terms, query}))
-    return S.best_field(S.field_scores(postings, index.stats, terms, query, frequencies))
+    matched = match(index, query)
+    return _scores(matched, matched.postings)
 
 
 def _places(blocks: list[int], bits: int) -> Column | None:
@@ -59,6 +87,10 @@ def _places(blocks: list[int], bits: int) -> Column | None:
 
 
 def best_documents(index: Index, query: str, count: int) -> Best:
+    return best_matched(match(index, query), count)
+
+
+def best_matched(matched: Matched, count: int) -> Best:
     """The ``count`` best documents of a query, without scoring every hit.
 
     Every block of documents has an upper bound of its scores. Blocks are scored in the
@@ -66,19 +98,14 @@ def best_documents(index: Index, query: str, count: int) -> Best:
     the score of the last of the best so far is never read. What is left for the last
     round are the blocks that still could matter, however many these are.
     """
-    spark, bits = index.docs.sparkSession, index.block_bits
-    terms = S.query_terms(spark, query)
-    postings, frequencies, blocks = postings_of(index, sorted({*terms, query}))
-    found = S.matching_postings(postings, terms, query)
-    known = frequencies.where(F.col("term").isin(*terms, query)).select("field", "term", "df")
-    bounds = stash(
-        S.block_bounds(
-            found, S.matching_postings(blocks, terms, query), index.stats, terms, known, bits
-        ),
-        "block-bounds",
+    found, bits = matched.postings, matched.index.block_bits
+    spark = found.sparkSession
+    bounds = S.block_bounds(
+        found, matched.blocks, matched.index.stats, matched.terms, matched.frequencies, bits
     )
+    bounds = stash(bounds, "block-bounds")
     place = F.shiftright("pos", bits)
-    total, scored, best, least, last = bounds.count(), 0, None, None, None
+    scored, best, least, last = 0, None, None, None
     for size in (*ROUNDS, None):
         left = bounds
         if least is not None:
@@ -103,25 +130,22 @@ def best_documents(index: Index, query: str, count: int) -> Best:
                 chosen = spark.createDataFrame([(row["block"],) for row in taken], "__block long")
                 some = found.join(F.broadcast(chosen), place == F.col("__block"), "left_semi")
         if n:
-            scores = S.best_field(S.field_scores(some, index.stats, terms, query, frequencies))
-            new = S.best_documents(scores, count)
+            new = S.best_documents(_scores(matched, some), count)
             both = new if best is None else S.best_documents(best.unionByName(new), count)
             best = stash(both, "best")
             scored += n
-            worst = best.agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).first()
-            least = worst["least"] if worst["n"] == count else None
-        if scored == total or (size is not None and n < size):
+        if size is None or n < size:  # No block is left that could matter.
             break
+        worst = best.agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).first()
+        least = worst["least"] if worst["n"] == count else None
     if best is None:
         best = spark.createDataFrame([], "doc_id long, score double")
-    return Best(best, scored, total)
+    return Best(best, bounds, scored)
 
 
 def count_hits(index: Index, query: str) -> int:
     """Exact number of documents a query matches; nothing is scored for it."""
-    terms = S.query_terms(index.docs.sparkSession, query)
-    postings, _, _ = postings_of(index, sorted({*terms, query}))
-    return S.count_documents_of(S.matching_postings(postings, terms, query))
+    return S.count_documents_of(match(index, query).postings)
 
 
 def search(
@@ -133,8 +157,9 @@ def search(
     """``rank, doc_id, title, url, keywords, content, score`` and the totals row."""
     query = S.check_request(query, page, size)
     spark = index.docs.sparkSession
-    hits = S.result_page(best_documents(index, query, page * size).hits, page, size)
+    matched = match(index, query)
+    hits = S.result_page(best_matched(matched, page * size).hits, page, size)
     found = S.dedup_titles(S.fill_defaults(S.fetch_documents(hits, index.docs)))
     results = found.select("rank", "doc_id", "title", "url", "keywords", "content", "score")
-    counted = spark.createDataFrame([(count_hits(index, query),)], "total long")
+    counted = spark.createDataFrame([(S.count_documents_of(matched.postings),)], "total long")
     return SearchAnswer(results, S.totals_of(counted, page, size))

@@ -20,7 +20,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from textloom.functions import fixed
 from textloom.operators.failures import SLICE_ROWS, with_outcome
 
-_BETWEEN = "\n"
+_BETWEEN, _FIELD = "\n", "\t"
 
 
 def _first_in_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,6 +151,23 @@ def run_summaries(log: DataFrame, budget: int, slice_rows: int = SLICE_ROWS) ->
     return rows.repartition("url", "slice").mapInArrow(sum_up, _SUMMARY)
 
 
+def _packed_summaries(log: DataFrame, budget: int, slice_rows: int) -> DataFrame:
+    """``url, runs``: a summary as one text, which a URL's step reads at a tenth of the
+    cost of six columns; ordered by slice."""
+    codes = lambda c: F.array_join(c, _BETWEEN)
+    part = F.lpad(F.hex(F.col("slice").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    fields = [
+        part, codes("lead"), F.col("closed").cast("int").cast("string"), F.col("trail").cast("string"),
+        F.coalesce("spent", F.lit("")), codes("codes"),
+    ]
+    return run_summaries(log, budget, slice_rows).select("url", F.concat_ws(_FIELD, *fields).alias("runs"))
+
+
+def _read(packed: str) -> Runs:
+    _, lead, closed, trail, spent, codes = packed.split(_FIELD)
+    return Runs(tuple(_unpacked(lead)), closed == "1", int(trail), spent or None, frozenset(_unpacked(codes)))
+
+
 _FAILED = "failed_url string, error_code string, cause string"
 #: ``Runs`` of all attempts so far, its codes as text.
 _STATE = "lead string, closed boolean, trail int, spent string, codes string"
@@ -173,19 +190,15 @@ def _follow(budget: int):
             lead, closed, trail, spent, codes = state.get
             runs = Runs(tuple(_unpacked(lead)), closed, trail, spent or None, frozenset(_unpacked(codes)))
         before = runs
-        rows = pd.concat(list(batches)).sort_values("slice")
-        for row in rows.itertuples():
-            found = Runs(
-                tuple(row.lead), bool(row.closed), int(row.trail),
-                row.spent if isinstance(row.spent, str) else None, frozenset(row.codes),
-            )
-            runs = merged(runs, found, budget)
+        for packed in sorted(text for batch in batches for text in batch["runs"].tolist()):
+            runs = merged(runs, _read(packed), budget)
         out = [(key[0], code, "status") for code in sorted(runs.codes - before.codes)]
         spent = spent_code(runs, budget)
         if spent is not None and spent_code(before, budget) is None:
             out.append((key[0], spent, "retries"))
         state.update((_BETWEEN.join(runs.lead), runs.closed, runs.trail, runs.spent or "", _packed(runs.codes)))
-        yield pd.DataFrame(out, columns=["failed_url", "error_code", "cause"])
+        if out:
+            yield pd.DataFrame(out, columns=["failed_url", "error_code", "cause"])
 
     return step
 
@@ -194,7 +207,7 @@ def _followed(log: DataFrame, max_retries: int, slice_rows: int) -> DataFrame:
     """Failures with their cause. Micro-batches follow each other in the order of
     ``fetch_id``; a URL's state is a ``Runs``: a few codes, a counter and flags."""
     budget = max_retries + 1
-    return run_summaries(log, budget, slice_rows).groupBy("url").applyInPandasWithState(
+    return _packed_summaries(log, budget, slice_rows).groupBy("url").applyInPandasWithState(
         _follow(budget), _FAILED, _STATE, "append", GroupStateTimeout.NoTimeout
     )
 

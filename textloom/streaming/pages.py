@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from textloom.operators.extract import decoded_pages
 from textloom.operators.links import unseen
@@ -54,33 +55,26 @@ _LEAST = -(1 << 63)
 def first_rows_stream(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of each key over the whole life of the stream: of the micro-batch the
     key first arrives in, the row with the smallest ``order`` (a whole number, null
-    first). Rows without a key are left out. Repeats inside a batch of rows of a task are
-    dropped before the shuffle."""
-    columns = rows.columns
+    first). Rows without a key are left out. A task holds its share of a micro-batch."""
     keyed = rows.where(F.col(key).isNotNull()).withColumn(
         order, F.coalesce(F.col(order).cast("long"), F.lit(_LEAST))
     )
 
-    def fewer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.sort_values(order, kind="stable").drop_duplicates(key)
-
-    def once(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first = None
-        for batch in batches:
-            if state.exists:
-                continue
-            least = batch.nsmallest(1, order)
-            if first is None or least[order].iat[0] < first[order].iat[0]:
-                first = least
-        if first is not None:
-            state.update((True,))
-            yield first[columns]
-
     schema = keyed.schema
-    found = keyed.mapInPandas(fewer, schema).groupBy(key).applyInPandasWithState(
-        once, schema, "seen boolean", "append", GroupStateTimeout.NoTimeout
-    )
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        found = rows.select([key, order]).append_column("__row", pa.array(range(rows.num_rows)))
+        found = found.sort_by([(key, "ascending"), (order, "ascending"), ("__row", "ascending")])
+        names = found.column(key).combine_chunks()
+        first = pa.concat_arrays([pa.array([True]), pc.not_equal(names[1:], names[:-1])])
+        yield from rows.take(found.column("__row").filter(first)).to_batches()
+
+    # All rows a micro-batch has of a key meet in one task, and one of them goes on.
+    found = keyed.repartition(key).mapInArrow(least, schema).dropDuplicates([key])
     return found.withColumn(order, F.nullif(F.col(order), F.lit(_LEAST)))
 
 
