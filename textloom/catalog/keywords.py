@@ -9,9 +9,10 @@ from textloom.functions.language import detect_language as language_of
 from textloom.functions.text import keyword_clean
 from textloom.functions.text import tokenize as tokens_of
 from textloom.operators import keywords as K
+from textloom.operators import languages as L
 from textloom.plans import keywords as jobs
 from textloom.session import stash
-from textloom.sources.tables import read_documents
+from textloom.sources.tables import read_documents, read_table, spread
 
 
 def detect_language(spark, folder):
@@ -19,6 +20,16 @@ def detect_language(spark, folder):
     return docs.select("doc_id", language_of(F.col("content")).alias("lang"))
 
 
+def detect_language_trained(spark, folder):
+    """The label of every text, and its name, by a model of all labelled texts."""
+    docs = spread(read_table(spark, folder, "documents")).withColumnRenamed("text", "content")
+    model = L.train_languages(docs.select("content", "lang"))
+    content = F.coalesce("content", F.lit(""))
+    told = docs.select("doc_id", L.most_likely(content, model).alias("label"))
+    name = F.when(F.col("label") == "en", "english").when(F.col("label") == "fr", "french")
+    return told.select("doc_id", "label", F.coalesce(name, F.lit("unknown")).alias("lang"))
+
+
 def tokenize(spark, folder):
     docs = read_documents(spark, folder)
     words = tokens_of(keyword_clean(F.col("content")))
@@ -79,6 +90,7 @@ def enrich_documents(spark, folder):
 
 QUERIES = {
     "detect_language": detect_language,
+    "detect_language_trained": detect_language_trained,
     "tokenize": tokenize,
     "stopword_filter": stopword_filter,
     "preprocess_document": preprocess_document,
@@ -90,6 +102,36 @@ QUERIES = {
     "enrich_documents": enrich_documents,
 }
 
+#: Trigrams of code points, unfolded row by row; the numbers are those of the method.
+_TRAINED = """
+WITH chars AS (
+  SELECT doc_id, lang, unnest(range(1, len(t) + 1)) AS i, t FROM (
+    SELECT doc_id, lang, ' ' || coalesce(text, '') || ' ' AS t FROM documents) d),
+codes AS (SELECT doc_id, lang, i, unicode(t[i]) AS c FROM chars),
+folded AS (
+  SELECT doc_id, lang, i,
+    CASE WHEN c BETWEEN 65 AND 90 OR (c BETWEEN 192 AND 222 AND c <> 215) THEN c + 32 ELSE c END AS f
+  FROM codes),
+letters AS (
+  SELECT doc_id, lang, i, CASE WHEN f BETWEEN 97 AND 122 OR (f >= 223 AND f <> 247) THEN f ELSE 32 END AS f,
+    f BETWEEN 97 AND 122 OR (f >= 223 AND f <> 247) AS is_letter FROM folded),
+around AS (
+  SELECT doc_id, lang, is_letter, lag(f) OVER w * 961 + f * 31 + lead(f) OVER w AS h
+  FROM letters WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+grams AS (
+  SELECT doc_id, lang, h % 8192 AS bucket, count(*) AS n FROM around
+  WHERE is_letter AND h IS NOT NULL GROUP BY ALL),
+counts AS (SELECT lang, bucket, sum(n) AS n FROM grams WHERE lang IS NOT NULL GROUP BY ALL),
+sizes AS (SELECT lang, sum(n) AS size FROM counts GROUP BY lang),
+scores AS (
+  SELECT g.doc_id, s.lang, sum(g.n * ln((coalesce(c.n, 0) + 1.0) / (s.size + 8192))) AS score
+  FROM grams g CROSS JOIN sizes s LEFT JOIN counts c ON c.lang = s.lang AND c.bucket = g.bucket
+  GROUP BY ALL),
+best AS (SELECT doc_id, arg_max(lang, score) AS label FROM scores GROUP BY doc_id)
+SELECT doc_id, label, CASE label WHEN 'en' THEN 'english' WHEN 'fr' THEN 'french' ELSE 'unknown' END AS lang
+FROM documents LEFT JOIN best USING (doc_id)
+"""
+
 JOINED = """
 joined AS (
   SELECT doc_id, string_agg(term, ',' ORDER BY rank) AS keywords FROM ranked GROUP BY doc_id)"""
@@ -100,6 +142,7 @@ def oracles() -> dict[str, str]:
     job = f"{docs}, {sql.keywords_cte('docs')}"
     return {
         "detect_language": f"{docs}, {sql.language_cte('docs')} SELECT doc_id, lang FROM langs",
+        "detect_language_trained": _TRAINED,
         "tokenize": (
             f"SELECT doc_id, array_to_string({sql.words(sql.keyword_cleaned('text'))}, ' ') "
             "AS tokens FROM documents"

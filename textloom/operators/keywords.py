@@ -16,17 +16,20 @@ from textloom.functions import fixed
 from textloom.functions.analysis import explode_structs, with_term_counts
 from textloom.functions.language import detect_language, drop_stop_words
 from textloom.functions.text import keyword_clean, tokenize
+from textloom.operators.languages import LanguageModel, detect_trained
 from textloom.session import BROADCAST_BYTES, bytes_of, stash
 
 #: At most this many vocabulary rows are broadcast (some 100 MB as a hash table).
 BROADCAST_ROWS = 1_000_000
 
 
-def preprocess(docs: DataFrame) -> DataFrame:
-    """``doc_id, lang, terms``: detected language and the terms that count."""
+def preprocess(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
+    """``doc_id, lang, terms``: detected language and the terms that count. Languages are
+    told by word lists, or by a trained model if there is one."""
+    told = detect_language if model is None else lambda text: detect_trained(text, model)
     content = F.coalesce(F.col("content"), F.lit(""))
     detected = docs.select("doc_id", content.alias("content")).withColumn(
-        "lang", detect_language(F.col("content"))
+        "lang", told(F.col("content"))
     )
     tokens = tokenize(keyword_clean(F.col("content")))
     return detected.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import fixed
 from textloom.operators import keywords as K
+from textloom.operators.languages import LanguageModel
 from textloom.session import stash
 
 
@@ -15,13 +16,14 @@ def keyword_ranks(
     min_df: int = fixed.MIN_DOC_FREQ,
     max_share: float = fixed.MAX_DOC_SHARE,
     top: int = fixed.KEYWORDS_PER_DOC,
+    language_model: LanguageModel | None = None,
 ) -> DataFrame:
     """``doc_id, rank, term, weight`` of each document's best terms.
 
     Term counts serve the document frequencies and the ranking, so they are
     written once: tokenizing the corpus twice costs more than reading them back.
     """
-    counted = stash(K.count_terms(K.preprocess(docs)), "term-counts")
+    counted = stash(K.count_terms(K.preprocess(docs, language_model)), "term-counts")
     n_docs = counted.count()
     tf = K.term_freq(counted)
     joined = K.join_vocabulary(tf, K.doc_freq(tf, n_docs, min_df, max_share))
