@@ -18,6 +18,7 @@ document is scored, all of its text.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -72,8 +73,9 @@ def fit_documents(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS)
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id")
     known = stash(known.agg(F.max("toxic").cast("int").alias("toxic")), "toxic-labels")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, known.count()))) < most
+    # About ``most`` rows of two numbers, whatever there is: no text is shuffled.
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(known.where(share), "doc_id").select("text", "toxic")
+    return texts.join(F.broadcast(known.where(share)), "doc_id").select("text", "toxic")
 
 
 def feature_counts(fit: DataFrame) -> DataFrame:
@@ -123,16 +125,24 @@ def chosen_features(counts: DataFrame, n: int, n_toxic: int) -> list[tuple[str,
     return [(r.feature, r.lift) for r in top.collect()]
 
 
+_START = min(BEGINNINGS)
+
+
 class _Known(dict):
     """Numbers of the features of a word, worked out when the word is first met."""
 
     def __init__(self, names: list[str]):
         super().__init__()
         self.number = {name: n for n, name in enumerate(names)}
+        #: Most words begin like no feature, which is cheaper to see than to look them up.
+        self.starts = {name.rstrip("*")[:_START] for name in names}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) > HELD:
             self.clear()
+        if word[:_START] not in self.starts:
+            self[word] = ()
+            return ()
         found = tuple(self.number[f] for f in features_of(word) if f in self.number)
         self[word] = found
         return found
@@ -266,6 +276,10 @@ _ADDED = T.StructType(
 )
 
 
+def _as_span(span: tuple[int, int, float]) -> dict[str, float]:
+    return dict(zip(_SPAN.names, span))
+
+
 def scored(docs: DataFrame, model: dict[str, object]) -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``n_sentences``, ``worst`` (the sentence of the
     highest score, the first of several; null without sentences) and ``offending`` (all
@@ -275,9 +289,10 @@ def scored(docs: DataFrame, model: dict[str, object]) -> DataFrame:
     columns pass through, those of these names are replaced; an empty table gives no rows.
     """
     docs = docs.drop(*_ADDED.names)
-    names, weights, bias = model["names"], model["weights"], model["bias"]
+    names, weights, bias = model["names"], model["weights"].tolist(), model["bias"]
     at = docs.columns.index("text")
     p0 = float(_sigmoid(bias))
+    none0, shown0 = math.log1p(-p0), round(p0, 6)
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,16 +300,26 @@ def scored(docs: DataFrame, model: dict[str, object]) -> DataFrame:
         for batch in batches:
             scores, counts, worst, offending = [], [], [], []
             for text in batch.column(at):
-                found, none = [], 0.0
+                n, none, most, bad = 0, 0.0, None, []
                 for start, end, words in sentences_of(text.as_py() or ""):
-                    hits = _hits(known, words)
-                    p = float(_sigmoid(bias + weights[hits].sum())) if hits else p0
-                    none += np.log1p(-min(p, 1 - 1e-9))
-                    found.append({"start": start, "end": end, "score": round(p, 6)})
-                scores.append(round(float(1 - np.exp(none)), 6))
-                counts.append(len(found))
-                worst.append(max(found, key=lambda s: s["score"], default=None))
-                offending.append([s for s in found if s["score"] >= TOXIC])
+                    n += 1
+                    hits = [f for w in words for f in known[w]]
+                    if hits:
+                        z = bias + sum(weights[f] for f in sorted(set(hits)))
+                        p = 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
+                        none += math.log1p(-min(p, 1 - 1e-9))
+                        shown = round(p, 6)
+                    else:
+                        none += none0
+                        shown = shown0
+                    if most is None or shown > most[2]:
+                        most = start, end, shown
+                    if shown >= TOXIC:
+                        bad.append((start, end, shown))
+                scores.append(round(1 - math.exp(none), 6))
+                counts.append(n)
+                worst.append(_as_span(most) if most else None)
+                offending.append([_as_span(s) for s in bad])
             added = [
                 pa.array(scores, pa.float64()), pa.array(counts, pa.int32()),
                 pa.array(worst, span), pa.array(offending, pa.list_(span)),
