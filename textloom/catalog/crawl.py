@@ -57,6 +57,13 @@ def allowed_domains(spark, folder):
     return _urls(spark, folder).where(U.in_domains(F.col("url"), DOMAINS))
 
 
+def allowed_domain_table(spark, folder):
+    """The same with a table of domains: those of the list and 20,000 others."""
+    others = spark.range(20_000).select(F.format_string("d%d.example.net", "id").alias("domain"))
+    listed = spark.createDataFrame([(d,) for d in DOMAINS], "domain string")
+    return L.within_domains(_urls(spark, folder), listed.unionByName(others))
+
+
 def robots_admission(spark, folder):
     return L.robots_admission(
         _urls(spark, folder), fixtures.robots_rules(spark, folder), "page_id"
@@ -136,6 +143,7 @@ QUERIES = {
     "canonical_url": canonical_url,
     "url_admission": url_admission,
     "allowed_domains": allowed_domains,
+    "allowed_domain_table": allowed_domain_table,
     "robots_admission": robots_admission,
     "frontier_unprocessed": frontier_unprocessed,
     "frontier_not_failed": frontier_not_failed,
@@ -211,6 +219,9 @@ def oracles() -> dict[str, str]:
         "allowed_domains": f"""SELECT page_id, url FROM pages
             WHERE {host} IN ('example.com', 'spam-farm.example.org')
               OR {host} LIKE '%.example.com' OR {host} LIKE '%.spam-farm.example.org'""",
+        "allowed_domain_table": f"""SELECT page_id, url FROM pages
+            WHERE {host} IN ('example.com', 'spam-farm.example.org')
+              OR {host} LIKE '%.example.com' OR {host} LIKE '%.spam-farm.example.org'""",
         "robots_admission": rf"""
             WITH paths AS (SELECT page_id, url,
               regexp_extract(url, '^[a-z]+://[^/?#]+([^#]*)', 1) AS path FROM pages),

@@ -16,7 +16,7 @@ _LINK = rf"http[^{fixed.SPACE_CLASS}]+"
 _NOT_KEPT = rf"[\W_&&\S](?<![À-ÿ'’\-.,;!?(){fixed.SPACE_CLASS}])"
 _NOT_LETTER = rf"[\W\d_&&\S](?<![àâçéèêëîïôûùüÿñæœ{fixed.SPACE_CLASS}])"
 _ODD_SPACE = rf"[^ -~\s](?<=[{fixed.SPACE_CLASS}])"
-_PAGE_SUFFIX = rf"(?i)[{fixed.SPACE_CLASS}]*-[{fixed.SPACE_CLASS}]*Page[{fixed.SPACE_CLASS}]*\d+"
+_PAGE_SUFFIX = rf"(?i)[{fixed.SPACE_CLASS}]*-[{fixed.SPACE_CLASS}]*Page[{fixed.SPACE_CLASS}]*\p{{Nd}}+"
 # Words the tokenizer splits in two. The test for a word start comes after the
 # first half so that it runs on candidates only.
 _HALVED = ("cannot", "gimme", "gonna", "gotta", "lemme", "wanna")

@@ -55,10 +55,13 @@ def crawl_frontier(
     level = write(starts.select("url").distinct(), 0)
     url_type = level.schema["url"].dataType
     depth = 0
-    while (max_depth is None or depth < max_depth) and not level.isEmpty():
-        depth += 1
-        targets = level.join(edges, level["url"] == edges["src"]).select(F.col("dst").alias("url"))
-        fresh = targets.distinct().join(reached(url_type).select("url"), "url", "left_anti")
-        level = write(fresh, depth)
-    spark.sql(f"DROP TABLE {table}")
+    try:
+        while (max_depth is None or depth < max_depth) and not level.isEmpty():
+            depth += 1
+            met = level.join(edges, level["url"] == edges["src"])
+            targets = met.select(F.col("dst").alias("url")).distinct()
+            fresh = targets.join(reached(url_type).select("url"), "url", "left_anti")
+            level = write(fresh, depth)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
     return reached(url_type)

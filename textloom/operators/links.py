@@ -82,6 +82,30 @@ def without_repeats(pages: DataFrame) -> DataFrame:
     return rest.select(*columns).unionByName(once.select(*columns))
 
 
+def within_domains(rows: DataFrame, domains: DataFrame, url: str = "url") -> DataFrame:
+    """Rows whose host is one of ``domains`` (a column ``domain``) or below one, for lists
+    of any length; as in ``in_domains``, no domains are no limit.
+
+    Hosts meet domains on their own suffixes, of which each has as many as labels, so the
+    plan does not grow with the list. Only distinct hosts are cut into suffixes; rows are
+    joined to the hosts that are inside, and stay where they are while these are few.
+    """
+    listed = domains.select(F.lower("domain").alias("suffix")).where("suffix <> ''").distinct()
+    listed = small_or_shuffled(listed, "domains", BROADCAST_HOSTS)
+    if listed.isEmpty():
+        return rows
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(
+        F.sequence(F.lit(1), F.size(labels)),
+        lambda n: F.array_join(F.slice(labels, n, F.size(labels)), "."),
+    )
+    hosts = rows.select(host(F.col(url)).alias("host")).where("host IS NOT NULL").distinct()
+    inside = hosts.select("host", F.explode(suffixes).alias("suffix"))
+    inside = inside.join(listed, "suffix", "left_semi").select(F.col("host").alias("__host")).distinct()
+    inside = small_or_shuffled(inside, "hosts-in-domains", BROADCAST_HOSTS)
+    return rows.join(inside, host(F.col(url)) == F.col("__host"), "left_semi")
+
+
 # Robots rules -----------------------------------------------------------------
 
 _REGEX_SIGNS = r"([\\.+?^${}()|\[\]])"
