@@ -280,7 +280,7 @@ def oracles() -> dict[str, str]:
             "NULL AS total UNION ALL SELECT 'words', NULL, count(*) FROM best"
         ),
         "index_precondition": (
-            f"WITH {sql.ITEMS} SELECT false AS refreshed_without, 0 AS deleted, "
+            f"WITH {sql.ITEMS} SELECT false AS refreshed_without, CAST(0 AS BIGINT) AS deleted, "
             "count(*) AS indexed FROM items"
         ),
         "search_dedup_titles": r"""
