@@ -74,14 +74,14 @@ def components(texts, k, radius):
     return {d: (f"{fps[d]:016x}", found[d]) for d in fps}
 
 
-def removed_lines(rows, least=5):
+def removed_lines(rows):
     """(doc_id, line) of lines with an earlier similar one, by all pairs of sets."""
     lines = [
         (d, i, frozenset(words(line)))
         for d, t in rows if t is not None for i, line in enumerate(t.split("\n"))
     ]
     first, gone = {}, set()
-    for d, i, s in sorted((x for x in lines if len(x[2]) >= least), key=lambda x: x[:2]):
+    for d, i, s in sorted((x for x in lines if x[2]), key=lambda x: x[:2]):
         if s in first:
             if first[s] != (d, i):
                 gone.add((d, i))

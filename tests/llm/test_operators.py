@@ -1,6 +1,7 @@
 """Every operator against SQL or a brute-force version, on a whole table and on odd rows."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -204,11 +205,34 @@ def test_line_dedup_large_lists_are_shuffled(spark, monkeypatch):
 
 def test_line_dedup_near_limits(spark):
     base = [f"w{i}" for i in range(9)]
-    rows = [(1, " ".join(base)), (2, " ".join([*base[:8], "z"])), (3, " ".join([*base[:7], "y"])), (4, " ".join(base[:4]))]
+    rows = [
+        (1, " ".join(base)), (2, " ".join([*base[:8], "z"])), (3, " ".join([*base[:7], "y"])),
+        (4, " ".join(base[:4])), (5, "\n".join(["w3 w2 w1 w0 w0", " ", "w0 w1 w2", "a", " a", "w0 w1 w2 w3 w4"])),
+        (6, "\n a \n\nw0 w1"),
+    ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs).collect()}
     # 8 of 10 words are alike: just enough; 7 of 10 are not, but 7 of 9 with the second.
-    assert got == {1: 0, 2: 1, 3: 0, 4: 0}
+    # Short lines count: 4 of 4 and 4 of 5 words, a word that repeats; 3 of 4 are too few.
+    assert got == {1: 0, 2: 1, 3: 0, 4: 0, 5: 3, 6: 1}
+
+
+def test_line_dedup_random_lines(spark):
+    rng = random.Random(5)
+    words = [f"v{i}" for i in range(400)]
+    rows = []
+    for d in range(120):
+        lines = [rng.sample(words[: rng.choice([6, 40, 400])], k=rng.choice([1, 2, 3, 4, 5, 6])) for _ in range(6)]
+        lines += [rng.sample(words, k=rng.choice([150, 260]))]
+        if rows and rng.random() < 0.5:
+            near = rng.choice(rows)[1].split("\n")[-1].split(" ")
+            lines.append(near[: len(near) - rng.randint(0, 40)] + [f"n{d}"])
+        rows.append((d, "\n".join(" ".join(line) for line in lines)))
+    gone = plain.removed_lines(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, i) for r in line_dedup.dedup_lines(docs).collect() for i in r.removed}
+    assert got == gone
+    assert any(i == 7 for _, i in got) and any(i < 6 for _, i in got)
 
 
 # --- 6 ---

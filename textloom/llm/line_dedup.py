@@ -4,9 +4,10 @@ A line is the set of its words. Words are ordered by rarity; two sets with Jacca
 similarity of at least ``t`` share a word among the first ``n - ceil(t n) + 1`` of each, so
 only those are joined. Rarity comes from a table of word counts by hash bucket, whose size
 is fixed; it only has to put all lines in one order, so buckets lose no pair. Pairs that
-share such a word are held to length and position limits and to a limit on a 64-bit parity
+share such a word are held to length and position limits and to a limit on a 128-bit parity
 sketch (which can differ in no more bits than the sets differ in words), then verified on
-the sets. A line similar to an earlier one, by (doc_id, line number), is removed.
+the sets. A line similar to an earlier one, by (doc_id, line number), is removed; every line
+with a word takes part.
 
 A line needs one earlier match, not all of them: lines are first held against the earliest
 line that shares a run of rare words, and only those not settled so enter the join as the
@@ -21,8 +22,6 @@ from pyspark.sql import functions as F
 from textloom.llm.common import plain_words
 from textloom.session import bytes_of, stash
 
-#: Lines with fewer distinct words are left alone.
-MIN_WORDS = 5
 #: Similarity as a fraction, so that limits are whole-number arithmetic.
 SIMILAR = (4, 5)
 #: Buckets of the word counts.
@@ -73,11 +72,16 @@ def _packed(word: Column, classes: Column) -> Column:
 
 
 def _parity(words: Column) -> Column:
-    """Bit b is set if an odd number of words fall on b."""
-    bit = lambda w: F.call_function(
-        "shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int")
-    )
-    return F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(bit(w)))
+    """Two numbers of 64 bits: bit b of number k is set if an odd number of words fall there."""
+
+    def half(k: int) -> Column:
+        def bit(w: Column) -> Column:
+            here = F.shiftright(w, 6).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(1 - k))
+            return F.call_function("shiftleft", here.cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
+
+        return F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(bit(w)))
+
+    return F.struct(half(0).alias("lo"), half(1).alias("hi"))
 
 
 def _ordered_words(said: Column, classes: Column) -> Column:
@@ -87,9 +91,9 @@ def _ordered_words(said: Column, classes: Column) -> Column:
 
 
 def line_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """A row for each line of ``docs`` with ``MIN_WORDS`` distinct words or more: where it
-    is (``doc_id, text_hash, line``), its set (``s1, s2``, hashes of all words; ``n``
-    words; ``prefix``, its rarest words in order; ``parity``)."""
+    """A row for each line of ``docs`` that has a word: where it is (``doc_id, text_hash,
+    line``), its set (``s1, s2``, hashes of all words; ``n`` words; ``prefix``, its rarest
+    words in order; ``parity``)."""
     up, down = SIMILAR
     # ``classes`` is a bounded array of BUCKETS bytes, read in place of a join. It is a
     # column of the documents, not of the lines: at most one copy is made for a document.
@@ -111,7 +115,7 @@ def line_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
         "doc_id", "text_hash", "line",
         F.explode(F.array(F.sort_array(F.array_distinct(real)))).alias("words"),
     )
-    lines = lines.withColumn("n", F.size("words")).where(F.col("n") >= MIN_WORDS)
+    lines = lines.withColumn("n", F.size("words")).where("n > 0")
     length = F.col("n") - _ceil_div(F.col("n") * up, down) + 1
     # 31 bits of a prefix word are enough to meet by: what meets by chance is not similar.
     short = lambda w: w.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
@@ -141,7 +145,8 @@ def _may_be_similar(n: Column, m: Column, left: Column | None = None) -> Column:
     """Length, parity and, with at most ``left`` words in common, position limits."""
     up, down = SIMILAR
     overlap = _ceil_div((n + m) * up, up + down)
-    differ = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    bits = [F.bit_count(F.col(f"a.parity.{k}").bitwiseXOR(F.col(f"b.parity.{k}"))) for k in ("lo", "hi")]
+    differ = bits[0] + bits[1]
     near = (n * down >= m * up) & (m * down >= n * up) & (differ <= n + m - 2 * overlap)
     return near if left is None else near & (left >= overlap)
 
@@ -245,8 +250,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the text that is left, and ``n_lines, n_removed, removed``.
 
     A line is removed if an earlier line has the same set of words or a similar one; lines
-    of fewer than ``MIN_WORDS`` distinct words stay. Lines are ordered by ``doc_id`` (null
-    first), then by place. ``n_lines``: lines of the text (none of null); ``removed``:
+    without a word stay. Lines are ordered by ``doc_id`` (null first), then by place. ``n_lines``: lines of the text (none of null); ``removed``:
     places of the removed lines, from 0. Rows alike in id and text share their lines and
     are treated alike. A null text stays null; a text that loses every line becomes empty.
     Other columns pass through; those of these names, and ``_d`` and ``_key``, are

@@ -238,9 +238,9 @@ WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM doc
 lines AS (
   SELECT doc_id, i - 1 AS line, list_sort(list_distinct(regexp_extract_all(lines[i], '{_WORDS}'))) AS words
   FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs)),
-long AS (SELECT * FROM lines WHERE len(words) >= 5),
+said AS (SELECT * FROM lines WHERE len(words) >= 1),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, line) AS nth FROM long),
+  SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, line) AS nth FROM said),
 leads AS (
   SELECT *, row_number() OVER (ORDER BY doc_id, line) AS k, len(words) AS n FROM ranked WHERE nth = 1),
 tokens AS (SELECT k, n, unnest(words) AS word FROM leads),
