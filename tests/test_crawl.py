@@ -29,6 +29,11 @@ CANONICAL = {
     "http://e.com/caf%e9": "http://e.com/caf%E9",
     "http://e.com/caf%E8?q=%e9": "http://e.com/caf%E8?q=%E9",
     "http://e.com:/a": "http://e.com/a",
+    "http://BÜCHER.de/a": "http://xn--bcher-kva.de/a",
+    "http://xn--bcher-kva.de/a?": "http://xn--bcher-kva.de/a",
+    "http://faß.de:81": "http://fass.de:81/",
+    "http://例え。テスト/": "http://xn--r8jz45g.xn--zckzah/",
+    "http://é..com/": "http://é..com/",
     "mailto:a@b#c": "mailto:a@b",
 }
 
@@ -39,6 +44,44 @@ def test_canonical_url(spark):
     assert got == CANONICAL
 
 
+def test_hosts_in_other_scripts(spark):
+    """As the interpreter's own codec of 2003 has them."""
+    rng = random.Random(3)
+    letters = "aé-ßÄñ中文テスト한국прияαβγ0"
+    hosts = [
+        ".".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(3))
+        for _ in range(300)
+    ] + ["", "é" * 62, "a" * 70 + ".é", "é.", "user@é.com:80"]
+    want = {}
+    for h in hosts:
+        try:
+            want[h] = h.lower().encode("idna").decode().lower()
+        except UnicodeError:
+            want[h] = h.lower()
+    rows = spark.createDataFrame([(h,) for h in want], "h string").coalesce(1)
+    url = F.concat(F.lit("http://"), F.col("h"), F.lit("/x"))
+    got = {r.h: r.a for r in rows.select("h", U.ascii_authority(url).alias("a")).collect()}
+    assert got == want
+
+
+def test_rules_of_many_stars_end(spark):
+    rules = [
+        ("a.com", False, "/" + "*a" * 30 + "*b"), ("a.com", False, "/x*y*y$"),
+        ("a.com", False, "/*.é*?z=$"), ("a.com", False, "/q**$"),
+    ]
+    paths = {
+        "/" + "a" * 2000: True, "/" + "a" * 2000 + "b": False, "/" + "a" * 29 + "b": True,
+        "/xy": True, "/xyy": False, "/xyyz": True, "/x1y2y3y": False, "/n.éa?z=": False, "/n.é?z=1": True,
+        "/q": False, "/q/any": False,
+    }
+    left = spark.createDataFrame([(i, "http://a.com" + p) for i, p in enumerate(paths)], "id long, url string")
+    left = left.unionAll(spark.range(100, 3100).selectExpr("id", "concat('http://a.com/', repeat('a', 2000))"))
+    right = spark.createDataFrame(rules, "host string, allow boolean, pattern string")
+    kept = {r.id for r in L.robots_admission(left, right, "id").collect()}
+    assert {p: i in kept for i, p in enumerate(paths)} == paths
+    assert len(kept - set(range(100))) == 3000
+
+
 def test_admission(spark):
     urls = {
         "http://e/robots.txt": False, "http://e/x/sitemap.xml": False, "http://e/sfuser/1": False,

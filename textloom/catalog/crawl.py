@@ -13,6 +13,9 @@ from textloom.plans.crawl import crawl_step as step
 from textloom.sources.tables import read_pages, read_table
 
 DOMAINS = ("example.com", "spam-farm.example.org")
+SCRIPT_HOSTS = (
+    "Bücher.de", "xn--bcher-kva.de", "www.例え.テスト:8080", "пример.рф", "ü" * 70 + ".de",
+)
 
 
 def _urls(spark, folder):
@@ -48,6 +51,16 @@ def canonical_url(spark, folder):
     )
 
 
+def canonical_hosts(spark, folder):
+    """Pages under hosts of other scripts; the last has no ASCII form and stays."""
+    pages = _urls(spark, folder)
+    hosts = F.array(*[F.lit(h) for h in SCRIPT_HOSTS])
+    at = (F.col("page_id") % len(SCRIPT_HOSTS) + 1).cast("int")
+    path = F.regexp_replace("url", r"^[a-z]+://[^/?#]+/?|[?#].*$", "")
+    url = F.concat(F.lit("HTTP://"), F.element_at(hosts, at), F.lit("/"), path)
+    return pages.select("page_id", U.canonical_url(url).alias("canonical"))
+
+
 def url_admission(spark, folder):
     links = fixtures.candidate_links(spark, folder)
     return links.select("page_id", "link", U.admitted(F.col("link")).alias("admitted"))
@@ -141,6 +154,7 @@ QUERIES = {
     "extract_links": extract_links,
     "link_targets": link_targets,
     "canonical_url": canonical_url,
+    "canonical_hosts": canonical_hosts,
     "url_admission": url_admission,
     "allowed_domains": allowed_domains,
     "allowed_domain_table": allowed_domain_table,
@@ -204,6 +218,12 @@ def oracles() -> dict[str, str]:
             "'http://e.com/caf%E9/' || page_id || '/%E8?a=1&q=%E8' AS canonical_latin "
             f"FROM (SELECT page_id, url, {more} AS more FROM pages) p"
         ),
+        "canonical_hosts": r"""
+            SELECT page_id, 'http://' || (['xn--bcher-kva.de', 'xn--bcher-kva.de',
+                'www.xn--r8jz45g.xn--zckzah:8080', 'xn--e1afmkfd.xn--p1ai', repeat('ü', 70) || '.de']
+              )[CAST(page_id % 5 + 1 AS INTEGER)] || '/'
+              || regexp_replace(url, '^[a-z]+://[^/?#]+/?|[?#].*$', '', 'g') AS canonical
+            FROM pages""",
         "url_admission": r"""
             WITH links AS (SELECT page_id, unnest([url] || list_transform(
                 ['/robots.txt', '/robots.txt?x=1', '/sitemap.xml', '/sfuser/me', '/connexion',

@@ -35,6 +35,18 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_replace(without_user, r":\d*$", ""))
 
 
+def ascii_authority(url: Column) -> Column:
+    """Authority in lower case, labels of other scripts as Punycode (IDNA of 2003), without
+    an empty port. What has no such form, as a label of more than 63 characters, stays.
+
+    The JVM's own encoder is called, and only for authorities that are not ASCII.
+    """
+    own = F.regexp_replace(F.lower(_part(url, _AUTHORITY)), ":$", "")
+    # 1: code points newer than the rule's tables are let through.
+    encoded = F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), own, F.lit(1))
+    return F.when(own.rlike(r"[^\x00-\x7F]"), F.coalesce(F.lower(encoded), own)).otherwise(own)
+
+
 def path(url: Column) -> Column:
     return _part(url, _PATH)
 
@@ -108,14 +120,13 @@ def _canonical_query(url: Column) -> Column:
 
 def canonical_url(url: Column) -> Column:
     """One form for URLs that fetch the same thing: query sorted, fragment and empty port
-    gone. Escapes that are no UTF-8 stay escapes. URLs without an authority (``mailto:``)
-    only lose their fragment."""
+    gone, host in ASCII. Escapes that are no UTF-8 stay escapes. URLs without an authority
+    (``mailto:``) only lose their fragment."""
     query = _canonical_query(url)
-    authority = F.regexp_replace(F.lower(_part(url, _AUTHORITY)), ":$", "")
     full = F.concat(
         F.lower(_part(url, _SCHEME)),
         F.lit("://"),
-        authority,
+        ascii_authority(url),
         _canonical_path(url),
         F.when(_part(url, _QUERY).rlike("[^&]"), F.concat(F.lit("?"), query)).otherwise(""),
     )
