@@ -36,15 +36,18 @@ def host(url: Column) -> Column:
 
 
 def ascii_authority(url: Column) -> Column:
-    """Authority in lower case, labels of other scripts as Punycode (IDNA of 2003), without
-    an empty port. What has no such form, as a label of more than 63 characters, stays.
+    """Authority in lower case, host labels of other scripts as Punycode (IDNA of 2003),
+    without an empty port. A host without such a form, as one with a label of more than 63
+    characters, stays; so do user and port.
 
     The JVM's own encoder is called, and only for authorities that are not ASCII.
     """
     own = F.regexp_replace(F.lower(_part(url, _AUTHORITY)), ":$", "")
+    user, name, port = (F.regexp_extract(own, r"^([^@]*@)?(.*?)(:\d*)?$", k) for k in (1, 2, 3))
     # 1: code points newer than the rule's tables are let through.
-    encoded = F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), own, F.lit(1))
-    return F.when(own.rlike(r"[^\x00-\x7F]"), F.coalesce(F.lower(encoded), own)).otherwise(own)
+    encoded = F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), name, F.lit(1))
+    full = F.coalesce(F.concat(user, F.lower(encoded), port), own)
+    return F.when(own.rlike(r"[^\x00-\x7F]"), full).otherwise(own)
 
 
 def path(url: Column) -> Column:
