@@ -161,7 +161,7 @@ def test_levels_do_not_shuffle_edges(spark):
     from textloom.operators import frontier
 
     edges = spark.range(5000).select(F.col("id").alias("src"), (F.col("id") * 7 % 5000).alias("dst"))
-    bucketed, table = frontier._bucketed(edges)
+    bucketed, table, _ = frontier._bucketed(edges)
     level = spark.range(40).select(F.col("id").alias("url"))
     met = level.hint("merge").join(bucketed, F.col("url") == F.col("src"))
     plan = met._jdf.queryExecution().executedPlan().toString()
@@ -170,6 +170,47 @@ def test_levels_do_not_shuffle_edges(spark):
     assert "Exchange" not in edge_side and "Bucketed: true" in edge_side
 
 
+def test_levels_move_targets_only(spark):
+    from textloom.operators import frontier
+
+    edges = spark.range(5000).select(F.col("id").alias("src"), (F.col("id") * 7 % 5000).alias("dst"))
+    edges, edge_table, buckets = frontier._bucketed(edges)
+    folder, table = work_path(spark, "reached"), "reached_of_test"
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for depth, to in enumerate((10, 40)):
+            level = spark.range(10 * depth, to).select(F.col("id").alias("url"))
+            frontier._add_level(level.repartition(buckets, "url"), depth, table, folder, buckets)
+        reached = spark.table(table)
+        fresh = frontier._next_level(reached.where("depth = 1"), edges, reached, buckets)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        got = {r.url for r in fresh.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for name in (table, edge_table):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert got == {i * 7 % 5000 for i in range(10, 40)} - set(range(40))
+    # Every scan is bucketed, and what is exchanged are targets alone: once, and once more
+    # where the session's shuffles have another number of partitions than there are buckets.
+    assert plan.count("Bucketed: true") == 3
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert 1 <= len(moved) <= 2 and all("hashpartitioning(url" in line for line in moved)
+    reached_side = plan[plan.rindex("Sort [url"):]
+    assert "FileScan" in reached_side and "Exchange" not in reached_side
+    level_side = plan[plan.rindex("Exchange"):plan.rindex("Sort [url")]
+    assert level_side.count("FileScan") == 2
+
+
+def test_frontier_leaves_nulls_out_and_drops_its_tables(spark):
+    edges = spark.createDataFrame([("a", None), (None, "b"), ("a", "c")], "src string, dst string")
+    starts = spark.createDataFrame([("a",), (None,)], "url string")
+    before = {t.name for t in spark.catalog.listTables()}
+    assert {(r.url, r.depth) for r in crawl_frontier(starts, edges).collect()} == {("a", 0), ("c", 1)}
+    assert crawl_frontier(starts.limit(0), edges).count() == 0
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_status_classes(spark):
     codes = {
         200: "ok", 400: "ok", 401: "ok", 410: "ok", 301: "ok", 501: "ok", 403: "fail",
