@@ -349,3 +349,15 @@ def test_common_terms_fit_the_limit(spark):
         broadcast = [] if cutoff is None else [n for n in sizes if n >= cutoff]
         assert len(broadcast) <= limit
     assert _common_from(vocabulary, 4) == 16 and _common_from(vocabulary, 0) is None
+
+
+def test_shuffles_begin_with_partitions_for_the_input(spark):
+    from textloom.session import MOST_PARTITIONS, size_shuffles
+
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert size_shuffles(own, 0) == 200
+    assert size_shuffles(own, 100 << 40) == MOST_PARTITIONS
+    assert size_shuffles(own, (128 << 20) * 300 + 1) == 301
+    plan = own.range(100).groupBy(F.col("id") % 7).count()._jdf.queryExecution().executedPlan()
+    assert ", 301)" in plan.toString()

@@ -10,8 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Settings the jobs are written for. Partition counts are left to AQE, which
-#: splits skewed join partitions and merges small ones at run time.
+#: Settings the jobs are written for. AQE splits skewed join partitions and merges small
+#: ones at run time; it never makes more of them, so ``size_shuffles`` says how many there
+#: are to begin with.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -25,6 +26,11 @@ _ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 #: Compressed bytes of a table that may be broadcast.
 BROADCAST_BYTES = 64 << 20
 
+#: Input bytes a shuffle partition begins with, and the range of their number.
+PARTITION_BYTES = 128 << 20
+FEWEST_PARTITIONS, MOST_PARTITIONS = 200, 100_000
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -37,6 +43,15 @@ def build_session(app: str = "textloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Let shuffles of this session begin with partitions fit for an input of that many
+    bytes, and at least two for each slot of the cluster; returns their number."""
+    wanted = max(-(-input_bytes // PARTITION_BYTES), 2 * spark.sparkContext.defaultParallelism)
+    number = min(MOST_PARTITIONS, max(FEWEST_PARTITIONS, wanted))
+    spark.conf.set(_INITIAL, str(number))
+    return number
+
+
 def state_on_disk(spark: SparkSession) -> None:
     """Streams of this session keep their state in RocksDB, not on the heap: sets of all
     URLs ever seen outgrow memory. It stays so, hence streams may start side by side."""
