@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, line_dedup, mixing, quality, queries, shingle_sets
+from textloom.llm import bpe, line_dedup, mixing, quality, queries, simhash
 from textloom.session import stash
 
 
@@ -28,9 +28,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (Jaccard similarity of 0.8 or more of their sets of
-    five-word shingles) the document with the smallest id stays."""
-    return shingle_sets.without_near_duplicates(docs.select(*COLUMNS), words=5)
+    """Of each group whose fingerprints of 3-word shingles are linked at 2 bits or fewer the
+    document with the smallest id stays. Texts without words have one fingerprint, so one of
+    them stays."""
+    return simhash.without_near_duplicates(docs.select(*COLUMNS), **queries.NEAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +62,7 @@ STAGES = [
     ("encode_texts", encode_texts),
 ]
 
-#: SQL cannot make the shingles' and the tokenizer's results.
+#: SQL cannot make the fingerprints and the tokenizer's results.
 ORACLE_SQL = None
 
 

@@ -35,6 +35,8 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 N_PIECES = 32_000
 TOTAL_SHARE, MOST_TIMES, MIX_SEED = 1.5, 2.0, 20
 N_SHARDS = 24
+#: Shingle length and distance of near-duplicates, and the bit ranges that find them.
+NEAR = {"words": 3, "radius": 2, "parts": 4}
 
 
 def sha256(text: Column) -> Column:
@@ -49,7 +51,7 @@ def op1_segment_topk(spark: SparkSession, folder: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of 3-word shingles, linked at 2 bits."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    found = simhash.near_duplicates(docs, words=3, radius=2, parts=4)
+    found = simhash.near_duplicates(docs, **NEAR)
     return found.select(
         "doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id"
     )
