@@ -15,13 +15,16 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain, repeat
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 from textloom.session import stash
@@ -31,7 +34,10 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: A word with the blank before it; white space up to that blank; other white space.
 WORD = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 TABLE_WORDS = 200_000
-TEXTS_AT_ONCE = 100
+#: Bytes of text that a task cuts into words at a time, and ids that it decodes at a time;
+#: a longer text is taken alone.
+BYTES_AT_ONCE = 4 << 20
+IDS_AT_ONCE = 1 << 20
 #: Other words a task remembers before it begins anew.
 REMEMBERED_WORDS = 100_000
 #: Longer words are rare and stay out of the table.
@@ -59,22 +65,23 @@ def _pieces_of(path: str) -> list[bytes]:
 
 
 def word_table(docs: DataFrame, path: str) -> DataFrame:
-    """``word, ids``: the frequent words of the corpus with their token ids as text, joined
-    by commas. Special tokens hold no place here: texts are cut at them first."""
+    """``word, ids``: the frequent words of the corpus with their token ids. Special tokens
+    hold no place here: texts are cut at them first."""
     words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("word"))
     counted = words.groupBy("word").agg(F.count("*").alias("n"))
     frequent = counted.where((F.col("n") > 1) & (F.length("word") <= TABLE_WORD_CHARS))
     table = frequent.orderBy(F.desc("n"), "word").limit(TABLE_WORDS).select("word")
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
         for batch in batches:
-            found = batch["word"].tolist()
-            yield pd.DataFrame({"word": found, "ids": _encode_words(tokenizer, found)})
+            found = batch.column(0)
+            ids = pa.array(_encode_words(tokenizer, found.to_pylist()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([found, ids], names=["word", "ids"])
 
     slots = docs.sparkSession.sparkContext.defaultParallelism
     # limit() leaves one partition.
-    return table.repartition(max(2, slots)).mapInPandas(encode, "word string, ids string")
+    return table.repartition(max(2, slots)).mapInArrow(encode, "word string, ids array<int>")
 
 
 def _tokenizer(path: str) -> Tokenizer:
@@ -84,16 +91,22 @@ def _tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
-def _encode_words(tokenizer: Tokenizer, words: list[str]) -> list[str]:
-    coded = tokenizer.encode_batch(words, add_special_tokens=False)
-    return [",".join(map(str, c.ids)) for c in coded]
+def _encode_words(tokenizer: Tokenizer, words: list[str]) -> list[list[int]]:
+    """Ids of every word; the fast form gives no places, which nothing here needs."""
+    return [c.ids for c in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A few texts at a time: lists of words take many times their text."""
-    for batch in batches:
-        for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            yield batch.slice(first, TEXTS_AT_ONCE)
+def _parts(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most about ``limit`` by ``sizes``: lists of words take many times their text."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1
+    bounds = [0, *cuts.tolist(), batch.num_rows]
+    for first, end in zip(bounds, bounds[1:]):
+        if end > first:
+            yield batch.slice(first, end - first)
+
+
+def _lengths(column: pa.Array, length) -> np.ndarray:
+    return pc.fill_null(length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _serialized(table: pa.Table) -> bytes:
@@ -104,17 +117,56 @@ def _serialized(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _with_text(df: DataFrame, name: str) -> StructType:
-    return StructType([*df.schema.fields, StructField(name, StringType())])
-
-
-def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with ``ids``: the token ids of ``text`` as decimal text, joined by commas.
+def _with(df: DataFrame, name: str, kind: DataType) -> StructType:
+    return StructType([*df.schema.fields, StructField(name, kind)])
+
+
+class _Lookup:
+    """Ids of words: those of the table, and others a task has met, numbered behind them."""
+
+    def __init__(self, table: bytes, tokenizer: Tokenizer, specials: list[str]):
+        held = pa.ipc.open_stream(table).read_all().combine_chunks()
+        words, ids = held.column("word").to_pylist(), held.column("ids").combine_chunks()
+        self.tokenizer, self.specials = tokenizer, specials
+        self.number = dict(zip(words, range(len(words)))).get
+        self.n, self.flat = len(words), ids.flatten().to_numpy()
+        self.sizes = _lengths(ids, pc.list_value_length)
+        self.forget()
+
+    def forget(self) -> None:
+        self.others = {s: self.n + k for k, s in enumerate(self.specials)}
+        self.other_flat = array("i", [self.tokenizer.token_to_id(s) for s in self.specials])
+        self.other_sizes = array("i", [1] * len(self.specials))
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``words`` on end, and how many each has."""
+        at = np.fromiter(map(self.number, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            if len(self.others) > REMEMBERED_WORDS:
+                self.forget()
+            missed = [words[i] for i in unknown.tolist()]
+            new = [w for w in dict.fromkeys(missed) if w not in self.others]
+            for word, ids in zip(new, _encode_words(self.tokenizer, new)):
+                self.others[word] = self.n + len(self.other_sizes)
+                self.other_flat.extend(ids)
+                self.other_sizes.append(len(ids))
+            at[unknown] = [self.others[w] for w in missed]
+        flat = np.concatenate((self.flat, np.array(self.other_flat, np.int32)))
+        sizes = np.concatenate((self.sizes, np.array(self.other_sizes, np.int64)))
+        begins, n = np.cumsum(sizes) - sizes, sizes[at]
+        places = np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return flat[places], n
+
+
+def encode_documents(docs: DataFrame, path: str, with_text: bool = True) -> DataFrame:
+    """``docs`` with ``ids``: the token ids of ``text``, an array.
 
     Whole texts, as the tokenizer gives them without adding special tokens; special
     tokens written in a text become their ids. A null text is an empty one, which has no
-    ids. Other columns pass through (``ids`` is replaced); repeated rows are encoded alike; an empty table gives
-    no rows. Rows stay in their tasks: no text is shuffled.
+    ids. Other columns pass through (``ids`` is replaced), ``text`` only if asked for; repeated
+    rows are encoded alike; an empty table gives no rows. Rows stay in their tasks: no text is
+    shuffled. A task holds the words of ``BYTES_AT_ONCE`` of text, or of one longer text.
     """
     spark, docs = docs.sparkSession, docs.drop("ids")
     known = stash(word_table(docs, path), "bpe-words")
@@ -122,15 +174,12 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     table = spark.sparkContext.broadcast(_serialized(known.toArrow()))
     specials = special_tokens(path)
     at = docs.columns.index("text")
+    rest = docs if with_text else docs.drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
-        held = pa.ipc.open_stream(table.value).read_all()
-        ids_of = dict(zip(held.column("word").to_pylist(), held.column("ids").to_pylist()))
+        lookup = _Lookup(table.value, _tokenizer(path), specials)
         find = re.compile(WORD).findall
         cut = re.compile("(" + "|".join(map(re.escape, specials)) + ")").split if specials else None
-        special_ids = {s: str(tokenizer.token_to_id(s)) for s in specials}
-        rest = dict(special_ids)
 
         def words_of(text: str) -> list[str]:
             if not any(s in text for s in specials):
@@ -140,44 +189,52 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 words.extend([part] if n % 2 else find(part))
             return words
 
-        for part in _parts(batches):
-            rows = [words_of(t) if t else [] for t in part.column(at).to_pylist()]
-            if len(rest) > REMEMBERED_WORDS:
-                rest = dict(special_ids)
-            missing = list({w for words in rows for w in words if w not in ids_of and w not in rest})
-            rest.update(zip(missing, _encode_words(tokenizer, missing)))
-            ids = []
-            for words in rows:
-                try:
-                    ids.append(",".join([ids_of[w] for w in words]))
-                except KeyError:
-                    ids.append(",".join([ids_of.get(w) or rest[w] for w in words]))
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(ids, pa.string())], names=[*part.schema.names, "ids"]
-            )
-
-    return docs.mapInArrow(run, _with_text(docs, "ids"))
+        for batch in batches:
+            for part in _parts(batch, _lengths(batch.column(at), pc.binary_length), BYTES_AT_ONCE):
+                rows = [words_of(t) if t else [] for t in part.column(at).to_pylist()]
+                ids, sizes = lookup.ids(list(chain.from_iterable(rows)))
+                ends = np.concatenate(([0], np.cumsum(sizes)))
+                bounds = ends[np.cumsum([0, *map(len, rows)])].astype(np.int32)
+                found = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids, pa.int32()))
+                kept = part if with_text else part.drop_columns("text")
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, found], names=[*kept.schema.names, "ids"]
+                )
+
+    return docs.mapInArrow(run, _with(rest, "ids", ArrayType(IntegerType())))
 
 
 def decode_documents(coded: DataFrame, path: str) -> DataFrame:
-    """``coded`` with ``decoded``: the bytes of ``ids``, joined to the vocabulary's pieces.
+    """``coded`` with ``decoded``: the bytes of ``ids``, looked up in the vocabulary's pieces.
 
-    Special tokens are written out; a column ``decoded`` is replaced. Bytes that are no UTF-8 become U+FFFD. No ids give an
-    empty text.
+    Special tokens are written out; a column ``decoded`` is replaced. Bytes that are no UTF-8
+    become U+FFFD. No ids, or null, give an empty text.
     """
     coded = coded.drop("decoded")
     at = coded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = {str(n): p for n, p in enumerate(_pieces_of(path))}
-        for part in _parts(batches):
-            texts = []
-            for ids in part.column(at).to_pylist():
-                found = b"".join([pieces[i] for i in ids.split(",")]) if ids else b""
-                texts.append(found.decode("utf-8", errors="replace"))
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(texts, pa.string())],
-                names=[*part.schema.names, "decoded"],
-            )
-
-    return coded.mapInArrow(run, _with_text(coded, "decoded"))
+        pieces = pa.array(_pieces_of(path), pa.large_binary())
+        for batch in batches:
+            for part in _parts(batch, _lengths(batch.column(at), pc.list_value_length), IDS_AT_ONCE):
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, _joined(part.column(at), pieces)],
+                    names=[*part.schema.names, "decoded"],
+                )
+
+    return coded.mapInArrow(run, _with(coded, "decoded", StringType()))
+
+
+def _joined(ids: pa.Array, pieces: pa.Array) -> pa.Array:
+    """The pieces of every list of ``ids`` on end. Taken pieces lie behind one another, so the
+    texts are stretches of their bytes."""
+    taken = pieces.take(ids.flatten())
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+    bounds = ends[np.cumsum([0, *_lengths(ids, pc.list_value_length)])]
+    data = taken.buffers()[2] if len(taken) else pa.py_buffer(b"")
+    texts = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(bounds.tobytes()), data])
+    try:
+        return texts.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:
+        said = [text.decode("utf-8", errors="replace") for text in texts.to_pylist()]
+        return pa.array(said, pa.string())

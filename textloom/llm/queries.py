@@ -104,16 +104,15 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids and of the text decoded from them."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    coded = bpe.encode_documents(docs, VOCABULARY).select("doc_id", "ids")
+    coded = bpe.encode_documents(docs, VOCABULARY, with_text=False)
     return _bpe_digests(bpe.decode_documents(coded, VOCABULARY))
 
 
 def _bpe_digests(coded: DataFrame) -> DataFrame:
-    commas = F.length("ids") - F.length(F.replace(F.col("ids"), F.lit(","), F.lit("")))
     return coded.select(
         "doc_id",
-        F.when(F.col("ids") == "", 0).otherwise(commas + 1).cast("long").alias("n_tokens"),
-        sha256(F.col("ids")).alias("ids_sha256"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         sha256(F.col("decoded")).alias("decoded_sha256"),
     )
 
