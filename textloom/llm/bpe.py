@@ -36,8 +36,8 @@ WORD = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 TABLE_WORDS = 200_000
 #: Bytes of text that a task cuts into words at a time, and ids that it decodes at a time;
 #: a longer text is taken alone.
-BYTES_AT_ONCE = 4 << 20
-IDS_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 20
+IDS_AT_ONCE = 1 << 18
 #: Other words a task remembers before it begins anew.
 REMEMBERED_WORDS = 100_000
 #: Longer words are rare and stay out of the table.
