@@ -307,10 +307,10 @@ def test_pages_are_parsed_once(spark, tmp_path):
     pages = spark.read.parquet(str(tmp_path / "p"))
     items = pages_to_items(pages).withColumnRenamed("page_id", "doc_id")
     plans = items._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
-    enriched = enrich_documents(items, write_first=True)
+    enriched = enrich_documents(items)
     after = enriched._jdf.queryExecution().optimizedPlan().toString()
-    # One pass for an item, and none is left once items are to be enriched.
-    assert plans == 1 and "ArrowEvalPython" not in after
+    # One pass for an item, and none is left once items are enriched but that which ranks.
+    assert plans == 1 and after.count("ArrowEvalPython") == 1 and "best(" in after
     assert enriched.count() == 40
 
 
@@ -339,6 +339,43 @@ def test_large_vocabularies_are_shuffled(spark, monkeypatch):
     assert sorted(map(tuple, enrich_documents(docs).collect())) == want
 
 
+def test_no_text_is_shuffled_for_keywords(spark, monkeypatch):
+    from textloom.operators import keywords as K
+
+    docs = zipf_corpus(spark).withColumn("extra", F.lit("x"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    near = enrich_documents(docs)
+    assert "Exchange" not in plan(near) and near.columns == [*docs.columns, "keywords"]
+    want = sorted(map(tuple, near.collect()))
+    monkeypatch.setattr(K, "BROADCAST_ROWS", 1)
+    far = enrich_documents(docs)
+    assert "Exchange" in plan(far) and far.columns == near.columns
+    assert sorted(map(tuple, far.collect())) == want
+
+
+def test_ranks_in_place_by_plain_python():
+    import numpy as np
+    import pyarrow as pa
+
+    from textloom.operators.keywords import best_terms
+
+    rng = np.random.default_rng(3)
+    terms = sorted(f"t{n}" for n in range(40))
+    # Few different weights, so that ties are common.
+    idf = {t: float(rng.integers(1, 4)) for t in terms}
+    known = pa.table({"term": terms, "idf": [idf[t] for t in terms]})
+    rows = [None, []] + [
+        [{"term": f"t{n}", "tf": int(rng.integers(1, 4))} for n in rng.choice(60, size, replace=False)]
+        for size in rng.integers(0, 50, 60)
+    ]
+    kind = pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int64())]))
+    for counts in (pa.array(rows, kind), pa.array([[], *rows], kind).slice(1), pa.array([], kind)):
+        found = best_terms(counts, known, 10).to_pylist()
+        for row, got in zip(counts.to_pylist(), found, strict=True):
+            held = [(c["tf"] * idf[c["term"]], c["term"]) for c in row or [] if c["term"] in idf]
+            assert got == [term for _, term in sorted(held, reverse=True)[:10]]
+
+
 def test_common_terms_fit_the_limit(spark):
     from textloom.operators.keywords import _common_from
 

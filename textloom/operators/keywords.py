@@ -9,7 +9,10 @@ broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import fixed
@@ -42,6 +45,16 @@ def count_terms(terms: DataFrame) -> DataFrame:
     return with_term_counts(terms.select("doc_id", "terms"), "terms", "counts").drop("terms")
 
 
+def with_counts(docs: DataFrame, out: str, model: LanguageModel | None = None) -> DataFrame:
+    """``docs`` with ``out``: the counts of ``count_terms`` beside the text they are of."""
+    told = detect_language if model is None else lambda text: detect_trained(text, model)
+    content = F.coalesce(F.col("content"), F.lit(""))
+    lang, terms = f"__{out}_lang", f"__{out}_terms"
+    rows = docs.withColumn(lang, told(content))
+    rows = rows.withColumn(terms, drop_stop_words(tokenize(keyword_clean(content)), F.col(lang)))
+    return with_term_counts(rows, terms, out).drop(lang, terms)
+
+
 def term_freq(counted: DataFrame) -> DataFrame:
     """``doc_id, term, tf``, one row per document and distinct term."""
     return explode_structs(counted, "counts", ["doc_id"])
@@ -76,6 +89,18 @@ def _common_from(vocabulary: DataFrame, max_rows: int) -> int | None:
     return cutoff
 
 
+def _room(vocabulary: DataFrame) -> tuple[int, int]:
+    """Rows of a written vocabulary, and how many of them fit both limits of a broadcast if
+    all are about as long."""
+    rows, size = vocabulary.count(), bytes_of(vocabulary)
+    return rows, min(BROADCAST_ROWS, rows * BROADCAST_BYTES // max(1, size))
+
+
+def fits_broadcast(vocabulary: DataFrame) -> bool:
+    rows, room = _room(vocabulary)
+    return rows <= room
+
+
 def join_vocabulary(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Term rows with their document frequency; pruned terms drop out.
 
@@ -85,9 +110,7 @@ def join_vocabulary(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
     terms are then shuffled, and no term among those has many rows.
     """
     vocabulary = stash(vocabulary, "vocabulary")
-    rows, size = vocabulary.count(), bytes_of(vocabulary)
-    # As many rows as fit both limits, if all are about as long.
-    fit = min(BROADCAST_ROWS, rows * BROADCAST_BYTES // max(1, size))
+    rows, fit = _room(vocabulary)
     if rows <= fit:
         return tf.join(F.broadcast(vocabulary), "term")
     cutoff = _common_from(vocabulary, fit)
@@ -99,8 +122,12 @@ def join_vocabulary(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return tf.join(common, "term").unionByName(rest.join(rare, "term"))
 
 
-def _weight(n_docs: int):
-    return F.col("tf") * (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0)
+def _idf(n_docs: int) -> Column:
+    return F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0
+
+
+def _weight(n_docs: int) -> Column:
+    return F.col("tf") * _idf(n_docs)
 
 
 def tfidf_weights(joined: DataFrame, n_docs: int) -> DataFrame:
@@ -140,3 +167,52 @@ def attach_keywords(docs: DataFrame, keywords: DataFrame) -> DataFrame:
     empty = F.array().cast("array<string>")
     joined = docs.join(keywords, "doc_id", "left")
     return joined.withColumn("keywords", F.coalesce("keywords", empty))
+
+
+def rank_in_place(
+    counted: DataFrame,
+    counts: str,
+    vocabulary: DataFrame,
+    n_docs: int,
+    top: int = fixed.KEYWORDS_PER_DOC,
+) -> DataFrame:
+    """``counted`` with ``keywords`` in place of ``counts``: every row's best terms by its own
+    counts, in the order of ``top_keywords``; an empty array where none qualified.
+
+    For a written vocabulary that ``fits_broadcast``. It travels to the tasks, so no row
+    leaves its own: neither texts nor counts are shuffled. The weight of a term is worked out
+    by Spark, as for the join, so both ways give the same numbers.
+    """
+    spark = counted.sparkSession
+    weighted = vocabulary.select("term", _idf(n_docs).alias("idf")).orderBy("term").toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, weighted.schema) as writer:
+        writer.write_table(weighted)
+    sent = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+
+    @F.arrow_udf("array<string>")
+    def best(found: pa.Array) -> pa.Array:
+        known = pa.ipc.open_stream(sent.value).read_all().combine_chunks()
+        return best_terms(found, known, top)
+
+    return counted.withColumn("keywords", best(F.col(counts))).drop(counts)
+
+
+def best_terms(counts: pa.Array, known: pa.Table, top: int) -> pa.Array:
+    """The ``top`` terms of each list of ``term, tf``, heaviest first and ties by term, last
+    first. ``known`` has ``term, idf`` sorted by term."""
+    lengths = pc.fill_null(pc.list_value_length(counts), 0).to_numpy(zero_copy_only=False)
+    each = counts.flatten()
+    terms = known.column("term").combine_chunks()
+    at = pc.fill_null(pc.index_in(pc.struct_field(each, "term"), value_set=terms), -1)
+    at = at.to_numpy(zero_copy_only=False)
+    keep = at >= 0
+    row, at = np.repeat(np.arange(len(counts)), lengths)[keep], at[keep]
+    tf = pc.struct_field(each, "tf").to_numpy(zero_copy_only=False)[keep]
+    weight = tf * known.column("idf").to_numpy()[at]
+    order = np.lexsort((-at, -weight, row))
+    row, at = row[order], at[order]
+    first = np.searchsorted(row, np.arange(len(counts)))
+    best = np.arange(len(row)) - first[row] < top
+    bounds = np.searchsorted(row[best], np.arange(len(counts) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), terms.take(pa.array(at[best])))

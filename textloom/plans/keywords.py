@@ -10,6 +10,8 @@ from textloom.operators import keywords as K
 from textloom.operators.languages import LanguageModel
 from textloom.session import stash
 
+_COUNTS = "_term_counts"
+
 
 def keyword_ranks(
     docs: DataFrame,
@@ -30,24 +32,36 @@ def keyword_ranks(
     return K.top_keywords(joined, n_docs, top)
 
 
-def enrich_documents(docs: DataFrame, write_first: bool = False, **options) -> DataFrame:
-    """``docs`` plus ``keywords``. Joined by ``doc_id``, not by position.
+def enrich_documents(
+    docs: DataFrame,
+    min_df: int = fixed.MIN_DOC_FREQ,
+    max_share: float = fixed.MAX_DOC_SHARE,
+    top: int = fixed.KEYWORDS_PER_DOC,
+    language_model: LanguageModel | None = None,
+) -> DataFrame:
+    """``docs`` plus ``keywords`` (replaced if there). ``doc_id`` is unique.
 
-    ``docs`` is read twice, for the terms and for the join. With ``write_first`` it is
-    written first: for texts that are dear to make, like items parsed from pages. A table
-    is better read again.
+    Texts are written once, with the counts of their terms beside them. Document frequencies
+    read the counts alone. Where the vocabulary is small enough to travel to every task, rows
+    are ranked where they lie and nothing of a text is shuffled. Beyond, the ranked terms are
+    joined to the texts by ``doc_id``.
     """
-    if write_first:
-        docs = stash(docs, "documents-to-enrich")
-    return K.attach_keywords(docs, K.doc_keywords(keyword_ranks(docs, **options)))
+    rows = stash(K.with_counts(docs.drop("keywords"), _COUNTS, language_model), "counted-documents")
+    n_docs = rows.count()
+    tf = K.term_freq(rows.select("doc_id", F.col(_COUNTS).alias("counts")))
+    vocabulary = stash(K.doc_freq(tf, n_docs, min_df, max_share), "vocabulary")
+    if K.fits_broadcast(vocabulary):
+        return K.rank_in_place(rows, _COUNTS, vocabulary, n_docs, top)
+    ranks = K.top_keywords(K.join_vocabulary(tf, vocabulary), n_docs, top)
+    return K.attach_keywords(rows.drop(_COUNTS), K.doc_keywords(ranks))
 
 
 def enrich_items(items: DataFrame, **options) -> DataFrame:
     """Enrichment of items without an id of their own (a JSON-lines scan).
 
-    Every line is a document of its own, so each gets a row id. The numbered rows
-    are written once, because ids given out by a scan may change when it is rerun.
+    Every line is a document of its own, so each gets a row id. Ids given out by a scan may
+    change when it is rerun; ``enrich_documents`` writes the rows once.
     """
     numbered = items.drop("keywords").withColumn("doc_id", F.monotonically_increasing_id())
-    enriched = enrich_documents(stash(numbered, "numbered-items"), **options)
+    enriched = enrich_documents(numbered, **options)
     return enriched.select("title", "url", "keywords", "content")
