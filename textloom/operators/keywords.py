@@ -1,10 +1,9 @@
 """TF-IDF keywords over a corpus of ``doc_id, content`` rows.
 
-Counting terms inside a document is row-local. Only two things are shuffled: one
-partial count per term and task for the document frequencies, and at most ten
-candidate terms per document and task for the ranking. Of the term table itself only
-the rows of uncommon terms are shuffled, and only when the vocabulary is too large to
-broadcast.
+Counting terms inside a document is row-local. One partial count per term and task is
+shuffled for the document frequencies. ``rank_in_place`` shuffles nothing more; ranking by
+joins shuffles at most ten candidate terms per document and task, and of the term table the
+rows of uncommon terms when the vocabulary is too large to broadcast.
 """
 
 from __future__ import annotations
