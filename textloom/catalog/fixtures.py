@@ -10,7 +10,7 @@ from textloom.plans.index import Index, create_index, open_index, refresh_index
 from textloom.plans.items import pages_to_items
 from textloom.plans.keywords import enrich_documents
 from textloom.session import stash, work_path
-from textloom.sources.tables import read_pages, read_table, spread
+from textloom.sources.tables import read_pages, read_table, spread, stream_source
 
 _built: dict[tuple[str, str, str], object] = {}
 
@@ -83,8 +83,8 @@ def fetch_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def fetch_log_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = read_table(spark, folder, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return _log_columns(reader.parquet(folder))
+    path, files = stream_source(spark, folder, "events")
+    return _log_columns(spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(path))
 
 
 def _visited(spark: SparkSession, folder: str, kind: str, above: float) -> DataFrame:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from textloom.catalog import fixtures, items, sql
 from textloom.catalog.items import repeated_pages
-from textloom.schemas import FAILURE
-from textloom.session import work_path
+from textloom.schemas import FAILURE, ITEM
+from textloom.session import path_exists, work_path
 from textloom.sinks.jsonl import FAILURES_FILE, sink_path
 from textloom.sources.jsonl import scan_failed_urls
+from textloom.sources.tables import read_table, spread_to, stream_source
 from textloom.streaming import failures as S
 from textloom.streaming import pages as P
 
@@ -19,14 +20,13 @@ def _run(spark, rows, label, columns):
     path = work_path(spark, label)
     query = P.write_stream(rows, path, work_path(spark, f"{label}-ckpt"), columns, "parquet")
     query.awaitTermination()
-    found = spark.read.schema(rows.select(*columns).schema).parquet(path)
-    return found.select(*columns)
+    return P.read_back(spark, path, rows.select(*columns).schema)
 
 
 def _pages(spark, folder):
-    """The table is one small file, so its pages are shared out to all slots."""
-    slots = spark.sparkContext.defaultParallelism
-    return P.stream_pages(spark, folder, "pages.parquet", spread_to=slots)
+    """The table is a file or a folder of files; a small one of few files is shared out."""
+    slots = spread_to(read_table(spark, folder, "pages"))
+    return P.stream_pages(spark, *stream_source(spark, folder, "pages"), spread_to=slots)
 
 
 def stream_items(spark, folder):
@@ -91,6 +91,8 @@ def stream_items_sink(spark, folder):
     path = work_path(spark, "sink")
     items = P.items_stream(_pages(spark, folder))
     P.write_stream(items, path, work_path(spark, "sink-ckpt")).awaitTermination()
+    if not path_exists(spark, path):  # Nothing has arrived.
+        return spark.createDataFrame([], ITEM)
     return spark.read.schema("title string, url string, content string").json(path).select(
         F.col("title"), F.col("url"), F.col("content")
     )

@@ -142,3 +142,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` is a folder on whatever file system its URI names."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop_path.getFileSystem(conf).getFileStatus(hadoop_path).isDirectory()

@@ -10,12 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from textloom.operators.extract import decoded_pages
 from textloom.operators.links import unseen
 from textloom.plans.items import items_of
 from textloom.schemas import ITEM, PAGE
-from textloom.session import state_on_disk
+from textloom.session import path_exists, state_on_disk
 
 
 def stream_pages(
@@ -27,8 +28,9 @@ def stream_pages(
 ) -> DataFrame:
     """Page stream over a folder new parquet files arrive in.
 
-    ``spread_to`` shares each micro-batch out to that many tasks; it is for
-    batches of fewer files than the cluster has slots.
+    ``glob`` is held against the names of files, not of folders. ``spread_to`` shares each
+    micro-batch out to that many tasks; it is for batches of fewer files than the cluster
+    has slots.
     """
     reader = spark.readStream.schema(PAGE).option("pathGlobFilter", glob)
     pages = reader.option("maxFilesPerTrigger", max_files).parquet(folder)
@@ -114,6 +116,14 @@ def new_urls_stream(urls: DataFrame, processed: DataFrame) -> DataFrame:
     return dedup_stream(unseen(urls, processed))
 
 
+def read_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What ``write_stream`` left under ``path`` in parquet. A stream that had no rows may
+    have written no micro-batch."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def write_stream(
     rows: DataFrame,
     path: str,
