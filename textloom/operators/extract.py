@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textloom.functions import fixed
 from textloom.functions.html import page_text
 from textloom.functions.text import clean_text
+from textloom.session import bound_batches
 
 REQUIRED = ("title", "url", "content")
 
@@ -20,6 +21,7 @@ def extract_pages(
     exclude_tags: Iterable[str] = (),
 ) -> DataFrame:
     """``page_id, title, url, content`` of every page, in one pass over its HTML."""
+    bound_batches(pages.sparkSession)
     parsed = pages.withColumn("page", page_text(F.col("html"), exclude_keywords, exclude_tags))
     return parsed.select("page_id", "page.title", "url", "page.content")
 
@@ -37,6 +39,7 @@ def decoded_pages(
     """``extract_pages`` of all but robots files, with entities and leftover tags resolved
     and characters not yet cleaned, in one pass over the HTML; ``shown`` tells whether a
     page has visible text."""
+    bound_batches(pages.sparkSession)
     named = pages.where(~F.col("url").contains("robots.txt"))
     text = page_text(F.col("html"), exclude_keywords, exclude_tags, decoded=True)
     read = named.withColumn("page", text)

@@ -19,7 +19,7 @@ from textloom.functions.analysis import explode_structs, with_term_counts
 from textloom.functions.language import detect_language, drop_stop_words
 from textloom.functions.text import keyword_clean, tokenize
 from textloom.operators.languages import LanguageModel, detect_trained
-from textloom.session import BROADCAST_BYTES, bytes_of, stash
+from textloom.session import BROADCAST_BYTES, bound_batches, bytes_of, stash
 
 #: At most this many vocabulary rows are broadcast (some 100 MB as a hash table).
 BROADCAST_ROWS = 1_000_000
@@ -183,6 +183,7 @@ def rank_in_place(
     by Spark, as for the join, so both ways give the same numbers.
     """
     spark = counted.sparkSession
+    bound_batches(spark)
     weighted = vocabulary.select("term", _idf(n_docs).alias("idf")).orderBy("term").toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, weighted.schema) as writer:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.analysis import explode_structs
 from textloom.functions.html import links_of
 from textloom.functions.urls import canonical_url, host, path_and_query
-from textloom.session import small_or_shuffled
+from textloom.session import bound_batches, small_or_shuffled
 
 #: Hosts whose rule lengths may be broadcast; more are joined by a shuffle.
 BROADCAST_HOSTS = 200_000
@@ -18,6 +18,7 @@ BROADCAST_URLS = 500_000
 
 def extract_links(pages: DataFrame) -> DataFrame:
     """``page_id, src_url, pos, href, dst_url, dst_canonical``, once per target and page."""
+    bound_batches(pages.sparkSession)
     found = pages.select(
         "page_id", F.col("url").alias("src_url"), links_of(F.col("url"), F.col("html")).alias("l")
     )

@@ -31,6 +31,10 @@ PARTITION_BYTES = 128 << 20
 FEWEST_PARTITIONS, MOST_PARTITIONS = 200, 100_000
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
+#: Bytes of a batch of rows that goes to a Python worker.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -58,6 +62,14 @@ def state_on_disk(spark: SparkSession) -> None:
     spark.conf.set(_STATE_STORE, _ON_DISK)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Send Python workers of this session batches of at most ``BATCH_BYTES``, or of one
+    longer row. Spark's own limit counts rows, whatever their size: texts of ten thousand
+    rows, and what is made of them, fill a worker. A limit that was set stays."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``, or what
     ``setCheckpointDir`` was given.
