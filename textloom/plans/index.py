@@ -30,8 +30,9 @@ from textloom.sources.jsonl import scan_documents
 #: Term folders of a small index. A larger one gets one for so many bytes of analysed text.
 TERM_BUCKETS = 16
 BUCKET_BYTES = 8 << 30
-#: Bytes of analysed text that one writing task takes.
-TASK_BYTES = 256 << 20
+#: Bytes of analysed text on disk that one writing task takes. Its postings are some ten
+#: times that in memory, and are sorted there.
+TASK_BYTES = 32 << 20
 #: Documents of a block, as a power of two.
 BLOCK_BITS = 12
 #: Common terms that may be broadcast while blocks are written.
@@ -161,7 +162,7 @@ def refresh_index(
         .write.partitionBy("bucket")
         .parquet(f"{folder}/postings")
     )
-    _write_terms(postings, {row["field"]: row["avgdl"] for row in stats}, block_bits, folder)
+    _write_terms(spark, {row["field"]: row["avgdl"] for row in stats}, block_bits, folder)
     stats = spark.createDataFrame(stats, "field string, n_docs long, avgdl double")
     _write_stats(stats, buckets, block_bits, folder)
     indexed = stored.count()
@@ -170,23 +171,26 @@ def refresh_index(
     return Refresh(deleted=deleted, indexed=indexed)
 
 
-def _write_terms(
-    postings: DataFrame, lengths: dict[str, float], block_bits: int, folder: str
-) -> None:
+def _write_terms(spark: SparkSession, lengths: dict[str, float], block_bits: int, folder: str) -> None:
     """Document frequencies, and blocks of the common terms: those in at least a block's
-    number of documents. The others would have about as many rows as postings."""
-    mean = F.coalesce(*[F.when(F.col("field") == f, F.lit(n)) for f, n in lengths.items()], F.lit(1.0))
-    share = saturation(F.col("tf"), F.col("dl"), mean)
-    term, block = ["bucket", "field", "term"], F.shiftright("pos", block_bits).alias("block")
-    found = postings.groupBy(*term, block).agg(F.count(F.lit(1)).alias("n"), F.max(share).alias("best"))
-    found = stash(found, "term-blocks")
-    counts = found.groupBy(*term).agg(F.sum("n").alias("df")).select(*TERM.names)
+    number of documents. The others would have about as many rows as postings.
+
+    Both are counted from the written postings: a file of these has its terms side by side,
+    so tasks hand on about a row a term, and blocks are made of common terms only.
+    """
+    postings = spark.read.schema(POSTING).parquet(f"{folder}/postings")
+    counts = postings.groupBy("bucket", "field", "term").agg(F.count(F.lit(1)).alias("df")).select(*TERM.names)
     counts.repartition("bucket").sortWithinPartitions("term").write.partitionBy("bucket").parquet(f"{folder}/terms")
-    known = postings.sparkSession.read.schema(TERM).parquet(f"{folder}/terms")
-    common = known.where(F.col("df") >= (1 << block_bits)).select("field", "term")
+    known = spark.read.schema(TERM).parquet(f"{folder}/terms")
+    common = known.where(F.col("df") >= (1 << block_bits)).select("bucket", "field", "term")
     common = small_or_shuffled(common, "common-terms", BROADCAST_TERMS)
-    blocks = found.join(common, ["field", "term"], "left_semi").select(*BLOCK.names)
-    blocks = blocks.repartition("bucket").sortWithinPartitions("term", "block")
+    mean = F.coalesce(*[F.when(F.col("field") == f, F.lit(n)) for f, n in lengths.items()], F.lit(1.0))
+    share = saturation(F.col("tf"), F.col("dl"), mean)
+    found = postings.join(common, ["bucket", "field", "term"], "left_semi")
+    blocks = found.groupBy("bucket", "field", "term", F.shiftright("pos", block_bits).alias("block")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(share).alias("best")
+    )
+    blocks = blocks.select(*BLOCK.names).repartition("bucket").sortWithinPartitions("term", "block")
     blocks.write.partitionBy("bucket").parquet(f"{folder}/blocks")
 
 
