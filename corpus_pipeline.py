@@ -43,8 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and what they decode to."""
-    coded = bpe.encode_documents(docs.select(*COLUMNS), queries.VOCABULARY)
-    coded = bpe.decode_documents(coded, queries.VOCABULARY)
+    coded = bpe.round_trip(docs.select(*COLUMNS), queries.VOCABULARY)
     return coded.select(
         "doc_id", "source", "lang",
         F.size("ids").cast("long").alias("n_tokens"), "ids",

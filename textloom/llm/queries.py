@@ -104,8 +104,7 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids and of the text decoded from them."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    coded = bpe.encode_documents(docs, VOCABULARY, with_text=False)
-    return _bpe_digests(bpe.decode_documents(coded, VOCABULARY))
+    return _bpe_digests(bpe.round_trip(docs, VOCABULARY, with_text=False))
 
 
 def _bpe_digests(coded: DataFrame) -> DataFrame:
