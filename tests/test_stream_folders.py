@@ -1,6 +1,7 @@
 """Stream queries over tables that are folders of files, and over empty ones."""
 
 import datetime
+import os
 
 import pytest
 
@@ -52,3 +53,23 @@ def test_empty_tables(spark, tmp_path):
         spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
     for name, query in streams.QUERIES.items():
         assert query(spark, str(tmp_path)).collect() == [], name
+
+
+def open_stores(spark) -> int:
+    """Files of state stores that the JVM holds open."""
+    jvm = f"/proc/{spark.sparkContext._jvm.java.lang.ProcessHandle.current().pid()}/fd"
+    links = []
+    for name in os.listdir(jvm):
+        try:
+            links.append(os.readlink(f"{jvm}/{name}"))
+        except FileNotFoundError:
+            pass
+    return sum("StateStoreId" in link for link in links)
+
+
+@pytest.mark.skipif(not os.path.isdir("/proc/self/fd"), reason="no /proc")
+def test_a_stream_that_has_ended_holds_no_state_store(spark, folder):
+    before = open_stores(spark)
+    for name in ("stream_items_once", "stream_items_sink"):
+        assert streams.QUERIES[name](spark, folder).count() == 4
+    assert open_stores(spark) <= before

@@ -22,6 +22,7 @@ SESSION_CONF = {
 }
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
 
 #: Compressed bytes of a table that may be broadcast.
 BROADCAST_BYTES = 64 << 20
@@ -56,10 +57,18 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return number
 
 
-def state_on_disk(spark: SparkSession) -> None:
+def state_on_disk(spark: SparkSession, ends: bool = False) -> None:
     """Streams of this session keep their state in RocksDB, not on the heap: sets of all
-    URLs ever seen outgrow memory. It stays so, hence streams may start side by side."""
+    URLs ever seen outgrow memory. It stays so, hence streams may start side by side.
+
+    ``ends`` is for a query that ends by itself: its tasks close their stores when a
+    micro-batch is done, and read them again from the checkpoint for the next. Else executors
+    keep a store a partition, each with open files and threads, for a minute or two after the
+    query has ended, and streams run one after another pile them up. A query takes the
+    settings it finds at its start.
+    """
     spark.conf.set(_STATE_STORE, _ON_DISK)
+    spark.conf.set(_UNLOAD, "true" if ends else "false")
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -138,9 +138,11 @@ def write_stream(
     or written twice; the checkpoint is where a restart goes on. A new checkpoint
     makes a new query, whose batches count from zero in a folder of their own.
     ``trigger`` is that of the writer; unless one is named, all there is now is processed
-    and the query ends. ``{"processingTime": "10 seconds"}`` keeps it running.
+    and the query ends. ``{"processingTime": "10 seconds"}`` keeps it running. A query that
+    ends keeps no state store open between micro-batches.
     """
     columns = columns or ITEM.names
+    trigger = trigger or {"availableNow": True}
 
     def append(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
@@ -150,5 +152,5 @@ def write_stream(
         )
 
     writer = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
-    state_on_disk(rows.sparkSession)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    state_on_disk(rows.sparkSession, ends=not {"availableNow", "once"}.isdisjoint(trigger))
+    return writer.trigger(**trigger).start()
