@@ -1,6 +1,7 @@
 """Every operator against SQL or a brute-force version, on a whole table and on odd rows."""
 
 import math
+import re
 import random
 from collections import Counter
 
@@ -324,6 +325,16 @@ def test_bpe_odd_texts(spark):
     assert bpe.encode_documents(plain.no_documents(spark), queries.VOCABULARY).count() == 0
 
 
+@pytest.mark.parametrize("most", [400_000, 3])
+def test_bpe_word_counts(spark, monkeypatch, most):
+    """Counts of a task are passed on whenever they hold ``most`` words, and added up."""
+    monkeypatch.setattr(bpe, "COUNTED_WORDS", most)
+    texts = [None, "", "a b a", " a  b\n\n", "x" * 65 + " a", "y" * 64 + " é\u3000é"] * 3
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    want = Counter(w for t in texts for w in re.findall(bpe.WORD, t or "") if len(w) <= 64)
+    assert {r.word: r.n for r in bpe.word_counts(docs).collect()} == want
+
+
 # --- 8 ---
 
 

@@ -2,7 +2,7 @@
 
 Texts are cut into words (a run of other characters with the blank before it, or white
 space). The cuts are places where the tokenizer's own pattern always cuts, so words can be
-encoded on their own. Spark counts the words of the corpus, every distinct word of the
+encoded on their own. Tasks count the words of their texts and Spark sums the counts, every distinct word of the
 table is encoded once, and tasks look up the ids of each word of a text in the table.
 Decoding looks up the pieces of ids in the vocabulary. Neither is a join.
 
@@ -13,9 +13,11 @@ well. So are words beyond the bound, which a task remembers for a while.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, repeat
 
@@ -42,6 +44,8 @@ IDS_AT_ONCE = 1 << 18
 REMEMBERED_WORDS = 100_000
 #: Longer words are rare and stay out of the table.
 TABLE_WORD_CHARS = 64
+#: Distinct words whose counts a task holds before it passes them on.
+COUNTED_WORDS = 400_000
 
 
 def special_tokens(path: str) -> list[str]:
@@ -49,10 +53,11 @@ def special_tokens(path: str) -> list[str]:
         return [t["content"] for t in json.load(file)["added_tokens"]]
 
 
+@functools.cache
 def _pieces_of(path: str) -> list[bytes]:
     """Bytes of every id. The vocabulary writes a byte as one printable character: itself
     where it is one in Latin-1, else the next free character from 256 on."""
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = _tokenizer(path)
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
     byte_of = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
@@ -64,12 +69,35 @@ def _pieces_of(path: str) -> list[bytes]:
     return pieces
 
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word, n``: how often each word of ``TABLE_WORD_CHARS`` characters or fewer occurs in
+    ``text``. A task sums up ``COUNTED_WORDS`` distinct words at a time; Spark adds its sums."""
+    bound_batches(docs.sparkSession)
+    most = COUNTED_WORDS
+
+    def rows(held: Counter) -> pa.RecordBatch:
+        kept = {word: n for word, n in held.items() if len(word) <= TABLE_WORD_CHARS}
+        columns = [pa.array(kept.keys(), pa.string()), pa.array(kept.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, held = re.compile(WORD).findall, Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                held.update(find(text.as_py() or ""))
+                if len(held) >= most:
+                    yield rows(held)
+                    held.clear()
+        yield rows(held)
+
+    counted = docs.select("text").mapInArrow(count, "word string, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def word_table(docs: DataFrame, path: str) -> DataFrame:
     """``word, ids``: the frequent words of the corpus with their token ids. Special tokens
     hold no place here: texts are cut at them first."""
-    words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("word"))
-    counted = words.groupBy("word").agg(F.count("*").alias("n"))
-    frequent = counted.where((F.col("n") > 1) & (F.length("word") <= TABLE_WORD_CHARS))
+    frequent = word_counts(docs).where("n > 1")
     table = frequent.orderBy(F.desc("n"), "word").limit(TABLE_WORDS).select("word")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +112,9 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
     return table.repartition(max(2, slots)).mapInArrow(encode, "word string, ids array<int>")
 
 
+@functools.cache
 def _tokenizer(path: str) -> Tokenizer:
+    """Read once by a Python worker, whatever the number of its tasks."""
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
