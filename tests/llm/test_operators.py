@@ -236,6 +236,25 @@ def test_line_dedup_random_lines(spark):
     assert any(i == 7 for _, i in got) and any(i < 6 for _, i in got)
 
 
+def test_line_dedup_large_group_of_near_copies(spark):
+    """Lines of a group are settled by a few leaders, though the earliest is near to few."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for d in range(600):
+        others = set(rng.sample(range(60), rng.randint(1, 6) if d else 12))
+        rows.append((d, " ".join(f"o{d}x{i}" if i in others else w for i, w in enumerate(base))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = line_dedup.stash(line_dedup.rarity(docs), "t")
+    leads = line_dedup.stash(line_dedup.lead_sets(line_dedup.line_sets(docs, classes)), "t")
+    near = line_dedup.stash(line_dedup.pairs_with_leaders(leads), "t")
+    assert near.count() <= 600 * line_dedup.RUNS * line_dedup.LEADERS
+    gone = line_dedup.stash(line_dedup.verified(docs, classes, near), "t")
+    assert line_dedup.candidates(leads, gone).count() < 15 * 600
+    got = {(r.doc_id, i) for r in line_dedup.dedup_lines(docs).collect() for i in r.removed}
+    assert got == plain.removed_lines(rows)
+
+
 # --- 6 ---
 
 

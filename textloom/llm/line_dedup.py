@@ -9,9 +9,9 @@ sketch (which can differ in no more bits than the sets differ in words), then ve
 the sets. A line similar to an earlier one, by (doc_id, line number), is removed; every line
 with a word takes part.
 
-A line needs one earlier match, not all of them: lines are first held against the earliest
-line that shares a run of rare words, and only those not settled so enter the join as the
-later side.
+A line needs one earlier match, not all of them: lines are first held against a few of the
+earliest lines that share a pair of rare words, and only those not settled so enter the join
+as the later side.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ SIMILAR = (4, 5)
 BUCKETS = 1 << 16
 #: A list of documents up to this many bytes on disk is broadcast, a larger one shuffled.
 BROADCAST_BYTES = 32 << 20
+#: Pairs of rare words by which a line meets leaders, and leaders of each pair.
+RUNS, LEADERS = 3, 8
 #: Stands for a null document id, and sorts first like one.
 NO_ID = -(1 << 63)
 
@@ -161,21 +163,32 @@ def _pair(a: str, b: str) -> list[Column]:
     ]
 
 
+def _pairs_of_words(prefix: str) -> Column:
+    """``RUNS`` pairs of neighbours in a prefix, chosen by hash: a word put in or taken out
+    changes at most two pairs, and near copies choose the same of the others."""
+    ends = [F.expr(f"slice({prefix}, {k}, size({prefix}) - 1)") for k in (1, 2)]
+    each = F.zip_with(*ends, lambda x, y: F.xxhash64(x, y))
+    return F.slice(F.sort_array(F.array_distinct(each)), 1, RUNS)
+
+
 def pairs_with_leaders(leads: DataFrame) -> DataFrame:
-    """Pairs of sets with the earliest one that shares three rare words in a row.
+    """Pairs of sets with the earliest ones that share two rare words in a row.
 
-    One pair a set and run, however many sets are alike: in a group of near copies nearly
-    every line is settled here, and never meets all others.
+    The sets of a pair of words are dealt by hash into ``LEADERS`` parts, and each meets the
+    earliest set of every part: at most ``RUNS * LEADERS`` pairs a set, however many sets are
+    alike. In a group of near copies the earliest one may itself be far from the others, but
+    hardly all the leaders, so nearly every line is settled here and never meets all others.
     """
-    runs = F.array(*[F.xxhash64(F.slice("prefix", k, 3)) for k in (1, 4)])
     rows = leads.select(
-        "doc_id", "line", "s1", "n", "parity",
-        F.explode(F.array_distinct(F.slice(runs, 1, F.ceil(F.size("prefix") / 3).cast("int")))).alias("run"),
+        "doc_id", "line", "s1", "n", "parity", F.explode(_pairs_of_words("prefix")).alias("run")
     )
-    first = rows.groupBy("run").agg(
-        F.min(F.struct("doc_id", "line", "s1", "n", "parity")).alias("b"), F.count("*").alias("size")
-    ).where("size > 1").select("run", "b.*")
-    met = rows.alias("a").join(first.hint("merge").alias("b"), F.col("a.run") == F.col("b.run"))
+    often = rows.groupBy("run").agg(F.count("*").alias("size")).where("size > 1").select("run")
+    shared = stash(rows.join(often.hint("merge"), "run"), "line-runs")
+    part = F.pmod(F.xxhash64("s1"), F.lit(LEADERS))
+    first = shared.groupBy("run", part.alias("part")).agg(
+        F.min(F.struct("doc_id", "line", "s1", "n", "parity")).alias("b")
+    ).select("run", "b.*")
+    met = shared.alias("a").join(first.hint("merge").alias("b"), F.col("a.run") == F.col("b.run"))
     near = _may_be_similar(F.col("a.n"), F.col("b.n"))
     return met.where(_earlier("b", "a") & near).select(*_pair("b", "a")).distinct()
 
