@@ -345,6 +345,28 @@ def test_alignment_query(spark):
     assert {r.doc_id: (*[r[c] for c in _COLUMNS], r.groups_sha256) for r in rows} == want
 
 
+def test_alignment_of_random_cuts():
+    """Links and groups of cuts of the same bytes, against all pairs."""
+    rng = np.random.default_rng(3)
+    for docs in (0, 1, 5):
+        lengths = rng.integers(1, 40, docs)
+        base = np.cumsum(lengths) - lengths
+        sides = []
+        for _ in range(2):
+            cuts = [np.unique(np.append(rng.integers(1, n + 1, 12), n)) for n in lengths.tolist()]
+            sizes = [np.diff(np.append(0, c)) for c in cuts]
+            sides.append(alignment._tokens(sizes, np.arange(41), base))
+        a, b = sides
+        one, two = (list(zip(x["start"], x["end"])) for x in sides)
+        want = [(i, j) for i, x in enumerate(one) for j, y in enumerate(two) if max(x[0], y[0]) < min(x[1], y[1])]
+        assert list(zip(*(x.tolist() for x in alignment.overlaps(a, b)))) == want
+        both = sorted({x[1] for x in one} & {y[1] for y in two})
+        group_a, group_b, doc_of = alignment._in_groups(a, b)
+        for group, ranges in ((group_a, one), (group_b, two)):
+            assert group.tolist() == [sum(e < r[1] for e in both) for r in ranges]
+        assert doc_of.tolist() == [int(np.searchsorted(base + lengths, e)) for e in both]
+
+
 @pytest.mark.parametrize("common", [0, 50, alignment.COMMON_PAIRS])
 def test_alignment_of_odd_texts(spark, common):
     rng = random.Random(common)

@@ -74,6 +74,11 @@ def _tokens(ids: list[np.ndarray], sizes: np.ndarray, base: np.ndarray) -> pd.Da
     )
 
 
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    """The different numbers of an array in order. ``np.unique`` would hash and sort them."""
+    return ordered[np.append(True, ordered[1:] != ordered[:-1])] if len(ordered) else ordered
+
+
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of all pairs whose ranges overlap, each pair once, in order."""
 
@@ -91,16 +96,21 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
             from_b["token_other"].to_numpy(np.int64) * width + from_b["token"].to_numpy(np.int64),
         ]
     )
-    pairs = np.unique(pairs)
-    return pairs // width, pairs % width
+    # Two runs in order, which a stable sort merges.
+    pairs = _distinct(np.sort(pairs, kind="stable"))
+    token_a = pairs // width
+    return token_a, pairs - token_a * width
 
 
 def _in_groups(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The group of every token of each side, and the document of every group. Both sides
     of a document end together, so groups never reach over documents."""
-    both = np.intersect1d(a["end"].to_numpy(), b["end"].to_numpy())
-    group_a = np.searchsorted(both, a["end"].to_numpy())
-    group_b = np.searchsorted(both, b["end"].to_numpy())
+    end_a, end_b = a["end"].to_numpy(), b["end"].to_numpy()
+    # Ends are in order on each side.
+    at = np.minimum(np.searchsorted(end_b, end_a), max(0, len(end_b) - 1))
+    both = _distinct(end_a[end_b[at] == end_a])
+    group_a = np.searchsorted(both, end_a)
+    group_b = np.searchsorted(both, end_b)
     doc = np.zeros(len(both), np.int64)
     doc[group_a] = a["doc"].to_numpy()
     return group_a, group_b, doc
@@ -116,7 +126,7 @@ def _written(
     last_b = np.append(np.diff(group_b) != 0, True) if len(b) else np.zeros(0, bool)
     code = np.concatenate([a * 2 + last_a, b * 2 + last_b + len(names[0])])[order]
     table = names[0] + names[1]
-    return [table[c] for c in code.tolist()]
+    return list(map(table.__getitem__, code.tolist()))
 
 
 _ROW = (
@@ -138,7 +148,7 @@ def _aligned(texts: list[str], one: Encoder, two: Encoder, sizes, names) -> list
         said = (" " + text).encode("utf-8")
         found = [c[0][at] for c in coded]
         # Texts that either side does not give back byte for byte have no tokens.
-        if text and all(b"".join([c[1][i] for i in f]) == said for c, f in zip(coded, found)):
+        if text and all(b"".join(map(c[1].__getitem__, f)) == said for c, f in zip(coded, found)):
             used.append(at)
             for side, f in zip(ids, found):
                 side.append(np.array(f, np.int64))
