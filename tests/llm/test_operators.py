@@ -149,6 +149,46 @@ def test_pseudo_likelihood_sums_all_tokens(spark):
     assert pseudo_likelihood.score_corpus(plain.no_documents(spark)).count() == 0
 
 
+def test_pseudo_likelihood_gives_every_word_its_probability(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "KNOWN_WORDS", 8)
+    monkeypatch.setattr(pseudo_likelihood, "LISTED_WORDS", 60, raising=False)
+    said = [f"w{i}" for i in range(300) for _ in range(1 + i % 7)]
+    random.Random(3).shuffle(said)
+    docs = spark.createDataFrame(
+        [(i, " ".join(said[i::40])) for i in range(40)], "doc_id long, text string"
+    )
+    vocabulary = pseudo_likelihood.build_vocabulary(docs)
+    flat = pseudo_likelihood.train_network(docs, vocabulary)
+    alone = spark.createDataFrame([(i, f"w{i}") for i in range(300)], "doc_id long, text string")
+    scored = pseudo_likelihood.score_documents(alone, vocabulary, flat).collect()
+    each = {r.doc_id: r.log_likelihood for r in scored}
+    # Whether known, listed or counted in the table only: all words there are, and nothing else.
+    assert abs(sum(math.exp(x) for x in each.values()) - 1) < 1e-3
+    count = Counter(said)
+    kept = {w.decode(): vocabulary.ids[w] for w in vocabulary.ids}
+    assert len(kept) == 60 and max(count[f"w{i}"] for i in range(300) if f"w{i}" not in kept) > 1
+    known = math.isqrt(len(said))
+    assert len(vocabulary.class_of) == known + known // 16
+    # Two words of one shared token differ by how often they were counted.
+    by_token = {}
+    for i in range(300):
+        if kept.get(f"w{i}", known) >= known:
+            by_token.setdefault(int(pseudo_likelihood.token_ids(f"w{i}", vocabulary)[0]), []).append(i)
+    for of_token in by_token.values():
+        bases = [each[i] - math.log(count[f"w{i}"]) for i in of_token]
+        assert max(bases) - min(bases) < 1e-5
+    # A text is the sum over its words, repeats included.
+    network = pseudo_likelihood.Network(vocabulary, flat)
+    text = docs.where("doc_id = 5").first().text
+    ids = pseudo_likelihood.token_ids(text, vocabulary)
+    around = pseudo_likelihood.windows(ids, np.array([len(ids)]), vocabulary.size - 1)
+    border = np.full((4, len(ids)), vocabulary.size - 1)
+    want = (network.log_probabilities(around, ids) - network.log_probabilities(border, ids)).sum()
+    want += sum(each[int(w[1:])] for w in text.split())
+    got = pseudo_likelihood.score_documents(docs.where("doc_id = 5"), vocabulary, flat).first()
+    assert abs(got.log_likelihood - want) < 1e-3
+
+
 # --- 4 ---
 
 
