@@ -353,6 +353,33 @@ def test_no_text_is_shuffled_for_keywords(spark, monkeypatch):
     assert sorted(map(tuple, far.collect())) == want
 
 
+def test_ranks_leave_their_rows_alone(spark, monkeypatch):
+    from textloom.operators import keywords as K
+    from textloom.plans.keywords import keyword_ranks
+    from textloom.session import stash
+
+    docs = zipf_corpus(spark).select("doc_id", "content")
+    # Ids that repeat, with other texts, and null ids are ranked together.
+    twice = docs.where("doc_id % 3 = 0")
+    docs = docs.unionByName(twice.selectExpr("doc_id + 1 AS doc_id", "content"))
+    docs = docs.unionByName(twice.selectExpr("CAST(null AS long) AS doc_id", "content"))
+    docs = stash(docs.selectExpr("CAST(doc_id AS long) AS doc_id", "content"), "ranked-test")
+    counted = stash(K.count_terms(K.preprocess(docs)), "counted-test")
+    n, tf = counted.count(), K.term_freq(counted)
+    vocabulary = stash(K.doc_freq(tf, n), "vocabulary-test")
+    plain = K.top_keywords(tf.join(vocabulary, "term"), n)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r["rank"])
+    want = sorted(plain.collect(), key=key)
+    found = keyword_ranks(docs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "MapInArrow" in plan
+    assert sorted(found.collect(), key=key) == want
+    sizes = (vocabulary.count() // 2, 3, 0)
+    for rows in sizes:
+        monkeypatch.setattr(K, "BROADCAST_ROWS", rows)
+        assert sorted(keyword_ranks(docs).collect(), key=key) == want
+
+
 def test_ranks_in_place_by_plain_python():
     import numpy as np
     import pyarrow as pa

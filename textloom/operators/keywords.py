@@ -1,16 +1,19 @@
 """TF-IDF keywords over a corpus of ``doc_id, content`` rows.
 
 Counting terms inside a document is row-local. One partial count per term and task is
-shuffled for the document frequencies. ``rank_in_place`` shuffles nothing more; ranking by
-joins shuffles at most ten candidate terms per document and task, and of the term table the
+shuffled for the document frequencies. ``rank_in_place`` shuffles nothing more;
+``ranks_by_document`` shuffles the ten best terms of each row, and of the term table the
 rows of uncommon terms when the vocabulary is too large to broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ from textloom.session import BROADCAST_BYTES, bound_batches, bytes_of, stash
 
 #: At most this many vocabulary rows are broadcast (some 100 MB as a hash table).
 BROADCAST_ROWS = 1_000_000
+#: Term counts that are looked up at once: a lookup begins by hashing the whole vocabulary.
+BYTES_AT_ONCE = 32 << 20
 
 
 def preprocess(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
@@ -148,10 +153,12 @@ def top_keywords(
     Scaling a document does not reorder its terms, so it is left out. The rank
     limit is applied before the shuffle as well as after it.
     """
+    return _ranked(joined.select("doc_id", "term", _weight(n_docs).alias("weight")), top)
+
+
+def _ranked(weighted: DataFrame, top: int) -> DataFrame:
     best_first = Window.partitionBy("doc_id").orderBy(F.col("weight").desc(), F.col("term").desc())
-    ranked = joined.select("doc_id", "term", _weight(n_docs).alias("weight")).withColumn(
-        "rank", F.row_number().over(best_first)
-    )
+    ranked = weighted.withColumn("rank", F.row_number().over(best_first))
     return ranked.where(F.col("rank") <= top).select("doc_id", "rank", "term", "weight")
 
 
@@ -182,13 +189,8 @@ def rank_in_place(
     leaves its own: neither texts nor counts are shuffled. The weight of a term is worked out
     by Spark, as for the join, so both ways give the same numbers.
     """
-    spark = counted.sparkSession
-    bound_batches(spark)
-    weighted = vocabulary.select("term", _idf(n_docs).alias("idf")).orderBy("term").toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, weighted.schema) as writer:
-        writer.write_table(weighted)
-    sent = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    bound_batches(counted.sparkSession)
+    sent = _send(vocabulary, n_docs)
 
     @F.arrow_udf("array<string>")
     def best(found: pa.Array) -> pa.Array:
@@ -198,21 +200,100 @@ def rank_in_place(
     return counted.withColumn("keywords", best(F.col(counts))).drop(counts)
 
 
+def _send(vocabulary: DataFrame, n_docs: int) -> Broadcast:
+    """``term, idf`` sorted by term, as an Arrow stream in a broadcast."""
+    spark = vocabulary.sparkSession
+    weighted = vocabulary.select("term", _idf(n_docs).alias("idf")).orderBy("term").toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, weighted.schema) as writer:
+        writer.write_table(weighted)
+    return spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+
+
 def best_terms(counts: pa.Array, known: pa.Table, top: int) -> pa.Array:
     """The ``top`` terms of each list of ``term, tf``, heaviest first and ties by term, last
     first. ``known`` has ``term, idf`` sorted by term."""
+    best, _ = _best(counts, known, top)
+    return pa.ListArray.from_arrays(best.offsets, best.values.field("term"))
+
+
+def _best(counts: pa.Array, known: pa.Table, top: int) -> tuple[pa.Array, pa.Array]:
+    """Lists of ``term, weight`` as of ``best_terms``, and of the ``term, tf`` not ``known``."""
     lengths = pc.fill_null(pc.list_value_length(counts), 0).to_numpy(zero_copy_only=False)
     each = counts.flatten()
     terms = known.column("term").combine_chunks()
     at = pc.fill_null(pc.index_in(pc.struct_field(each, "term"), value_set=terms), -1)
     at = at.to_numpy(zero_copy_only=False)
     keep = at >= 0
-    row, at = np.repeat(np.arange(len(counts)), lengths)[keep], at[keep]
+    rows = np.repeat(np.arange(len(counts)), lengths)
+    rest = _lists(each.filter(pa.array(~keep)), rows[~keep], len(counts))
+    row, at = rows[keep], at[keep]
     tf = pc.struct_field(each, "tf").to_numpy(zero_copy_only=False)[keep]
     weight = tf * known.column("idf").to_numpy()[at]
     order = np.lexsort((-at, -weight, row))
-    row, at = row[order], at[order]
+    row, at, weight = row[order], at[order], weight[order]
     first = np.searchsorted(row, np.arange(len(counts)))
     best = np.arange(len(row)) - first[row] < top
-    bounds = np.searchsorted(row[best], np.arange(len(counts) + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(bounds), terms.take(pa.array(at[best])))
+    found = pa.StructArray.from_arrays(
+        [terms.take(pa.array(at[best])), pa.array(weight[best])], names=["term", "weight"]
+    )
+    return _lists(found, row[best], len(counts)), rest
+
+
+def _lists(values: pa.Array, row: np.ndarray, rows: int) -> pa.Array:
+    bounds = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), values)
+
+
+def ranks_by_document(
+    counted: DataFrame, vocabulary: DataFrame, n_docs: int, top: int = fixed.KEYWORDS_PER_DOC
+) -> DataFrame:
+    """``top_keywords`` of ``counted`` (``doc_id, counts``) for a written vocabulary.
+
+    Terms of the vocabulary, or of its most common part if it is too large to broadcast, are
+    ranked in their row: only ``top`` of them leave it. The rows of all other terms meet the
+    rest of the vocabulary by a shuffle, and the best of both are ranked by ``doc_id``.
+    """
+    rows, fit = _room(vocabulary)
+    common, rare = vocabulary, None
+    if rows > fit:
+        cutoff = _common_from(vocabulary, fit)
+        if cutoff is None:
+            tf = term_freq(counted)
+            return top_keywords(tf.join(vocabulary, "term"), n_docs, top)
+        common, rare = (vocabulary.where(c) for c in (F.col("df") >= cutoff, F.col("df") < cutoff))
+    bound_batches(counted.sparkSession)
+    sent, whole = _send(common, n_docs), rare is None
+    kinds = {f.name: f.dataType.simpleString() for f in counted.schema.fields}
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.ipc.open_stream(sent.value).read_all().combine_chunks()
+        for held in _gathered(batches):
+            best, rest = _best(held.column("counts"), known, top)
+            columns = [held.column("doc_id"), best] if whole else [held.column("doc_id"), best, rest]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "best", "rest"][:len(columns)])
+
+    schema = f"doc_id {kinds['doc_id']}, best array<struct<term:string,weight:double>>"
+    schema += "" if whole else f", rest {kinds['counts']}"
+    found = counted.select("doc_id", "counts").mapInArrow(rank, schema)
+    if not whole:
+        found = stash(found, "best-terms")
+    candidates = found.select("doc_id", F.inline("best"))
+    if not whole:
+        others = explode_structs(found, "rest", ["doc_id"]).join(rare, "term")
+        others = others.select("doc_id", "term", _weight(n_docs).alias("weight"))
+        candidates = candidates.unionByName(others)
+    return _ranked(candidates, top)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined to some of about ``BYTES_AT_ONCE``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BYTES_AT_ONCE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)

@@ -23,13 +23,14 @@ def keyword_ranks(
     """``doc_id, rank, term, weight`` of each document's best terms.
 
     Term counts serve the document frequencies and the ranking, so they are
-    written once: tokenizing the corpus twice costs more than reading them back.
+    written once: tokenizing the corpus twice costs more than reading them back. Terms are
+    ranked in their row, and only the best leave it.
     """
     counted = stash(K.count_terms(K.preprocess(docs, language_model)), "term-counts")
     n_docs = counted.count()
     tf = K.term_freq(counted)
-    joined = K.join_vocabulary(tf, K.doc_freq(tf, n_docs, min_df, max_share))
-    return K.top_keywords(joined, n_docs, top)
+    vocabulary = stash(K.doc_freq(tf, n_docs, min_df, max_share), "vocabulary")
+    return K.ranks_by_document(counted, vocabulary, n_docs, top)
 
 
 def enrich_documents(
@@ -48,11 +49,12 @@ def enrich_documents(
     """
     rows = stash(K.with_counts(docs.drop("keywords"), _COUNTS, language_model), "counted-documents")
     n_docs = rows.count()
-    tf = K.term_freq(rows.select("doc_id", F.col(_COUNTS).alias("counts")))
+    counted = rows.select("doc_id", F.col(_COUNTS).alias("counts"))
+    tf = K.term_freq(counted)
     vocabulary = stash(K.doc_freq(tf, n_docs, min_df, max_share), "vocabulary")
     if K.fits_broadcast(vocabulary):
         return K.rank_in_place(rows, _COUNTS, vocabulary, n_docs, top)
-    ranks = K.top_keywords(K.join_vocabulary(tf, vocabulary), n_docs, top)
+    ranks = K.ranks_by_document(counted, vocabulary, n_docs, top)
     return K.attach_keywords(rows.drop(_COUNTS), K.doc_keywords(ranks))
 
 
