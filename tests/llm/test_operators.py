@@ -3,6 +3,7 @@
 import math
 import re
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -295,6 +296,67 @@ def test_line_dedup_large_group_of_near_copies(spark):
     assert got == plain.removed_lines(rows)
 
 
+def _odd_lines(rng, count):
+    """Lines of common and rare words, some near copies of others."""
+    rare = [f"r{i}" for i in range(300)]
+    lines = []
+    for _ in range(count):
+        if lines and rng.random() < 0.5:
+            line = list(rng.choice(lines))
+            for _ in range(rng.randint(0, 3)):
+                line[rng.randrange(len(line))] = rng.choice(rare)
+        else:
+            line = [f"c{i}" for i in range(rng.choice([1, 3, 6, 9]))] + rng.sample(rare, rng.choice([0, 1, 4, 30, 80]))
+        rng.shuffle(line)
+        lines.append(line[: max(1, len(line) - rng.randint(0, 2))])
+    return [" ".join(line) for line in lines]
+
+
+def test_line_dedup_common_words(spark, monkeypatch):
+    """Sets meet by a class of lengths or a second word where a word is common, with and
+    without leaders; what is removed stays the same."""
+    rng = random.Random(3)
+    lines = _odd_lines(rng, 500)
+    rows = [(d, "\n".join(lines[d * 5 : d * 5 + 5])) for d in range(100)]
+    gone = plain.removed_lines(rows)
+    assert len(gone) > 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for common, crowd, share in (((1, 3), 64, 1), ((1, 10**9), 64, 1), ((0, 0), 64, 1), ((1, 3), 1, 0), ((1, 10**9), 1, 0)):
+        monkeypatch.setattr(line_dedup, "COMMON", common)
+        monkeypatch.setattr(line_dedup, "CROWD", crowd)
+        monkeypatch.setattr(line_dedup, "PAIRS_A_LINE", share)
+        got = {(r.doc_id, i) for r in line_dedup.dedup_lines(docs).collect() for i in r.removed}
+        assert got == gone, (common, crowd)
+
+
+def test_line_dedup_common_word_does_not_join_all(spark, monkeypatch):
+    """Sets that share a common word meet those of their length only, or fewer."""
+    rows = [(d, " ".join(["all", *[f"w{d}x{i}" for i in range(4 + d % 200)]])) for d in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = [1] * line_dedup.BUCKETS  # the common word first, so that it is in every prefix
+    order[spark.sql("SELECT xxhash64('all')").first()[0] % line_dedup.BUCKETS] = 0
+    classes = line_dedup.stash(spark.createDataFrame([(order,)], "classes array<tinyint>"), "t")
+    leads = line_dedup.lead_sets(line_dedup.line_sets(docs, classes))
+    met = []
+    for common in ((10**9, 10**9), (50, 10**9), (50, 50)):
+        monkeypatch.setattr(line_dedup, "COMMON", common)
+        smaller, larger = line_dedup._met_rows(leads, None, None)
+        met.append(smaller.select("key").join(larger.select("key"), "key").count() - smaller.count())
+    assert met[0] > 4 * met[1] and met[0] > 100 * met[2]
+
+
+def test_line_dedup_cuts_a_long_text_once(spark):
+    """A text of many lines, some of them removed: time grows with its lines, not their square."""
+    lines = [f"a{i} b{i} c{i} d{i}" for i in range(20_000)]
+    rows = [(1, "\n".join([*lines, *lines[:100], *(f"e{i} f{i} g{i}" for i in range(20_000))]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.monotonic()
+    got = line_dedup.dedup_lines(docs).collect()[0]
+    assert (got.n_lines, got.n_removed) == (40_100, 100) and got.removed[0] == 20_000
+    assert got.text.count("\n") == 39_999
+    assert time.monotonic() - began < 30
+
+
 # --- 6 ---
 
 

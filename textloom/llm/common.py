@@ -33,6 +33,15 @@ def plain_words(text: Column | str) -> Column:
     return F.split(text, " ")
 
 
+def words_between_blanks(line: Column | str) -> Column:
+    """``plain_words`` of a text without line feeds, which is seldom written anew."""
+    line = F.col(line) if isinstance(line, str) else line
+    plain = line
+    for separator in "\t\x0b\f\r":
+        plain = F.replace(plain, F.lit(separator), F.lit(" "))
+    return F.split(F.when(line.rlike("[\t\x0b\f\r]"), plain).otherwise(line), " ")
+
+
 def cells_for(rows: int, per_cell: int = 20_000) -> int:
     """Cells that hold about ``per_cell`` rows each, so they grow in number, not size."""
     return max(8, math.ceil(rows / per_cell))

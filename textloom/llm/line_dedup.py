@@ -1,35 +1,45 @@
 """Line dedup: an exact set-similarity join of all lines, in SQL functions only.
 
 A line is the set of its words. Words are ordered by rarity; two sets with Jaccard
-similarity of at least ``t`` share a word among the first ``n - ceil(t n) + 1`` of each, so
-only those are joined. Rarity comes from a table of word counts by hash bucket, whose size
-is fixed; it only has to put all lines in one order, so buckets lose no pair. Pairs that
-share such a word are held to length and position limits and to a limit on a 128-bit parity
-sketch (which can differ in no more bits than the sets differ in words), then verified on
-the sets. A line similar to an earlier one, by (doc_id, line number), is removed; every line
-with a word takes part.
-
-A line needs one earlier match, not all of them: lines are first held against a few of the
-earliest lines that share a pair of rare words, and only those not settled so enter the join
-as the later side.
+similarity of at least ``t`` share a word among the first ``n - ceil(t n) + 1`` of the larger
+and the first ``n - ceil(2 t n / (1 + t)) + 1`` of the smaller, so only those are joined.
+Rarity comes from a table of word counts by hash bucket, whose size is fixed; it only has to
+put all lines in one order, so buckets lose no pair. Pairs that share such a word are held to
+length and position limits and to a limit on a parity sketch (which can differ in no more
+bits than the sets differ in words), then verified on the sets. A line similar to an earlier
+one, by (doc_id, line number), is removed; every line with a word takes part.
+
+A word that many prefixes share would join each of its sets to all others. Sets meet by such a
+word and their class of lengths, and by a very common one and the word that follows it among
+those they share. Where many sets are near copies of each other, a line needs one earlier match,
+not all of them: lines are first held against a few of the earliest lines that share a pair
+of rare words, and those settled so enter the join as the earlier side only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import plain_words
+from textloom.llm.common import words_between_blanks
 from textloom.session import bytes_of, stash
 
 #: Similarity as a fraction, so that limits are whole-number arithmetic.
 SIMILAR = (4, 5)
 #: Buckets of the word counts.
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 #: A list of documents up to this many bytes on disk is broadcast, a larger one shuffled.
 BROADCAST_BYTES = 32 << 20
 #: Pairs of rare words by which a line meets leaders, and leaders of each pair.
 RUNS, LEADERS = 3, 8
+#: Near copies above which a group of them is counted as large, and the pairs of such copies
+#: for a line above which lines are held against leaders first.
+CROWD, PAIRS_A_LINE = 64, 1
+#: Prefixes that share a word: above the first number sets meet by class of lengths too,
+#: above the second by the next word.
+COMMON = (512, 4096)
 #: Stands for a null document id, and sorts first like one.
 NO_ID = -(1 << 63)
 
@@ -41,8 +51,9 @@ def _ceil_div(a: Column, b: int) -> Column:
 def rarity(docs: DataFrame) -> DataFrame:
     """One row: the occurrences of words by hash bucket, as an array of classes, four
     to a doubling."""
-    words = docs.select(F.explode(plain_words("text")).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("said"))
+    words = lines.select(F.explode(words_between_blanks("said")).alias("w"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(
         F.count("*").alias("n")
     )
     classed = counts.select("b", F.floor(F.log2(F.col("n") + 1) * 4).cast("byte").alias("c"))
@@ -61,96 +72,111 @@ def rarity(docs: DataFrame) -> DataFrame:
 _HASH = (1 << 56) - 1
 
 
-def _low_bits(hashed: Column) -> Column:
-    return hashed.bitwiseAND(F.lit(_HASH))
+def _packed(hashed: Column, classes: Column) -> Column:
+    """A word's hash as a number in order of rarity: seven bits of its count class before 56
+    bits of its hash."""
+    rank = F.get(classes, hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
+    packed = F.shiftleft(rank, 56).bitwiseOR(hashed.bitwiseAND(F.lit(_HASH)))
+    # Never null, and known to be so: arrays without nulls are sorted as plain numbers.
+    return F.coalesce(packed, F.lit(0).cast("long"))
 
 
-def _packed(word: Column, classes: Column) -> Column:
-    """A word as a number in order of rarity: seven bits of its count class before 56
-    bits of its hash."""
-    hashed = F.xxhash64(word)
-    rank = F.get(classes, F.pmod(hashed, F.lit(BUCKETS)).cast("int")).cast("long")
-    return F.shiftleft(rank, 56).bitwiseOR(_low_bits(hashed))
+def _parity(words: Column, of_bit: bool) -> Column:
+    """64 bits: bit b is set if an odd number of words fall there; with ``of_bit`` only
+    words whose next bit is set count."""
 
+    def bit(w: Column) -> Column:
+        one = F.shiftright(w, 6).bitwiseAND(F.lit(1).cast("long")) if of_bit else F.lit(1).cast("long")
+        return F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63)).cast("int"))
 
-def _parity(words: Column) -> Column:
-    """Two numbers of 64 bits: bit b of number k is set if an odd number of words fall there."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(bit(w)))
 
-    def half(k: int) -> Column:
-        def bit(w: Column) -> Column:
-            here = F.shiftright(w, 6).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(1 - k))
-            return F.call_function("shiftleft", here.cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
 
-        return F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(bit(w)))
+def _with_words(lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """``lines`` with ``words`` in place of ``said``: its distinct words as numbers in order
+    of rarity.
 
-    return F.struct(half(0).alias("lo"), half(1).alias("hi"))
+    ``classes`` is a bounded array of BUCKETS bytes, read in place of a join. It is a scalar
+    of the projection that packs the words: a column below a generator would be copied for
+    every line. The generator keeps later filters above it: below, all lines would be
+    packed and sorted twice.
+    """
+    others = [c for c in lines.columns if c != "said"]
+    hashed = F.array_distinct(F.transform(words_between_blanks("said"), lambda w: F.xxhash64(w)))
+    real = F.array_remove(hashed, F.xxhash64(F.lit("")))
+    packed = lines.select(*others, real.alias("real"), classes.scalar().alias("c")).select(
+        *others, F.transform("real", lambda h: _packed(h, F.col("c"))).alias("words")
+    )
+    return packed.select(*others, F.explode(F.array(F.sort_array("words"))).alias("words"))
 
 
-def _ordered_words(said: Column, classes: Column) -> Column:
-    """The distinct words of a line as numbers in order of rarity."""
-    packed = F.transform(plain_words(said), lambda w: _packed(w, classes))
-    return F.sort_array(F.array_distinct(F.array_remove(packed, _packed(F.lit(""), classes))))
+def _later_length(n: Column) -> Column:
+    """Words of a set of ``n`` of which it shares one with any similar set."""
+    up, down = SIMILAR
+    return n - _ceil_div(n * up, down) + 1
 
 
 def line_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """A row for each line of ``docs`` that has a word: where it is (``doc_id, text_hash,
     line``), its set (``s1, s2``, hashes of all words; ``n`` words; ``prefix``, its rarest
-    words in order; ``parity``)."""
-    up, down = SIMILAR
-    # ``classes`` is a bounded array of BUCKETS bytes, read in place of a join. It is a
-    # column of the documents, not of the lines: at most one copy is made for a document.
+    words in order and the one after them; ``parity``, and ``parity_of`` those with a bit set
+    where there are many)."""
+    # Nulls come first, as the smallest id.
     keyed = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), "text", classes.scalar().alias("c")
-    )
-    each = F.transform(
-        F.split("text", "\n"),
-        lambda said: F.transform(plain_words(said), lambda w: _packed(w, F.col("c"))),
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     )
-    lines = keyed.select(
-        "doc_id", "text_hash", F.xxhash64(F.lit("")).alias("nothing"), F.posexplode(each).alias("line", "words"),
-    )
-    # Sorted outside of the lambda, where numbers are sorted as such. The second explode
-    # keeps the filter above it: below, all lines would be sorted twice.
-    empty = _low_bits(F.col("nothing"))
-    real = F.filter("words", lambda w: w.bitwiseAND(F.lit(_HASH)) != empty)
-    lines = lines.select(
-        "doc_id", "text_hash", "line",
-        F.explode(F.array(F.sort_array(F.array_distinct(real)))).alias("words"),
-    )
-    lines = lines.withColumn("n", F.size("words")).where("n > 0")
-    length = F.col("n") - _ceil_div(F.col("n") * up, down) + 1
+    lines = keyed.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line", "said"))
+    lines = _with_words(lines, classes).withColumn("n", F.size("words")).where("n > 0")
     # 31 bits of a prefix word are enough to meet by: what meets by chance is not similar.
     short = lambda w: w.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
     return lines.select(
-        # Nulls come first, as the smallest id.
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text_hash", "line",
-        F.xxhash64("words").alias("s1"), F.hash("words").alias("s2"), "n",
-        F.transform(F.slice("words", 1, length), short).alias("prefix"),
-        _parity(F.col("words")).alias("parity"),
+        "doc_id", "text_hash", "line", F.xxhash64("words").alias("s1"), F.hash("words").alias("s2"), "n",
+        F.transform(F.slice("words", 1, _later_length(F.col("n")) + 1), short).alias("prefix"),
+        _parity(F.col("words"), False).alias("parity"),
+        F.when(F.col("n") > _MANY, _parity(F.col("words"), True)).otherwise(F.lit(0).cast("long")).alias("parity_of"),
     )
 
 
-def lead_sets(sets: DataFrame) -> DataFrame:
-    """Each set once, with its earliest line: ``at`` is ``doc_id, line``. Sets that begin
-    at the same place of documents with one id are told apart by ``s1``."""
-    first = F.min(F.struct("doc_id", "line", "n", "parity", "prefix")).alias("lead")
-    led = sets.groupBy("s1", "s2").agg(first)
+#: Words of a set above which its sketch has twice the bits.
+_MANY = 64
+
+
+def repeated_sets(sets: DataFrame) -> DataFrame:
+    """Sets of several lines, each with its earliest line."""
+    often = sets.groupBy("s1", "s2").agg(F.count("*").alias("lines")).where("lines > 1").select("s1", "s2")
+    often = _small_or_shuffled(often, "line-often")
+    first = F.min(F.struct("doc_id", "line", "n", "parity", "parity_of", "prefix")).alias("lead")
+    led = sets.join(often, ["s1", "s2"], "left_semi").groupBy("s1", "s2").agg(first)
     return led.select("s1", "s2", "lead.*")
 
 
+def lead_sets(sets: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Each set once, with its earliest line. Sets that begin at the same place of documents
+    with one id are told apart by ``s1``."""
+    repeated = stash(repeated_sets(sets), "line-repeated") if repeated is None else repeated
+    known = repeated.select("s1", "s2")
+    small = bytes_of(repeated) <= BROADCAST_BYTES
+    once = sets.join(F.broadcast(known) if small else known, ["s1", "s2"], "left_anti")
+    leads = once.select(*repeated.columns).unionByName(repeated)
+    return leads if small else stash(leads, "line-leads")
+
+
 def _earlier(a: str, b: str) -> Column:
     place = lambda x: F.struct(f"{x}.doc_id", f"{x}.line", f"{x}.s1")
     return place(a) < place(b)
 
 
-def _may_be_similar(n: Column, m: Column, left: Column | None = None) -> Column:
-    """Length, parity and, with at most ``left`` words in common, position limits."""
+def _may_be_similar(n: Column, m: Column) -> Column:
+    """Length and parity limits of sets of ``n`` and ``m`` words, n the smaller: they share
+    ``t (n + m) / (1 + t)`` words at least, so they differ in the rest."""
     up, down = SIMILAR
-    overlap = _ceil_div((n + m) * up, up + down)
-    bits = [F.bit_count(F.col(f"a.parity.{k}").bitwiseXOR(F.col(f"b.parity.{k}"))) for k in ("lo", "hi")]
-    differ = bits[0] + bits[1]
-    near = (n * down >= m * up) & (m * down >= n * up) & (differ <= n + m - 2 * overlap)
-    return near if left is None else near & (left >= overlap)
+    odd = [F.col(f"{x}.parity").bitwiseXOR(F.col(f"{x}.parity_of")) for x in "ab"]
+    bits = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    more = F.bit_count(odd[0].bitwiseXOR(odd[1])) + F.bit_count(
+        F.col("a.parity_of").bitwiseXOR(F.col("b.parity_of"))
+    )
+    differ = F.when((n > _MANY) & (m > _MANY), more).otherwise(bits)
+    return (n * down >= m * up) & (m * down >= n * up) & (differ * (up + down) <= (n + m) * (down - up))
 
 
 _PAIR = ["first_doc", "first_line", "first_s1", "later_doc", "later_line", "later_s1"]
@@ -163,61 +189,155 @@ def _pair(a: str, b: str) -> list[Column]:
     ]
 
 
+def near_copies(leads: DataFrame) -> int:
+    """About how many pairs of sets are near copies in large groups: of sets whose prefixes
+    have the same least and greatest word, by hash."""
+    prefix = F.slice("prefix", 1, _later_length(F.col("n")))
+    ends = leads.select(F.xxhash64(F.array_min(prefix), F.array_max(prefix)).alias("ends"))
+    size = ends.groupBy("ends").agg(F.count("*").alias("size")).where(F.col("size") > CROWD)
+    return size.agg(F.sum(F.col("size") * F.col("size"))).first()[0] or 0
+
+
 def _pairs_of_words(prefix: str) -> Column:
-    """``RUNS`` pairs of neighbours in a prefix, chosen by hash: a word put in or taken out
-    changes at most two pairs, and near copies choose the same of the others."""
+    """``RUNS`` pairs of neighbours in a run of words, chosen by hash: a word put in or taken
+    out changes at most two pairs, and near copies choose the same of the others."""
     ends = [F.expr(f"slice({prefix}, {k}, size({prefix}) - 1)") for k in (1, 2)]
     each = F.zip_with(*ends, lambda x, y: F.xxhash64(x, y))
     return F.slice(F.sort_array(F.array_distinct(each)), 1, RUNS)
 
 
 def pairs_with_leaders(leads: DataFrame) -> DataFrame:
-    """Pairs of sets with the earliest ones that share two rare words in a row.
+    """Pairs of sets with the earliest ones that share two rare words in a row, where such
+    sets are many.
 
     The sets of a pair of words are dealt by hash into ``LEADERS`` parts, and each meets the
     earliest set of every part: at most ``RUNS * LEADERS`` pairs a set, however many sets are
     alike. In a group of near copies the earliest one may itself be far from the others, but
     hardly all the leaders, so nearly every line is settled here and never meets all others.
     """
-    rows = leads.select(
-        "doc_id", "line", "s1", "n", "parity", F.explode(_pairs_of_words("prefix")).alias("run")
+    # What one copy has of its own is rarer than what many share: the later half holds these.
+    length = _later_length(F.col("n"))
+    half = F.floor(length / 2).cast("int")
+    rows = leads.withColumn("prefix", F.slice("prefix", F.greatest(half, F.lit(1)), length - half + 1)).select(
+        "doc_id", "line", "s1", "n", "parity", "parity_of", F.explode(_pairs_of_words("prefix")).alias("run")
     )
-    often = rows.groupBy("run").agg(F.count("*").alias("size")).where("size > 1").select("run")
-    shared = stash(rows.join(often.hint("merge"), "run"), "line-runs")
+    often = rows.groupBy("run").agg(F.count("*").alias("size")).where(F.col("size") > LEADERS)
+    often = _small_or_shuffled(often.select("run"), "line-crowds")
+    shared = stash(rows.join(often, "run"), "line-runs")
     part = F.pmod(F.xxhash64("s1"), F.lit(LEADERS))
     first = shared.groupBy("run", part.alias("part")).agg(
-        F.min(F.struct("doc_id", "line", "s1", "n", "parity")).alias("b")
+        F.min(F.struct("doc_id", "line", "s1", "n", "parity", "parity_of")).alias("b")
     ).select("run", "b.*")
     met = shared.alias("a").join(first.hint("merge").alias("b"), F.col("a.run") == F.col("b.run"))
     near = _may_be_similar(F.col("a.n"), F.col("b.n"))
     return met.where(_earlier("b", "a") & near).select(*_pair("b", "a")).distinct()
 
 
-def candidates(leads: DataFrame, gone: DataFrame) -> DataFrame:
+def common_words(leads: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """``word, sets``: words that more than ``COMMON[0]`` prefixes share. With ``classes``
+    only words whose bucket occurs as often are counted."""
+    words = leads.select(F.explode(F.slice("prefix", 1, _later_length(F.col("n")))).alias("word"))
+    if classes is not None:
+        # The class of a count above the limit is not below the limit's.
+        words = words.select("word", classes.scalar().alias("c")).where(
+            F.get("c", F.col("word").bitwiseAND(F.lit(BUCKETS - 1))) >= int(math.log2(COMMON[0] + 1) * 4)
+        )
+    return words.groupBy("word").agg(F.count("*").alias("sets")).where(F.col("sets") > COMMON[0])
+
+
+def _class(n: Column) -> Column:
+    """Lengths of sets that may be similar, five to four at most, are of one class or of two
+    neighbours."""
+    return F.floor(F.log(n) / F.log(F.lit(1.3)))
+
+
+def _met_rows(leads: DataFrame, gone: DataFrame | None, classes: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """``key, at, s1, parity, parity_of, open`` of the sets as the smaller and as the larger
+    side of a pair; two similar sets share a key. ``at``: length of the set before the place
+    in it from which a pair shares all but one of its words at most.
+
+    The key is a word of the prefix, or what ``COMMON`` adds to it. If the first word that two
+    sets share is common, they share another after it, at most one place beyond the prefix.
+    Two settled sets share no key with a common word.
+    """
+    common = stash(common_words(leads, classes), "line-common")
+    some = common.count() > 0
+    common = F.broadcast(common) if bytes_of(common) <= BROADCAST_BYTES else common
+    # Distinct sets of three words or fewer are never similar.
+    known = leads.where("n > 3").select("s1", "n", "prefix", "parity", "parity_of")
+    if gone is None:
+        known = known.withColumn("open", F.lit(1))
+    else:
+        settled = F.broadcast(gone) if bytes_of(gone) <= BROADCAST_BYTES else gone
+        known = known.join(settled.select("s1", F.lit(0).alias("open")), "s1", "left")
+        known = known.withColumn("open", F.coalesce("open", F.lit(1)))
+    carried = ["s1", "n", "parity", "parity_of", "open"]
+
+    def side(smaller: bool) -> DataFrame:
+        up, down = SIMILAR
+        n, i = F.col("n"), F.col("i")
+        length = n - _ceil_div(n * 2 * up, up + down) + 1 if smaller else _later_length(n)
+        cut = F.slice("prefix", 1, length)
+        rows = known.select(*carried, F.posexplode(cut).alias("i", "word"))
+        if some:
+            rows = rows.join(common.select("word"), "word", "left_anti")
+        rows = rows.select(*carried, "i", F.col("word").cast("long").alias("key"))
+        if some:
+            hot = known.select(*carried, "prefix", F.posexplode(cut).alias("i", "word")).join(common, "word")
+            own = F.xxhash64("word", _class(n))
+            by_class = F.array(own) if smaller else F.array(own, F.xxhash64("word", _class(n) - 1))
+            rest = F.slice("prefix", i + 2, F.greatest(length - i, F.lit(0)))
+            by_next = F.transform(rest, lambda w: F.xxhash64(F.col("word"), w))
+            many = F.col("sets") > COMMON[1]
+            keys = F.posexplode(F.when(many, by_next).otherwise(by_class)).alias("k", "key")
+            hot = hot.select(*carried, "i", many.alias("many"), keys)
+            hot = hot.withColumn("i", F.when(F.col("many"), i + F.col("k")).otherwise(i)).select(*rows.columns)
+            if gone is not None:
+                # Open with open, open as the smaller with settled, open as the larger with settled.
+                tags = ([0, 1], [2]) if smaller else ([0, 2], [1])
+                tags = [F.array(*[F.lit(t) for t in x]) for x in tags]
+                tagged = F.explode(F.when(F.col("open") == 1, tags[0]).otherwise(tags[1])).alias("tag")
+                hot = hot.select("*", tagged).withColumn("key", F.xxhash64("key", "tag")).drop("tag")
+            rows = rows.unionByName(hot)
+        at = F.shiftleft(n.cast("long"), 32).bitwiseOR(i.cast("long") * 2 + F.col("open"))
+        return rows.select("key", at.alias("at"), "s1", "parity", "parity_of")
+
+    return side(True), side(False)
+
+
+def candidates(
+    leads: DataFrame, gone: DataFrame | None = None, classes: DataFrame | None = None
+) -> DataFrame:
     """All pairs whose later set is not ``gone`` yet, that share a prefix word and pass
     all limits.
 
     With i and j the places of a shared word, at most ``min(n - i, m - j)`` words are
     shared from there on; similarity asks for ``ceil(t (n + m) / (1 + t))``.
     """
+    up, down = SIMILAR
+    smaller, larger = _met_rows(leads, gone, classes)
+    n, m = (F.shiftright(f"{x}.at", 32).cast("int") for x in "ab")
+    low = [F.col(f"{x}.at").bitwiseAND(F.lit((1 << 32) - 1)) for x in "ab"]
+    i, j = (F.shiftright(x, 1).cast("int") for x in low)
+    left = F.least(n - i, m - j)
+    ordered = (n < m) | ((n == m) & (F.col("a.s1") < F.col("b.s1")))
+    condition = (F.col("a.key") == F.col("b.key")) & ordered & _may_be_similar(n, m)
+    condition &= left * (up + down) >= (n + m) * up
+    if gone is not None:
+        condition &= low[0].bitwiseOR(low[1]).bitwiseAND(F.lit(1)) == 1
+    met = smaller.hint("merge").alias("a").join(larger.alias("b"), condition)
+    met = stash(met.select(F.col("a.s1").alias("x"), F.col("b.s1").alias("y")).distinct(), "line-met")
+    wanted = met.select(F.explode(F.array("x", "y")).alias("s1")).distinct()
+    places = leads.select("doc_id", "line", "s1").join(_small_or_shuffled(wanted, "line-met-sets"), "s1", "left_semi")
+    places = _small_or_shuffled(places, "line-met-places")
+    both = met.join(places.select(F.col("s1").alias("x"), F.struct("doc_id", "line", "s1").alias("a")), "x")
+    both = both.join(places.select(F.col("s1").alias("y"), F.struct("doc_id", "line", "s1").alias("b")), "y")
+    both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = both.select(*_pair("a", "b"))
+    if gone is None:
+        return pairs
     settled = F.broadcast(gone) if bytes_of(gone) <= BROADCAST_BYTES else gone
-    known = leads.join(settled.select(F.col("s1"), F.lit(0).alias("open")), "s1", "left")
-    # Both sides of the join are one exchange. Whether a set is open still is the last bit
-    # of ``m``, and is asked together with the other side: a filter on one side would make
-    # two exchanges of one.
-    rows = known.select(
-        "doc_id", "line", "s1", (F.col("n").cast("long") * 2 + F.coalesce("open", F.lit(1))).alias("m"),
-        "parity", F.posexplode("prefix").alias("i", "word"),
-    )
-    n, m = (F.shiftright(f"{x}.m", 1).cast("int") for x in "ab")
-    open_later = F.col("b.m").bitwiseAND(F.lit(1)) > F.shiftright("a.m", 62)
-    left = F.least(n - F.col("a.i"), m - F.col("b.i"))
-    met = rows.alias("a").join(
-        rows.hint("merge").alias("b"),
-        (F.col("a.word") == F.col("b.word")) & open_later & _earlier("a", "b")
-        & _may_be_similar(n, m, left),
-    )
-    return met.select(*_pair("a", "b")).distinct()
+    return pairs.join(settled.select(F.col("s1").alias("later_s1")), "later_s1", "left_anti").select(*_PAIR)
 
 
 def _small_or_shuffled(df: DataFrame, label: str) -> DataFrame:
@@ -234,19 +354,13 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     )
     wanted = stash(pairs.select(F.inline(ends)).distinct(), "line-wanted")
     in_docs = wanted.select("doc").distinct()
-    keyed = docs.select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text", classes.scalar().alias("c")
-    )
+    keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
     held = keyed.join(_small_or_shuffled(in_docs, "line-docs"), "doc", "left_semi")
-    said = held.select(
-        "doc",
-        F.posexplode(
-            F.transform(F.split("text", "\n"), lambda said: _ordered_words(said, F.col("c")))
-        ).alias("line", "words"),
-    ).withColumn("s1", F.xxhash64("words"))
+    said = held.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "said"))
+    said = said.join(_small_or_shuffled(wanted, "line-places"), ["doc", "line"])
+    said = _with_words(said, classes)
     # Documents that share an id hold several lines of one number: the set tells which.
-    places = _small_or_shuffled(wanted, "line-places")
-    said = said.join(places, ["doc", "line", "s1"], "left_semi").dropDuplicates(["doc", "line", "s1"])
+    said = said.where(F.xxhash64("words") == F.col("s1")).dropDuplicates(["doc", "line", "s1"])
     said = stash(said, "line-words")
 
     def words_at(end: str) -> DataFrame:
@@ -272,16 +386,21 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     docs = docs.drop("n_lines", "n_removed", "removed", "_d", "_key")
     classes = stash(rarity(docs), "line-rarity")
     sets = stash(line_sets(docs, classes), "line-sets")
-    leads = stash(lead_sets(sets), "line-leads")
-    near = stash(pairs_with_leaders(leads), "line-leaders")
-    gone = stash(verified(docs, classes, near), "line-settled")
-    pairs = stash(candidates(leads, gone), "line-candidates")
+    repeated = stash(repeated_sets(sets), "line-repeated")
+    leads = lead_sets(sets, repeated)
+    gone = None
+    # Few near copies make no more pairs than there are lines: those are verified at once.
+    if near_copies(leads) > PAIRS_A_LINE * sets.count():
+        near = stash(pairs_with_leaders(leads), "line-leaders")
+        gone = stash(verified(docs, classes, near), "line-settled")
+    pairs = stash(candidates(leads, gone, classes), "line-candidates")
     later = verified(docs, classes, pairs)
-    similar = stash(gone.unionByName(later).distinct(), "line-similar")
-    flagged = leads.select("s1", "s2", F.struct("doc_id", "line").alias("at")).join(
-        similar.withColumn("similar", F.lit(True)), "s1", "left"
-    )
-    lines = sets.select("s1", "s2", "doc_id", "text_hash", "line").join(flagged, ["s1", "s2"])
+    similar = later if gone is None else gone.unionByName(later).distinct()
+    similar = _small_or_shuffled(similar.select("s1", F.lit(True).alias("similar")), "line-similar")
+    at = repeated.select("s1", "s2", F.struct("doc_id", "line").alias("at"))
+    at = F.broadcast(at) if bytes_of(repeated) <= BROADCAST_BYTES else at
+    lines = sets.select("s1", "s2", "doc_id", "text_hash", "line")
+    lines = lines.join(at, ["s1", "s2"], "left").join(similar, "s1", "left")
     out = lines.where(F.col("similar").isNotNull() | (F.struct("doc_id", "line") != F.col("at")))
     gone_lines = out.groupBy(F.struct("doc_id", "text_hash").alias("_d")).agg(
         F.sort_array(F.collect_set("line")).alias("removed")
@@ -298,8 +417,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         }
     ).withColumn("n_removed", F.size("removed").cast("long"))
     stay = F.array_except(F.sequence(F.lit(0), F.col("n_lines").cast("int") - 1), F.col("removed"))
-    left = F.array_join(F.transform(stay, lambda i: F.get(said, i)), "\n")
-    return joined.withColumn("text", F.when(F.col("n_removed") > 0, left).otherwise(F.col("text")))
+    # The lines are bound to a variable: a text is cut once, not once a line.
+    left = F.transform(F.array(said), lambda cut: F.array_join(F.transform(stay, lambda i: F.get(cut, i)), "\n"))
+    return joined.withColumn("text", F.when(F.col("n_removed") > 0, F.get(left, F.lit(0))).otherwise(F.col("text")))
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
