@@ -33,13 +33,14 @@ def plain_words(text: Column | str) -> Column:
     return F.split(text, " ")
 
 
-def words_between_blanks(line: Column | str) -> Column:
-    """``plain_words`` of a text without line feeds, which is seldom written anew."""
-    line = F.col(line) if isinstance(line, str) else line
-    plain = line
+def only_blanks(text: Column | str) -> Column:
+    """A text in which blanks stand for the other separators but line feeds. Seldom one has
+    others: texts are searched once, and few are written anew."""
+    text = F.col(text) if isinstance(text, str) else text
+    plain = text
     for separator in "\t\x0b\f\r":
         plain = F.replace(plain, F.lit(separator), F.lit(" "))
-    return F.split(F.when(line.rlike("[\t\x0b\f\r]"), plain).otherwise(line), " ")
+    return F.when(text.rlike("[\t\x0b\f\r]"), plain).otherwise(text)
 
 
 def cells_for(rows: int, per_cell: int = 20_000) -> int:

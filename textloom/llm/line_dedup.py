@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import words_between_blanks
+from textloom.llm.common import only_blanks
 from textloom.session import bytes_of, stash
 
 #: Similarity as a fraction, so that limits are whole-number arithmetic.
@@ -34,12 +34,13 @@ BUCKETS = 1 << 18
 BROADCAST_BYTES = 32 << 20
 #: Pairs of rare words by which a line meets leaders, and leaders of each pair.
 RUNS, LEADERS = 3, 8
-#: Near copies above which a group of them is counted as large, and the pairs of such copies
-#: for a line above which lines are held against leaders first.
-CROWD, PAIRS_A_LINE = 64, 1
+#: Near copies in a group above which lines are held against leaders first.
+CROWD = 64
 #: Prefixes that share a word: above the first number sets meet by class of lengths too,
 #: above the second by the next word.
 COMMON = (512, 4096)
+#: Words of a set above which its sketch has twice the bits.
+_MANY = 96
 #: Stands for a null document id, and sorts first like one.
 NO_ID = -(1 << 63)
 
@@ -51,8 +52,8 @@ def _ceil_div(a: Column, b: int) -> Column:
 def rarity(docs: DataFrame) -> DataFrame:
     """One row: the occurrences of words by hash bucket, as an array of classes, four
     to a doubling."""
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("said"))
-    words = lines.select(F.explode(words_between_blanks("said")).alias("w"))
+    lines = docs.select(F.explode(F.split(only_blanks("text"), "\n")).alias("said"))
+    words = lines.select(F.explode(F.split("said", " ")).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(
         F.count("*").alias("n")
     )
@@ -93,8 +94,8 @@ def _parity(words: Column, of_bit: bool) -> Column:
 
 
 def _with_words(lines: DataFrame, classes: DataFrame) -> DataFrame:
-    """``lines`` with ``words`` in place of ``said``: its distinct words as numbers in order
-    of rarity.
+    """``lines`` with ``words`` in place of ``said``, of which blanks alone part the words:
+    its distinct words as numbers in order of rarity.
 
     ``classes`` is a bounded array of BUCKETS bytes, read in place of a join. It is a scalar
     of the projection that packs the words: a column below a generator would be copied for
@@ -102,7 +103,7 @@ def _with_words(lines: DataFrame, classes: DataFrame) -> DataFrame:
     packed and sorted twice.
     """
     others = [c for c in lines.columns if c != "said"]
-    hashed = F.array_distinct(F.transform(words_between_blanks("said"), lambda w: F.xxhash64(w)))
+    hashed = F.array_distinct(F.transform(F.split("said", " "), lambda w: F.xxhash64(w)))
     real = F.array_remove(hashed, F.xxhash64(F.lit("")))
     packed = lines.select(*others, real.alias("real"), classes.scalar().alias("c")).select(
         *others, F.transform("real", lambda h: _packed(h, F.col("c"))).alias("words")
@@ -125,7 +126,8 @@ def line_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     keyed = docs.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     )
-    lines = keyed.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line", "said"))
+    cut = F.posexplode(F.split(only_blanks("text"), "\n")).alias("line", "said")
+    lines = keyed.select("doc_id", "text_hash", cut)
     lines = _with_words(lines, classes).withColumn("n", F.size("words")).where("n > 0")
     # 31 bits of a prefix word are enough to meet by: what meets by chance is not similar.
     short = lambda w: w.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
@@ -137,28 +139,28 @@ def line_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-#: Words of a set above which its sketch has twice the bits.
-_MANY = 64
+def repeated_sets(sets: DataFrame) -> DataFrame:
+    """``s1, s2`` of the sets of several lines."""
+    return sets.groupBy("s1", "s2").agg(F.count("*").alias("lines")).where("lines > 1").select("s1", "s2")
 
 
-def repeated_sets(sets: DataFrame) -> DataFrame:
-    """Sets of several lines, each with its earliest line."""
-    often = sets.groupBy("s1", "s2").agg(F.count("*").alias("lines")).where("lines > 1").select("s1", "s2")
-    often = _small_or_shuffled(often, "line-often")
+def first_lines(sets: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The repeated sets, each with its earliest line."""
     first = F.min(F.struct("doc_id", "line", "n", "parity", "parity_of", "prefix")).alias("lead")
-    led = sets.join(often, ["s1", "s2"], "left_semi").groupBy("s1", "s2").agg(first)
+    led = sets.join(_sized(repeated), ["s1", "s2"], "left_semi").groupBy("s1", "s2").agg(first)
     return led.select("s1", "s2", "lead.*")
 
 
-def lead_sets(sets: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def lead_sets(
+    sets: DataFrame, repeated: DataFrame | None = None, first: DataFrame | None = None
+) -> DataFrame:
     """Each set once, with its earliest line. Sets that begin at the same place of documents
     with one id are told apart by ``s1``."""
     repeated = stash(repeated_sets(sets), "line-repeated") if repeated is None else repeated
-    known = repeated.select("s1", "s2")
-    small = bytes_of(repeated) <= BROADCAST_BYTES
-    once = sets.join(F.broadcast(known) if small else known, ["s1", "s2"], "left_anti")
-    leads = once.select(*repeated.columns).unionByName(repeated)
-    return leads if small else stash(leads, "line-leads")
+    first = stash(first_lines(sets, repeated), "line-first") if first is None else first
+    once = sets.join(_sized(repeated), ["s1", "s2"], "left_anti")
+    leads = once.select(*first.columns).unionByName(first)
+    return leads if bytes_of(repeated) <= BROADCAST_BYTES else stash(leads, "line-leads")
 
 
 def _earlier(a: str, b: str) -> Column:
@@ -189,13 +191,18 @@ def _pair(a: str, b: str) -> list[Column]:
     ]
 
 
-def near_copies(leads: DataFrame) -> int:
-    """About how many pairs of sets are near copies in large groups: of sets whose prefixes
+def _of_some_words(leads: DataFrame) -> DataFrame:
+    """Without sets so small, of three words or fewer, that no other one is similar."""
+    up, down = SIMILAR
+    return leads.where(F.col("n") * (down - up) >= up)
+
+
+def near_copies(leads: DataFrame) -> DataFrame:
+    """``ends, size``: large groups of sets that are likely to be near copies, whose prefixes
     have the same least and greatest word, by hash."""
     prefix = F.slice("prefix", 1, _later_length(F.col("n")))
-    ends = leads.select(F.xxhash64(F.array_min(prefix), F.array_max(prefix)).alias("ends"))
-    size = ends.groupBy("ends").agg(F.count("*").alias("size")).where(F.col("size") > CROWD)
-    return size.agg(F.sum(F.col("size") * F.col("size"))).first()[0] or 0
+    ends = _of_some_words(leads).select(F.xxhash64(F.array_min(prefix), F.array_max(prefix)).alias("ends"))
+    return ends.groupBy("ends").agg(F.count("*").alias("size")).where(F.col("size") > CROWD)
 
 
 def _pairs_of_words(prefix: str) -> Column:
@@ -262,14 +269,12 @@ def _met_rows(leads: DataFrame, gone: DataFrame | None, classes: DataFrame | Non
     """
     common = stash(common_words(leads, classes), "line-common")
     some = common.count() > 0
-    common = F.broadcast(common) if bytes_of(common) <= BROADCAST_BYTES else common
-    # Distinct sets of three words or fewer are never similar.
-    known = leads.where("n > 3").select("s1", "n", "prefix", "parity", "parity_of")
+    common = _sized(common)
+    known = _of_some_words(leads).select("s1", "n", "prefix", "parity", "parity_of")
     if gone is None:
         known = known.withColumn("open", F.lit(1))
     else:
-        settled = F.broadcast(gone) if bytes_of(gone) <= BROADCAST_BYTES else gone
-        known = known.join(settled.select("s1", F.lit(0).alias("open")), "s1", "left")
+        known = known.join(_sized(gone).select("s1", F.lit(0).alias("open")), "s1", "left")
         known = known.withColumn("open", F.coalesce("open", F.lit(1)))
     carried = ["s1", "n", "parity", "parity_of", "open"]
 
@@ -336,14 +341,17 @@ def candidates(
     pairs = both.select(*_pair("a", "b"))
     if gone is None:
         return pairs
-    settled = F.broadcast(gone) if bytes_of(gone) <= BROADCAST_BYTES else gone
-    return pairs.join(settled.select(F.col("s1").alias("later_s1")), "later_s1", "left_anti").select(*_PAIR)
+    settled = _sized(gone).select(F.col("s1").alias("later_s1"))
+    return pairs.join(settled, "later_s1", "left_anti").select(*_PAIR)
+
+
+def _sized(written: DataFrame) -> DataFrame:
+    return F.broadcast(written) if bytes_of(written) <= BROADCAST_BYTES else written
 
 
 def _small_or_shuffled(df: DataFrame, label: str) -> DataFrame:
     """Broadcast when its written size is known to be small, else left to a shuffle."""
-    written = stash(df, label)
-    return F.broadcast(written) if bytes_of(written) <= BROADCAST_BYTES else written
+    return _sized(stash(df, label))
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -356,21 +364,30 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     in_docs = wanted.select("doc").distinct()
     keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
     held = keyed.join(_small_or_shuffled(in_docs, "line-docs"), "doc", "left_semi")
-    said = held.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "said"))
+    said = held.select("doc", F.posexplode(F.split(only_blanks("text"), "\n")).alias("line", "said"))
     said = said.join(_small_or_shuffled(wanted, "line-places"), ["doc", "line"])
     said = _with_words(said, classes)
     # Documents that share an id hold several lines of one number: the set tells which.
-    said = said.where(F.xxhash64("words") == F.col("s1")).dropDuplicates(["doc", "line", "s1"])
+    said = said.where(F.xxhash64("words") == F.col("s1")).select("s1", "words").dropDuplicates(["s1"])
     said = stash(said, "line-words")
 
-    def words_at(end: str) -> DataFrame:
-        return said.select(*[F.col(c).alias(f"{end}_{c}") for c in ("doc", "line", "s1", "words")])
-
-    both = pairs.join(words_at("first"), ["first_doc", "first_line", "first_s1"])
-    both = both.join(words_at("later"), ["later_doc", "later_line", "later_s1"])
-    shared = F.size(F.array_intersect("first_words", "later_words"))
-    union = F.size("first_words") + F.size("later_words") - shared
-    return both.where(shared * down >= union * up).select(F.col("later_s1").alias("s1")).distinct()
+    def similar(pairs: DataFrame) -> DataFrame:
+        a, b = (said.select(F.col("s1").alias(c), F.col("words").alias(w)) for c, w in (("x", "a"), ("s1", "b")))
+        both = pairs.join(a, "x").join(b, "s1")
+        shared = F.size(F.array_intersect("a", "b"))
+        union = F.size("a") + F.size("b") - shared
+        return both.where(shared * down >= union * up).select("s1").distinct()
+
+    # One match is enough: of many pairs of a set two are tried first, and the others of
+    # those only that have not been similar.
+    pairs = pairs.select(F.col("first_s1").alias("x"), F.col("later_s1").alias("s1"))
+    ends = pairs.groupBy("s1").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("pairs"))
+    ends = stash(ends, "line-tries")
+    tries = ends.select("s1", F.explode(F.array_distinct(F.array("low", "high"))).alias("x"))
+    settled = stash(similar(tries), "line-tried")
+    more = ends.where("pairs > 2").select("s1").join(_sized(settled), "s1", "left_anti")
+    more = _small_or_shuffled(more, "line-untried")
+    return settled.unionByName(similar(pairs.join(more, "s1", "left_semi"))).distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -387,21 +404,22 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     classes = stash(rarity(docs), "line-rarity")
     sets = stash(line_sets(docs, classes), "line-sets")
     repeated = stash(repeated_sets(sets), "line-repeated")
-    leads = lead_sets(sets, repeated)
+    first = stash(first_lines(sets, repeated), "line-first")
+    leads = lead_sets(sets, repeated, first)
     gone = None
-    # Few near copies make no more pairs than there are lines: those are verified at once.
-    if near_copies(leads) > PAIRS_A_LINE * sets.count():
+    # Small groups of near copies make few pairs: those are verified at once.
+    if not near_copies(leads).isEmpty():
         near = stash(pairs_with_leaders(leads), "line-leaders")
         gone = stash(verified(docs, classes, near), "line-settled")
     pairs = stash(candidates(leads, gone, classes), "line-candidates")
     later = verified(docs, classes, pairs)
     similar = later if gone is None else gone.unionByName(later).distinct()
-    similar = _small_or_shuffled(similar.select("s1", F.lit(True).alias("similar")), "line-similar")
-    at = repeated.select("s1", "s2", F.struct("doc_id", "line").alias("at"))
-    at = F.broadcast(at) if bytes_of(repeated) <= BROADCAST_BYTES else at
     lines = sets.select("s1", "s2", "doc_id", "text_hash", "line")
-    lines = lines.join(at, ["s1", "s2"], "left").join(similar, "s1", "left")
-    out = lines.where(F.col("similar").isNotNull() | (F.struct("doc_id", "line") != F.col("at")))
+    alike = lines.join(_small_or_shuffled(similar, "line-similar"), "s1", "left_semi")
+    again = lines.join(_sized(repeated), ["s1", "s2"], "left_semi")
+    at = _small_or_shuffled(first.select("s1", "s2", F.struct("doc_id", "line").alias("at")), "line-at")
+    again = again.join(at, ["s1", "s2"]).where(F.struct("doc_id", "line") != F.col("at"))
+    out = alike.unionByName(again.select(*lines.columns))
     gone_lines = out.groupBy(F.struct("doc_id", "text_hash").alias("_d")).agg(
         F.sort_array(F.collect_set("line")).alias("removed")
     )
